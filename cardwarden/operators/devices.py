@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardwarden.operators.fraud import DAY_SECONDS
-from cardwarden.operators.sequence import DEFAULT_SKEW, SkewPolicy, with_previous
+from cardwarden.operators.sequence import with_previous
+from cardwarden.operators.skew import DEFAULT_SKEW, SkewPolicy
 
 # Channels without a physical store.
 DIGITAL_CHANNELS = ("Online", "App")

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from cardwarden import schemas
 from cardwarden.functions import haversine_km
-from cardwarden.operators.sequence import DEFAULT_SKEW, SkewPolicy, with_previous
+from cardwarden.operators.sequence import with_previous
+from cardwarden.operators.skew import DEFAULT_SKEW, SkewPolicy
 
 DAY_SECONDS = 86_400
 PHYSICAL_CHANNEL = "Físico"

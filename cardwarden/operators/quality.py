@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardwarden import schemas
+from cardwarden.operators.skew import DEFAULT_SKEW, HOT_KEY, SkewPolicy, hot_keys
 
 # Rule categories and severities.
 PHYSICAL, BUSINESS = "F", "N"
@@ -164,13 +165,32 @@ def check_duplicates(df: DataFrame, key: str) -> tuple[bool, str]:
     return True, "duplicate check passed"
 
 
-def unique_violations(df: DataFrame, key: str) -> DataFrame:
-    """All rows of every repeated non-NULL key.
+def _mark_repeated(df: DataFrame, key: str, name: str, policy: SkewPolicy) -> DataFrame:
+    """Add a boolean: does the row's non-NULL key occur more than once?
 
-    A semi-join against the repeated keys, so a key with very many rows is split
-    by adaptive execution where a count over a window would hold it in one task.
+    Rows meet their key's count in a join, so one key's rows meet in one task.
+    Rows that would make such a task too large stay out of the join: those
+    without a key are not repeated, and a key that a sample shows to be hot is.
     """
-    return df.join(_repeated_keys(df, key), key, "left_semi")
+    keyed, unkeyed = df.filter(F.col(key).isNotNull()), df.filter(F.col(key).isNull())
+    parts = [unkeyed.withColumn(name, F.lit(False))]
+    hot = hot_keys(keyed, key, policy)
+    if hot is not None:
+        is_hot = keyed[key] == hot[HOT_KEY]
+        parts.append(
+            keyed.join(F.broadcast(hot), is_hot, "left_semi").withColumn(name, F.lit(True))
+        )
+        keyed = keyed.join(F.broadcast(hot), is_hot, "left_anti")
+    repeated = _repeated_keys(keyed, key).withColumn(name, F.lit(True))
+    joined = keyed.join(repeated, key, "left")
+    parts.append(joined.withColumn(name, F.coalesce(name, F.lit(False))))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def unique_violations(df: DataFrame, key: str, policy: SkewPolicy = DEFAULT_SKEW) -> DataFrame:
+    """All rows of every repeated non-NULL key."""
+    marked = _mark_repeated(df, key, "_repeated", policy)
+    return marked.filter("_repeated").select(*df.columns)
 
 
 def evaluate(df: DataFrame, rules: Sequence[Rule], as_of: datetime | None = None) -> DataFrame:
@@ -241,15 +261,17 @@ def gate(results: DataFrame, layer: str) -> list:
 
 
 def with_failed_rules(
-    df: DataFrame, rules: Sequence[Rule], as_of: datetime | None = None
+    df: DataFrame,
+    rules: Sequence[Rule],
+    as_of: datetime | None = None,
+    policy: SkewPolicy = DEFAULT_SKEW,
 ) -> DataFrame:
     """Add ``failed_rules``, the ids of the rules each row breaks, in suite order."""
     marked, reasons, helpers = df, [], []
     for i, rule in enumerate(rules):
         if rule.kind == "unique":
             helper = f"_repeated_{i}"
-            repeated = _repeated_keys(df, rule.column).withColumn(helper, F.lit(True))
-            marked = marked.join(repeated, rule.column, "left")
+            marked = _mark_repeated(marked, rule.column, helper, policy)
             helpers.append(helper)
             broken = F.col(helper)
         else:
@@ -267,16 +289,27 @@ def _breaks_any(rule_ids: Iterable[str]) -> Column:
     )
 
 
-def quarantine(df: DataFrame, rules: Sequence[Rule], as_of: datetime | None = None) -> DataFrame:
+def quarantine(
+    df: DataFrame,
+    rules: Sequence[Rule],
+    as_of: datetime | None = None,
+    policy: SkewPolicy = DEFAULT_SKEW,
+) -> DataFrame:
     """Rows that break a stop-level rule, with all the rules they break."""
     stops = [r.rule_id for r in rules if r.severity == STOP]
-    return with_failed_rules(df, rules, as_of).filter(_breaks_any(stops))
+    return with_failed_rules(df, rules, as_of, policy).filter(_breaks_any(stops))
 
 
-def accepted(df: DataFrame, rules: Sequence[Rule], as_of: datetime | None = None) -> DataFrame:
+def accepted(
+    df: DataFrame,
+    rules: Sequence[Rule],
+    as_of: datetime | None = None,
+    policy: SkewPolicy = DEFAULT_SKEW,
+) -> DataFrame:
     """Rows that break no stop-level rule: the complement of ``quarantine``."""
     stops = [r.rule_id for r in rules if r.severity == STOP]
-    return with_failed_rules(df, rules, as_of).filter(~_breaks_any(stops)).drop("failed_rules")
+    kept = with_failed_rules(df, rules, as_of, policy).filter(~_breaks_any(stops))
+    return kept.drop("failed_rules")
 
 
 def schema_check(

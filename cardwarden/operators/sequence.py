@@ -15,70 +15,13 @@ The sample decides only which way a key takes. Both give the same rows.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
 
-from pyspark.errors import PySparkAttributeError
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from cardwarden.operators.skew import DEFAULT_SKEW, HOT_KEY, SkewPolicy, hot_keys
 
-@dataclass(frozen=True)
-class SkewPolicy:
-    """When a key is too large for one task.
-
-    ``hot_rows`` is what one task sorts comfortably. ``max_hot_keys`` bounds the
-    broadcast of hot keys: the largest ones are kept, and any key beyond them
-    holds less than ``1 / max_hot_keys`` of the rows. Inputs estimated below
-    ``small_input_bytes`` cannot hold a key too large for a task, and skip the
-    sampling job.
-    """
-
-    hot_rows: int = 10_000_000
-    sample_fraction: float = 0.0005
-    max_hot_keys: int = 10_000
-    small_input_bytes: int = 256 * 1024 * 1024
-
-
-DEFAULT_SKEW = SkewPolicy()
-
-_SLICE, _HERE, _BEFORE, _LAST, _HOT = "__slice", "__here", "__before", "__last", "__hot"
-
-
-def _estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate, or None where the session does not expose it."""
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-    except (AttributeError, PySparkAttributeError):
-        return None
-    return int(str(stats.sizeInBytes()))
-
-
-def hot_keys(df: DataFrame, key: str, policy: SkewPolicy = DEFAULT_SKEW) -> DataFrame | None:
-    """The keys estimated to hold ``hot_rows`` or more, or None if there are none.
-
-    One pass over the key column alone. At most ``max_hot_keys`` values come to
-    the driver; they go back as a local relation, so that every use of the list
-    sees the same keys.
-    """
-    size = _estimated_bytes(df)
-    if size is not None and size <= policy.small_input_bytes:
-        return None
-    found = (
-        df.select(key)
-        .sample(fraction=policy.sample_fraction, seed=11)
-        .groupBy(key)
-        .count()
-        .filter(F.col("count") >= policy.hot_rows * policy.sample_fraction)
-        .orderBy(F.desc("count"))
-        .limit(policy.max_hot_keys)
-        .select(key)
-        .collect()
-    )
-    if not found:
-        return None
-    schema = T.StructType([T.StructField(_HOT, df.schema[key].dataType, True)])
-    return df.sparkSession.createDataFrame([(row[0],) for row in found], schema)
+_SLICE, _HERE, _BEFORE, _LAST = "__slice", "__here", "__before", "__last"
 
 
 def _lag_in_one_task(
@@ -128,7 +71,7 @@ def with_previous(
     hot = hot_keys(df, key, policy)
     if hot is None:
         return _lag_in_one_task(df, key, order, previous)
-    is_hot = df[key].eqNullSafe(hot[_HOT])
+    is_hot = df[key].eqNullSafe(hot[HOT_KEY])
     rest = df.join(F.broadcast(hot), is_hot, "left_anti")
     large = df.join(F.broadcast(hot), is_hot, "left_semi")
     return _lag_in_one_task(rest, key, order, previous).unionByName(

@@ -106,39 +106,46 @@ def bronze_located(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One profile per user; trusted devices are the user's own ``k`` below 50.
+    """A profile per customer with a positive balance.
 
-    Both arrays are sets over small domains, so they stay small for any user.
-    Every tenth user has no profile.
+    Trusted devices are the customer's own ``k`` below 50, and products the kinds
+    of their events, or else their market segment. Both are sets over small
+    domains, so they stay small for any customer.
     """
     k = F.col("k")
-    return (
+    used = (
         table(spark, sf_dir, "events")
-        .filter(F.col("user_id") % 10 != 9)
         .withColumn("k", _k())
-        .groupBy(F.col("user_id").alias("cust_id"))
+        .groupBy(F.col("user_id").alias("c_custkey"))
         .agg(
-            F.sort_array(F.collect_set("event_type")).alias("active_products"),
-            F.sort_array(F.collect_set(F.when(k < 50, k.cast("string")))).alias("known_devices"),
+            F.sort_array(F.collect_set("event_type")).alias("kinds"),
+            F.sort_array(F.collect_set(F.when(k < 50, k.cast("string")))).alias("devices"),
         )
+    )
+    balance = F.col("c_acctbal")
+    return (
+        table(spark, sf_dir, "customer")
+        .filter(balance > 0)
+        .join(used, "c_custkey", "left")
         .select(
-            "cust_id",
-            F.concat(F.lit("Customer "), "cust_id").alias("name"),
-            F.element_at(
-                F.array(F.lit("Bronze"), F.lit("Silver"), F.lit("Gold"), F.lit("Platinum")),
-                (F.col("cust_id") % 4 + 1).cast("int"),
-            ).alias("loyalty_tier"),
-            F.concat(F.lit("C"), F.col("cust_id") % 20).alias("home_city"),
-            "active_products",
-            "known_devices",
+            F.col("c_custkey").alias("cust_id"),
+            F.col("c_name").alias("name"),
+            F.when(balance < 2500, "Bronze")
+            .when(balance < 5000, "Silver")
+            .when(balance < 7500, "Gold")
+            .otherwise("Platinum")
+            .alias("loyalty_tier"),
+            F.concat(F.lit("C"), "c_nationkey").alias("home_city"),
+            F.coalesce("kinds", F.array("c_mktsegment")).alias("active_products"),
+            F.coalesce("devices", F.array().cast("array<string>")).alias("known_devices"),
         )
     )
 
 
 def with_repeats(rows: DataFrame) -> DataFrame:
-    """Transactions plus a second, later copy of those whose id ends in 0."""
+    """Transactions plus a second, later copy of every one of kind ``error``."""
     first = rows.withColumn("version", F.lit(1))
-    again = rows.filter(F.col("transaction_id").endswith("0")).select(
+    again = rows.filter(F.col("category") == "error").select(
         *[c for c in rows.columns if c != "amount"],
         (F.col("amount") + 1).alias("amount"),
         F.lit(2).alias("version"),

@@ -147,14 +147,18 @@ _BRONZE = f"""{_EVENTS}, bronze AS (
   FROM ev
 )"""
 
-_PROFILES = f"""{_EVENTS}, profiles AS (
-  SELECT user_id AS cust_id, 'Customer ' || user_id AS name,
-         ['Bronze', 'Silver', 'Gold', 'Platinum'][CAST(user_id % 4 + 1 AS INTEGER)] AS loyalty_tier,
-         'C' || (user_id % 20) AS home_city,
-         list_sort(list(DISTINCT event_type)) AS active_products,
-         list_sort(coalesce(list(DISTINCT CAST(k AS VARCHAR)) FILTER (WHERE k < 50), []))
-           AS known_devices
-  FROM ev WHERE user_id % 10 <> 9 GROUP BY user_id
+_PROFILES = f"""{_EVENTS}, used AS (
+  SELECT user_id, list_sort(list(DISTINCT event_type)) AS kinds,
+         list_sort(list(DISTINCT CAST(k AS VARCHAR)) FILTER (WHERE k < 50)) AS devices
+  FROM ev GROUP BY user_id
+), profiles AS (
+  SELECT c_custkey AS cust_id, c_name AS name,
+         CASE WHEN c_acctbal < 2500 THEN 'Bronze' WHEN c_acctbal < 5000 THEN 'Silver'
+              WHEN c_acctbal < 7500 THEN 'Gold' ELSE 'Platinum' END AS loyalty_tier,
+         'C' || c_nationkey AS home_city,
+         coalesce(kinds, [c_mktsegment]) AS active_products,
+         coalesce(devices, []) AS known_devices
+  FROM customer LEFT JOIN used ON user_id = c_custkey WHERE c_acctbal > 0
 )"""
 
 _TX_PROFILES = _TX + _PROFILES.removeprefix(_EVENTS)
@@ -162,7 +166,7 @@ _TX_PROFILES = _TX + _PROFILES.removeprefix(_EVENTS)
 _REPEATED = f"""{_TX}, repeated AS (
   SELECT * EXCLUDE (amount), amount, 1 AS version FROM tx
   UNION ALL
-  SELECT * EXCLUDE (amount), amount + 1, 2 FROM tx WHERE transaction_id LIKE '%0'
+  SELECT * EXCLUDE (amount), amount + 1, 2 FROM tx WHERE category = 'error'
 )"""
 
 _RULE_ROWS = """rule_rows AS (

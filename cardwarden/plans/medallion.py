@@ -11,12 +11,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from cardwarden import schemas
 from cardwarden.operators import devices, fraud, gold, quality, silver
-from cardwarden.operators.sequence import DEFAULT_SKEW, SkewPolicy
+from cardwarden.operators.skew import DEFAULT_SKEW, SkewPolicy
 from cardwarden.sources import (
     land_transactions,
     read_or_empty,
@@ -92,6 +91,7 @@ def _run_gate(
     layer: str,
     layout: Layout,
     as_of: datetime | None,
+    policy: SkewPolicy,
 ) -> list:
     if not rules:
         return []
@@ -99,7 +99,7 @@ def _run_gate(
     try:
         return quality.gate(read_table(spark, layout.results(layer)), layer)
     except quality.QualityGateError:
-        write_flat(quality.quarantine(df, rules, as_of), layout.quarantine(layer))
+        write_flat(quality.quarantine(df, rules, as_of, policy), layout.quarantine(layer))
         raise
 
 
@@ -127,15 +127,19 @@ def run(
 
     land_transactions(spark, transactions, layout.bronze, as_of)
     bronze = read_table(spark, layout.bronze)
-    results["bronze"] = _run_gate(spark, bronze, bronze_rules, "bronze", layout, as_of)
+    results["bronze"] = _run_gate(
+        spark, bronze, bronze_rules, "bronze", layout, as_of, policy
+    )
 
     write_flat(silver.refine(bronze, as_of), layout.silver)
     refined = read_table(spark, layout.silver)
-    results["silver"] = _run_gate(spark, refined, silver_rules, "silver", layout, as_of)
+    results["silver"] = _run_gate(
+        spark, refined, silver_rules, "silver", layout, as_of, policy
+    )
 
-    counted = Observation("alerts")
-    found = fraud.fraud_alerts(refined, preset, policy)
-    write_daily(found.observe(counted, F.count(F.lit(1)).alias("n")), layout.fraud_alerts)
+    alert_count = write_daily(
+        fraud.fraud_alerts(refined, preset, policy), layout.fraud_alerts
+    )
     stored = read_or_empty(spark, layout.fraud_alerts, schemas.ALERT)
     write_flat(fraud.bi_metrics(stored), layout.bi_metrics)
     write_flat(fraud.reward_eligible(refined, stored), layout.reward_eligible)
@@ -154,4 +158,4 @@ def run(
         }.items():
             write_flat(hits, layout.device_alerts(rule))
 
-    return RunSummary(layout, counted.get["n"], results)
+    return RunSummary(layout, alert_count, results)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 
 def write_flat(df: DataFrame, path: str) -> None:
@@ -22,11 +23,15 @@ def write_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
     )
 
 
-def write_daily(df: DataFrame, path: str, day: str = "dt_particao") -> None:
-    """Replace the days present in ``df``.
+def write_daily(df: DataFrame, path: str, day: str = "dt_particao") -> int:
+    """Replace the days present in ``df``; return the number of rows written.
 
     Rebalancing gathers each day's rows to avoid a small file per task and day,
     and, unlike a plain repartition by day, lets adaptive execution split a day
-    that is far larger than the others.
+    that is far larger than the others. The rows are counted by the write itself,
+    above the rebalancing so that an empty result is counted too.
     """
-    write_partitions(df.hint("rebalance", day), path, [day])
+    counted = Observation()
+    balanced = df.hint("rebalance", day).observe(counted, F.count(F.lit(1)).alias("n"))
+    write_partitions(balanced, path, [day])
+    return counted.get["n"]
