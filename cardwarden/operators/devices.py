@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardwarden.operators.fraud import DAY_SECONDS
 from cardwarden.operators.sequence import with_previous
-from cardwarden.operators.skew import DEFAULT_SKEW, SkewPolicy
+from cardwarden.operators.skew import DEFAULT_SKEW, SkewPolicy, hot_keys, split_hot
 
 # Channels without a physical store.
 DIGITAL_CHANNELS = ("Online", "App")
@@ -49,31 +49,51 @@ def device_mismatch(
     )
 
 
-def shared_key_events(
-    enriched: DataFrame,
-    key: str,
-    within_seconds: int = SHORT_TIME_SECONDS,
-    slice_seconds: int = DAY_SECONDS,
+def _near_other_customer(timed: DataFrame, key: str, within_seconds: int) -> DataFrame:
+    """Rows near another customer's use of the key, by the neighbours in its sequence.
+
+    The closest earlier use by another customer is the last row of the run of
+    equal customers before this one. It is carried along the run, and likewise
+    backwards for the closest later use. One pass each way, whatever the number
+    of uses within the time.
+    """
+    forward = Window.partitionBy(key).orderBy("_second", "transaction_id")
+    backward = Window.partitionBy(key).orderBy(F.desc("_second"), F.desc("transaction_id"))
+    stepped = timed.select(
+        "*",
+        F.lag("customer_id").over(forward).alias("_customer_before"),
+        F.lag("_second").over(forward).alias("_second_before"),
+        F.lead("customer_id").over(forward).alias("_customer_after"),
+        F.lead("_second").over(forward).alias("_second_after"),
+    )
+
+    def other(side: str) -> Column:
+        changed = F.col("customer_id") != F.col(f"_customer_{side}")
+        return F.when(changed, F.col(f"_second_{side}"))
+
+    so_far = (Window.unboundedPreceding, Window.currentRow)
+    earlier = F.last(other("before"), ignorenulls=True).over(forward.rowsBetween(*so_far))
+    later = F.last(other("after"), ignorenulls=True).over(backward.rowsBetween(*so_far))
+    return stepped.select("*", earlier.alias("_earlier"), later.alias("_later")).filter(
+        (F.col("_second") - F.col("_earlier") <= within_seconds)
+        | (F.col("_later") - F.col("_second") <= within_seconds)
+    )
+
+
+def _near_other_customer_by_second(
+    timed: DataFrame, key: str, within_seconds: int, slice_seconds: int
 ) -> DataFrame:
-    """Transactions whose device (or IP) another customer used within the time.
+    """The same rows for keys of any size.
 
     Events are first reduced to one row per key and second, holding the lowest
     and the highest customer. A window reaching equally far both ways over those
-    rows then tells whether more than one customer is near. Each key's time is
-    cut into slices, and seconds near a cut are copied to the slice across it, so
-    a window group has at most ``slice_seconds + 2 * within_seconds`` rows
-    however many events a key has.
+    rows tells whether more than one customer is near. Each key's time is cut
+    into slices, and seconds near a cut are copied to the slice across it, so a
+    window group has at most ``slice_seconds + 2 * within_seconds`` rows however
+    many events a key has.
     """
-    if slice_seconds < 2 * within_seconds:
-        raise ValueError("slice_seconds must be at least twice within_seconds")
-    second = F.unix_timestamp("transaction_date")
-    per_second = (
-        enriched.filter(F.col(key).isNotNull() & F.col("customer_id").isNotNull())
-        .groupBy(key, second.alias("_second"))
-        .agg(F.min("customer_id").alias("_low"), F.max("customer_id").alias("_high"))
-    )
 
-    def slice_of(seconds):
+    def slice_of(seconds: Column) -> Column:
         return F.floor(seconds / slice_seconds)
 
     at = F.col("_second")
@@ -81,7 +101,9 @@ def shared_key_events(
     near = Window.partitionBy(key, "_slice").orderBy("_second")
     near = near.rangeBetween(-within_seconds, within_seconds)
     shared = (
-        per_second.withColumn("_slice", F.explode(slices))
+        timed.groupBy(key, "_second")
+        .agg(F.min("customer_id").alias("_low"), F.max("customer_id").alias("_high"))
+        .withColumn("_slice", F.explode(slices))
         .select(
             key,
             "_second",
@@ -92,10 +114,31 @@ def shared_key_events(
         .filter((F.col("_low") != F.col("_high")) & (F.col("_slice") == slice_of(at)))
         .select(key, "_second")
     )
-    return (
-        enriched.withColumn("_second", second)
-        .join(shared, [key, "_second"], "left_semi")
-        .select(*enriched.columns)
+    return timed.join(shared, [key, "_second"], "left_semi")
+
+
+def shared_key_events(
+    enriched: DataFrame,
+    key: str,
+    within_seconds: int = SHORT_TIME_SECONDS,
+    slice_seconds: int = DAY_SECONDS,
+    policy: SkewPolicy = DEFAULT_SKEW,
+) -> DataFrame:
+    """Transactions whose device (or IP) another customer used within the time."""
+    if slice_seconds < 2 * within_seconds:
+        raise ValueError("slice_seconds must be at least twice within_seconds")
+    timed = enriched.filter(F.col(key).isNotNull() & F.col("customer_id").isNotNull()).withColumn(
+        "_second", F.unix_timestamp("transaction_date")
+    )
+    hot = hot_keys(timed, key, policy)
+    if hot is None:
+        return _near_other_customer(timed, key, within_seconds).select(*enriched.columns)
+    rest, large = split_hot(timed, key, hot)
+    found = _near_other_customer(rest, key, within_seconds).select(*enriched.columns)
+    return found.unionByName(
+        _near_other_customer_by_second(large, key, within_seconds, slice_seconds).select(
+            *enriched.columns
+        )
     )
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardwarden import schemas
-from cardwarden.operators.skew import DEFAULT_SKEW, HOT_KEY, SkewPolicy, hot_keys
+from cardwarden.operators.skew import DEFAULT_SKEW, SkewPolicy, hot_keys, split_hot
 
 # Rule categories and severities.
 PHYSICAL, BUSINESS = "F", "N"
@@ -176,11 +176,8 @@ def _mark_repeated(df: DataFrame, key: str, name: str, policy: SkewPolicy) -> Da
     parts = [unkeyed.withColumn(name, F.lit(False))]
     hot = hot_keys(keyed, key, policy)
     if hot is not None:
-        is_hot = keyed[key] == hot[HOT_KEY]
-        parts.append(
-            keyed.join(F.broadcast(hot), is_hot, "left_semi").withColumn(name, F.lit(True))
-        )
-        keyed = keyed.join(F.broadcast(hot), is_hot, "left_anti")
+        keyed, large = split_hot(keyed, key, hot)
+        parts.append(large.withColumn(name, F.lit(True)))
     repeated = _repeated_keys(keyed, key).withColumn(name, F.lit(True))
     joined = keyed.join(repeated, key, "left")
     parts.append(joined.withColumn(name, F.coalesce(name, F.lit(False))))

@@ -19,7 +19,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardwarden.operators.skew import DEFAULT_SKEW, HOT_KEY, SkewPolicy, hot_keys
+from cardwarden.operators.skew import DEFAULT_SKEW, SkewPolicy, hot_keys, split_hot
 
 _SLICE, _HERE, _BEFORE, _LAST = "__slice", "__here", "__before", "__last"
 
@@ -71,9 +71,7 @@ def with_previous(
     hot = hot_keys(df, key, policy)
     if hot is None:
         return _lag_in_one_task(df, key, order, previous)
-    is_hot = df[key].eqNullSafe(hot[HOT_KEY])
-    rest = df.join(F.broadcast(hot), is_hot, "left_anti")
-    large = df.join(F.broadcast(hot), is_hot, "left_semi")
+    rest, large = split_hot(df, key, hot)
     return _lag_in_one_task(rest, key, order, previous).unionByName(
         _lag_across_slices(large, key, order, previous)
     )

@@ -18,7 +18,7 @@ class SkewPolicy:
     broadcast of hot keys: the largest ones are kept, and any key beyond them
     holds less than ``1 / max_hot_keys`` of the rows. Inputs estimated below
     ``small_input_bytes`` cannot hold a key too large for a task, and skip the
-    sampling job.
+    sampling job. A hot key has been seen at least twice in the sample.
     """
 
     hot_rows: int = 10_000_000
@@ -26,6 +26,10 @@ class SkewPolicy:
     max_hot_keys: int = 10_000
     small_input_bytes: int = 256 * 1024 * 1024
 
+    def __post_init__(self) -> None:
+        if self.hot_rows * self.sample_fraction < 2:
+            raise ValueError("hot_rows * sample_fraction must be at least 2")
+
 
 DEFAULT_SKEW = SkewPolicy()
 
@@ -66,3 +70,12 @@ def hot_keys(df: DataFrame, key: str, policy: SkewPolicy = DEFAULT_SKEW) -> Data
         return None
     schema = T.StructType([T.StructField(HOT_KEY, df.schema[key].dataType, True)])
     return df.sparkSession.createDataFrame([(row[0],) for row in found], schema)
+
+
+def split_hot(df: DataFrame, key: str, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of all other keys, and the rows of the hot keys."""
+    is_hot = df[key].eqNullSafe(hot[HOT_KEY])
+    return (
+        df.join(F.broadcast(hot), is_hot, "left_anti"),
+        df.join(F.broadcast(hot), is_hot, "left_semi"),
+    )

@@ -12,6 +12,7 @@ from dataclasses import dataclass, field
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cardwarden import schemas
 from cardwarden.operators import devices, fraud, gold, quality, silver
@@ -117,6 +118,10 @@ def run(
 ) -> RunSummary:
     """Run every layer over the transaction files, stopping at the first failed gate.
 
+    Bronze and the alert days of earlier runs are kept. Silver and the other
+    outputs hold what this run was given: pass a folder with all files to rebuild
+    the whole history.
+
     A failed gate keeps its results and the offending rows under ``quality/`` and
     raises ``QualityGateError``; nothing after it is written. With ``profiles``,
     the device and IP rules run too.
@@ -125,8 +130,8 @@ def run(
     day: date | None = as_of.date() if as_of else None
     results = {}
 
-    land_transactions(spark, transactions, layout.bronze, as_of)
-    bronze = read_table(spark, layout.bronze)
+    delivered = land_transactions(spark, transactions, layout.bronze, as_of)
+    bronze = read_table(spark, layout.bronze).filter(F.col("source_file").isin(delivered))
     results["bronze"] = _run_gate(
         spark, bronze, bronze_rules, "bronze", layout, as_of, policy
     )
@@ -152,8 +157,8 @@ def run(
         known = read_profiles(spark, profiles)
         for rule, hits in {
             "unknown_device": devices.device_mismatch(enriched, known),
-            "shared_device": devices.shared_key_events(enriched, "device_id"),
-            "shared_ip": devices.shared_key_events(enriched, "ip_address"),
+            "shared_device": devices.shared_key_events(enriched, "device_id", policy=policy),
+            "shared_ip": devices.shared_key_events(enriched, "ip_address", policy=policy),
             "city_change": fraud.physical_city_changes(enriched, policy=policy),
         }.items():
             write_flat(hits, layout.device_alerts(rule))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from pathlib import PurePosixPath
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from cardwarden.sources.readers import read_profiles, read_transactions_csv
 from cardwarden.sources.sinks import write_partitions
 
 
-def _land(raw: DataFrame, path: str, ingested_at: datetime | None) -> None:
+def _land(raw: DataFrame, path: str, ingested_at: datetime | None) -> list[str]:
     # One partition per delivered file: delivering a file again replaces its
     # rows and no others. Scan tasks write their own split, without a shuffle.
     stamp: Column = F.lit(ingested_at) if ingested_at else F.current_timestamp()
@@ -22,13 +23,15 @@ def _land(raw: DataFrame, path: str, ingested_at: datetime | None) -> None:
         F.col("_metadata.file_name").alias("source_file"),
     )
     write_partitions(landed, path, ["source_file"])
+    # Both sides spell a name the same way: as the last part of the file's URI.
+    return sorted({PurePosixPath(uri).name for uri in raw.inputFiles()})
 
 
 def land_transactions(
     spark: SparkSession, source: str, bronze: str, ingested_at: datetime | None = None
-) -> None:
-    """Land raw transaction CSV files as all-text parquet with their origin."""
-    _land(read_transactions_csv(spark, source), bronze, ingested_at)
+) -> list[str]:
+    """Land raw transaction CSV files as all-text parquet; return the file names."""
+    return _land(read_transactions_csv(spark, source), bronze, ingested_at)
 
 
 def land_profiles(
@@ -37,6 +40,6 @@ def land_profiles(
     bronze: str,
     ingested_at: datetime | None = None,
     multi_line: bool = True,
-) -> None:
-    """Land customer profile JSON files with their origin."""
-    _land(read_profiles(spark, source, multi_line), bronze, ingested_at)
+) -> list[str]:
+    """Land customer profile JSON files; return the file names."""
+    return _land(read_profiles(spark, source, multi_line), bronze, ingested_at)

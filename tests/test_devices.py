@@ -66,23 +66,38 @@ def random_uses(seed, n=400, span=20000):
     ]
 
 
-@pytest.mark.parametrize("slice_seconds", [1200, 5000, 86400])
-def test_shared_device_matches_brute_force(spark, slice_seconds):
-    rows = random_uses(slice_seconds, n=150)
-    want = sorted(
+def brute_force(rows):
+    return sorted(
         a[0]
         for a in rows
         if any(a[3] == b[3] and a[1] != b[1] and abs(a[2] - b[2]) <= 600 for b in rows)
     )
-    got = devices.shared_key_events(uses(spark, rows), "device_id", slice_seconds=slice_seconds)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_shared_device_matches_brute_force(spark, seed):
+    rows = random_uses(seed, n=150) + [(f"t{i}", str(i % 2), 50000, "tied") for i in range(4)]
+    want = brute_force(rows)
     assert 0 < len(want) < len(rows)
-    assert ids(got) == want
+    assert ids(devices.shared_key_events(uses(spark, rows), "device_id")) == want
+
+
+@pytest.mark.parametrize("slice_seconds", [1200, 5000, 86400])
+def test_large_devices_match_brute_force(spark, all_hot, slice_seconds):
+    rows = random_uses(slice_seconds, n=150)
+    got = devices.shared_key_events(
+        uses(spark, rows), "device_id", slice_seconds=slice_seconds, policy=all_hot
+    )
+    assert ids(got) == brute_force(rows)
 
 
-def test_shared_device_groups_before_its_shuffle(spark):
-    plan = plan_of(devices.shared_key_events(uses(spark, random_uses(1)), "device_id"))
-    assert "partial_min" in plan
-    assert "Cartesian" not in plan and "NestedLoop" not in plan
+def test_shared_device_plans(spark, all_hot):
+    rows = uses(spark, random_uses(1))
+    plain = plan_of(devices.shared_key_events(rows, "device_id"))
+    assert plain.count("Exchange") == 1
+    large = plan_of(devices.shared_key_events(rows, "device_id", policy=all_hot))
+    assert "partial_min" in large
+    assert "Cartesian" not in plain + large and "NestedLoop" not in plain + large
 
 
 def test_slices_shorter_than_the_window_are_refused(spark):

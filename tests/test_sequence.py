@@ -83,7 +83,12 @@ def test_hot_keys_are_bounded(spark):
 def test_small_input_skips_the_sample(spark, tmp_path):
     spark.createDataFrame(skewed_rows(), SCHEMA).write.parquet(str(tmp_path / "rows"))
     df = spark.read.parquet(str(tmp_path / "rows"))
-    assert hot_keys(df, "k", SkewPolicy(hot_rows=1, sample_fraction=1.0)) is None
+    assert hot_keys(df, "k", SkewPolicy(hot_rows=2, sample_fraction=1.0)) is None
+
+
+def test_a_hot_key_must_be_seen_twice():
+    with pytest.raises(ValueError, match="at least 2"):
+        SkewPolicy(hot_rows=100, sample_fraction=0.01)
 
 
 def test_one_shuffle_and_one_sort(spark):
