@@ -49,17 +49,19 @@ def device_mismatch(
     )
 
 
-def _near_other_customer(timed: DataFrame, key: str, within_seconds: int) -> DataFrame:
-    """Rows near another customer's use of the key, by the neighbours in its sequence.
+def _near_other_customer(
+    uses: DataFrame, keys: Sequence[str], tie: str, within_seconds: int
+) -> DataFrame:
+    """Uses near another customer's use of the same keys, by neighbours in sequence.
 
     The closest earlier use by another customer is the last row of the run of
     equal customers before this one. It is carried along the run, and likewise
     backwards for the closest later use. One pass each way, whatever the number
     of uses within the time.
     """
-    forward = Window.partitionBy(key).orderBy("_second", "transaction_id")
-    backward = Window.partitionBy(key).orderBy(F.desc("_second"), F.desc("transaction_id"))
-    stepped = timed.select(
+    forward = Window.partitionBy(*keys).orderBy("_second", tie)
+    backward = Window.partitionBy(*keys).orderBy(F.desc("_second"), F.desc(tie))
+    stepped = uses.select(
         "*",
         F.lag("customer_id").over(forward).alias("_customer_before"),
         F.lag("_second").over(forward).alias("_second_before"),
@@ -80,17 +82,16 @@ def _near_other_customer(timed: DataFrame, key: str, within_seconds: int) -> Dat
     )
 
 
-def _near_other_customer_by_second(
+def _near_other_customer_in_slices(
     timed: DataFrame, key: str, within_seconds: int, slice_seconds: int
 ) -> DataFrame:
     """The same rows for keys of any size.
 
-    Events are first reduced to one row per key and second, holding the lowest
-    and the highest customer. A window reaching equally far both ways over those
-    rows tells whether more than one customer is near. Each key's time is cut
-    into slices, and seconds near a cut are copied to the slice across it, so a
-    window group has at most ``slice_seconds + 2 * within_seconds`` rows however
-    many events a key has.
+    Whether a key has a second customer near a second shows from the lowest and
+    the highest customer of each second, so events are first reduced to those.
+    Each key's time is cut into slices, and seconds near a cut are copied to the
+    slice across it. A group to search then has at most two rows for each of
+    ``slice_seconds + 2 * within_seconds``, however many events a key has.
     """
 
     def slice_of(seconds: Column) -> Column:
@@ -98,20 +99,20 @@ def _near_other_customer_by_second(
 
     at = F.col("_second")
     slices = F.sequence(slice_of(at - within_seconds), slice_of(at + within_seconds))
-    near = Window.partitionBy(key, "_slice").orderBy("_second")
-    near = near.rangeBetween(-within_seconds, within_seconds)
-    shared = (
+    reduced = (
         timed.groupBy(key, "_second")
         .agg(F.min("customer_id").alias("_low"), F.max("customer_id").alias("_high"))
-        .withColumn("_slice", F.explode(slices))
+        .select(key, "_second", "_low", "_high", F.explode(slices).alias("_slice"))
         .select(
             key,
             "_second",
             "_slice",
-            F.min("_low").over(near).alias("_low"),
-            F.max("_high").over(near).alias("_high"),
+            F.explode(F.array_distinct(F.array("_low", "_high"))).alias("customer_id"),
         )
-        .filter((F.col("_low") != F.col("_high")) & (F.col("_slice") == slice_of(at)))
+    )
+    shared = (
+        _near_other_customer(reduced, [key, "_slice"], "customer_id", within_seconds)
+        .filter(F.col("_slice") == slice_of(at))
         .select(key, "_second")
     )
     return timed.join(shared, [key, "_second"], "left_semi")
@@ -132,14 +133,12 @@ def shared_key_events(
     )
     hot = hot_keys(timed, key, policy)
     if hot is None:
-        return _near_other_customer(timed, key, within_seconds).select(*enriched.columns)
+        found = _near_other_customer(timed, [key], "transaction_id", within_seconds)
+        return found.select(*enriched.columns)
     rest, large = split_hot(timed, key, hot)
-    found = _near_other_customer(rest, key, within_seconds).select(*enriched.columns)
-    return found.unionByName(
-        _near_other_customer_by_second(large, key, within_seconds, slice_seconds).select(
-            *enriched.columns
-        )
-    )
+    found = _near_other_customer(rest, [key], "transaction_id", within_seconds)
+    in_large = _near_other_customer_in_slices(large, key, within_seconds, slice_seconds)
+    return found.select(*enriched.columns).unionByName(in_large.select(*enriched.columns))
 
 
 def shared_key_pairs(

@@ -3,8 +3,9 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from cardwarden.operators import devices
+from cardwarden.operators import devices, gold, quality
 from conftest import plan_of
 from frames import enriched_rows, ids, profile_rows
 
@@ -129,3 +130,44 @@ def test_every_shared_device_has_a_pair(spark):
     shared = {r[0] for r in devices.shared_key_events(rows, "device_id").select("device_id").collect()}
     paired = {r[0] for r in devices.shared_key_pairs(rows, "device_id").select("device_id").collect()}
     assert shared == paired
+
+
+def test_one_customer_with_a_third_of_the_rows_is_split(spark, tmp_path):
+    number = F.col("id")
+    spark.range(0, 200_000, 1, 8).select(
+        number.cast("string").alias("transaction_id"),
+        F.when(number % 3 == 0, "7")
+        .otherwise(F.pmod(F.xxhash64("id"), F.lit(3000)).cast("string"))
+        .alias("customer_id"),
+        F.lit("App").alias("channel"),
+        (number % 100).cast("string").alias("device_id"),
+    ).write.parquet(str(tmp_path / "rows"))
+    spark.range(3000).select(
+        F.col("id").alias("cust_id"),
+        F.array(F.lit("5")).alias("known_devices"),
+        F.lit("Gold").alias("loyalty_tier"),
+        F.lit("Aveiro").alias("home_city"),
+        F.array(F.lit("p")).alias("active_products"),
+    ).write.parquet(str(tmp_path / "profiles"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    known = spark.read.parquet(str(tmp_path / "profiles"))
+    parents = known.select(F.col("cust_id").cast("string").alias("id"))
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    for name, value in small.items():
+        spark.conf.set(name, value)
+    try:
+        for joined in (
+            devices.device_mismatch(rows, known),
+            gold.enrich_with_profiles(rows, known),
+            quality.orphans(rows, "customer_id", parents, "id"),
+        ):
+            joined.collect()
+            assert "SortMergeJoin(skew=true)" in plan_of(joined)
+    finally:
+        for name in small:
+            spark.conf.unset(name)
