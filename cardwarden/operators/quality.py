@@ -169,19 +169,15 @@ def _mark_repeated(df: DataFrame, key: str, name: str, policy: SkewPolicy) -> Da
     """Add a boolean: does the row's non-NULL key occur more than once?
 
     Rows meet their key's count in a join, so one key's rows meet in one task.
-    Rows that would make such a task too large stay out of the join: those
-    without a key are not repeated, and a key that a sample shows to be hot is.
+    Hot keys, NULL among them, stay out of it: a sample has seen them repeat.
     """
-    keyed, unkeyed = df.filter(F.col(key).isNotNull()), df.filter(F.col(key).isNull())
-    parts = [unkeyed.withColumn(name, F.lit(False))]
-    hot = hot_keys(keyed, key, policy)
-    if hot is not None:
-        keyed, large = split_hot(keyed, key, hot)
-        parts.append(large.withColumn(name, F.lit(True)))
-    repeated = _repeated_keys(keyed, key).withColumn(name, F.lit(True))
-    joined = keyed.join(repeated, key, "left")
-    parts.append(joined.withColumn(name, F.coalesce(name, F.lit(False))))
-    return reduce(DataFrame.unionByName, parts)
+    hot = hot_keys(df, key, policy)
+    rest, large = (df, None) if hot is None else split_hot(df, key, hot)
+    repeated = _repeated_keys(rest, key).withColumn(name, F.lit(True))
+    marked = rest.join(repeated, key, "left").withColumn(name, F.coalesce(name, F.lit(False)))
+    if large is None:
+        return marked
+    return marked.unionByName(large.withColumn(name, F.col(key).isNotNull()))
 
 
 def unique_violations(df: DataFrame, key: str, policy: SkewPolicy = DEFAULT_SKEW) -> DataFrame:

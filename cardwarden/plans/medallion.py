@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
-from datetime import date, datetime
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +26,7 @@ from cardwarden.sources import (
     write_flat,
 )
 
+BRONZE_GATE = (*quality.BRONZE_RULES, quality.MALFORMED)
 # The id passes from Bronze to Silver unchanged and rows are only dropped, so the
 # uniqueness proven by the Bronze gate need not be counted a second time.
 SILVER_GATE = tuple(r for r in quality.SILVER_RULES if r.kind != "unique")
@@ -104,13 +105,90 @@ def _run_gate(
         raise
 
 
+def land_and_gate(
+    spark: SparkSession,
+    transactions: str,
+    layout: Layout,
+    rules: Sequence[quality.Rule] = BRONZE_GATE,
+    as_of: datetime | None = None,
+    policy: SkewPolicy = DEFAULT_SKEW,
+) -> tuple[list[str], list]:
+    """Raw files to Bronze; return the delivered file names and the gate's results."""
+    delivered = land_transactions(spark, transactions, layout.bronze, as_of)
+    rows = _bronze(spark, layout, delivered)
+    return delivered, _run_gate(spark, rows, rules, "bronze", layout, as_of, policy)
+
+
+def _bronze(spark: SparkSession, layout: Layout, delivered: Sequence[str] | None) -> DataFrame:
+    rows = read_table(spark, layout.bronze)
+    return rows if delivered is None else rows.filter(F.col("source_file").isin(*delivered))
+
+
+def build_silver(
+    spark: SparkSession,
+    layout: Layout,
+    delivered: Sequence[str] | None = None,
+    rules: Sequence[quality.Rule] = SILVER_GATE,
+    as_of: datetime | None = None,
+    policy: SkewPolicy = DEFAULT_SKEW,
+) -> list:
+    """Bronze, or the named files of it, to Silver; return the gate's results."""
+    write_flat(silver.refine(_bronze(spark, layout, delivered), as_of), layout.silver)
+    refined = read_table(spark, layout.silver)
+    return _run_gate(spark, refined, rules, "silver", layout, as_of, policy)
+
+
+def build_fraud(
+    spark: SparkSession,
+    layout: Layout,
+    preset: str = "strict",
+    policy: SkewPolicy = DEFAULT_SKEW,
+) -> int:
+    """Silver to alerts, BI metrics and reward eligibility; return the alert count."""
+    refined = read_table(spark, layout.silver)
+    found = fraud.fraud_alerts(refined, preset, policy)
+    alert_count = write_daily(found, layout.fraud_alerts)
+    stored = read_or_empty(spark, layout.fraud_alerts, schemas.ALERT)
+    write_flat(fraud.bi_metrics(stored), layout.bi_metrics)
+    write_flat(fraud.reward_eligible(refined, stored), layout.reward_eligible)
+    return alert_count
+
+
+def build_kpis(spark: SparkSession, layout: Layout, as_of: datetime | None = None) -> None:
+    """Silver to category KPIs, one small file."""
+    kpis = gold.category_kpis(read_table(spark, layout.silver), as_of.date() if as_of else None)
+    write_flat(kpis.coalesce(1), layout.category_kpis)
+
+
+def build_device_alerts(
+    spark: SparkSession,
+    layout: Layout,
+    profiles: str,
+    delivered: Sequence[str] | None = None,
+    as_of: datetime | None = None,
+    policy: SkewPolicy = DEFAULT_SKEW,
+) -> None:
+    """Bronze and profiles to the device, IP and city rules' alerts."""
+    rows = silver.refine_enriched(_bronze(spark, layout, delivered), as_of)
+    write_flat(rows, layout.silver_enriched)
+    enriched = read_table(spark, layout.silver_enriched)
+    known = read_profiles(spark, profiles)
+    for rule, hits in {
+        "unknown_device": devices.device_mismatch(enriched, known),
+        "shared_device": devices.shared_key_events(enriched, "device_id", policy=policy),
+        "shared_ip": devices.shared_key_events(enriched, "ip_address", policy=policy),
+        "city_change": fraud.physical_city_changes(enriched, policy=policy),
+    }.items():
+        write_flat(hits, layout.device_alerts(rule))
+
+
 def run(
     spark: SparkSession,
     transactions: str,
     out: str,
     profiles: str | None = None,
     *,
-    bronze_rules: Sequence[quality.Rule] = (*quality.BRONZE_RULES, quality.MALFORMED),
+    bronze_rules: Sequence[quality.Rule] = BRONZE_GATE,
     silver_rules: Sequence[quality.Rule] = SILVER_GATE,
     preset: str = "strict",
     as_of: datetime | None = None,
@@ -127,40 +205,12 @@ def run(
     the device and IP rules run too.
     """
     layout = Layout(out)
-    day: date | None = as_of.date() if as_of else None
-    results = {}
-
-    delivered = land_transactions(spark, transactions, layout.bronze, as_of)
-    bronze = read_table(spark, layout.bronze).filter(F.col("source_file").isin(delivered))
-    results["bronze"] = _run_gate(
-        spark, bronze, bronze_rules, "bronze", layout, as_of, policy
-    )
-
-    write_flat(silver.refine(bronze, as_of), layout.silver)
-    refined = read_table(spark, layout.silver)
-    results["silver"] = _run_gate(
-        spark, refined, silver_rules, "silver", layout, as_of, policy
-    )
-
-    alert_count = write_daily(
-        fraud.fraud_alerts(refined, preset, policy), layout.fraud_alerts
+    delivered, bronze_results = land_and_gate(
+        spark, transactions, layout, bronze_rules, as_of, policy
     )
-    stored = read_or_empty(spark, layout.fraud_alerts, schemas.ALERT)
-    write_flat(fraud.bi_metrics(stored), layout.bi_metrics)
-    write_flat(fraud.reward_eligible(refined, stored), layout.reward_eligible)
-
-    write_flat(gold.category_kpis(refined, day).coalesce(1), layout.category_kpis)
-
+    silver_results = build_silver(spark, layout, delivered, silver_rules, as_of, policy)
+    alert_count = build_fraud(spark, layout, preset, policy)
+    build_kpis(spark, layout, as_of)
     if profiles is not None:
-        write_flat(silver.refine_enriched(bronze, as_of), layout.silver_enriched)
-        enriched = read_table(spark, layout.silver_enriched)
-        known = read_profiles(spark, profiles)
-        for rule, hits in {
-            "unknown_device": devices.device_mismatch(enriched, known),
-            "shared_device": devices.shared_key_events(enriched, "device_id", policy=policy),
-            "shared_ip": devices.shared_key_events(enriched, "ip_address", policy=policy),
-            "city_change": fraud.physical_city_changes(enriched, policy=policy),
-        }.items():
-            write_flat(hits, layout.device_alerts(rule))
-
-    return RunSummary(layout, alert_count, results)
+        build_device_alerts(spark, layout, profiles, delivered, as_of, policy)
+    return RunSummary(layout, alert_count, {"bronze": bronze_results, "silver": silver_results})

@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as contract
+import bench
 import oracle
 
 SF = "/root/testdata/sf0.001"
@@ -17,6 +18,10 @@ def test_every_query_has_sql():
     assert set(contract.queries()) == set(contract.oracle_sql())
 
 
+def test_benchmark_times_registered_queries():
+    assert set(bench.HEADLINE) <= set(contract.queries())
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
 

@@ -5,6 +5,7 @@ from datetime import datetime
 import pytest
 
 from cardwarden import schemas
+from cardwarden.__main__ import main
 from cardwarden.operators import quality
 from cardwarden.plans import medallion
 from cardwarden.sources import read_table
@@ -120,3 +121,33 @@ def test_device_rules_run_with_profiles(spark, tmp_path):
         "shared_ip": ["t1", "t3"],
         "city_change": [],
     }
+
+
+def test_steps_from_the_command_line(spark, tmp_path, capsys):
+    source = deliver(tmp_path / "in", "transactions_20260330.csv", DAY_ONE)
+    out = str(tmp_path / "lake")
+    common = ["--out", out, "--as-of", "2026-04-01"]
+    assert main(["bronze", "--transactions", source, *common]) == 0
+    assert main(["silver", *common]) == 0
+    assert main(["fraud", "--preset", "permissive", *common]) == 0
+    assert main(["kpi", *common]) == 0
+    assert "1 alerts" in capsys.readouterr().out
+    steps = contents(spark, medallion.Layout(out))
+
+    whole = str(tmp_path / "whole")
+    arguments = ["--out", whole, "--as-of", "2026-04-01", "--preset", "permissive"]
+    assert main(["run", "--transactions", source, *arguments]) == 0
+    assert contents(spark, medallion.Layout(whole)) == steps
+
+
+def test_a_failed_gate_exits_with_1(spark, tmp_path, capsys):
+    source = deliver(tmp_path / "in", "transactions_20260330.csv", [*DAY_ONE, DAY_ONE[0]])
+    assert main(["run", "--transactions", source, "--out", str(tmp_path / "lake")]) == 1
+    assert "DQ-F02" in capsys.readouterr().err
+
+
+def test_missing_arguments_are_refused():
+    with pytest.raises(SystemExit):
+        main(["run", "--out", "x"])
+    with pytest.raises(SystemExit):
+        main(["devices", "--out", "x"])
