@@ -29,6 +29,9 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--transactions", help="CSV files (run, bronze)")
     parser.add_argument("--profiles", help="JSON files (run, devices)")
     parser.add_argument("--preset", choices=sorted(PRESETS), default="strict")
+    parser.add_argument(
+        "--hold-bad-rows", action="store_true", help="quarantine bad rows and go on (run)"
+    )
     parser.add_argument("--as-of", type=datetime.fromisoformat, help="the run's time")
     args = parser.parse_args(argv)
     if args.step in ("run", "bronze") and not args.transactions:
@@ -55,6 +58,7 @@ def main(argv: list[str] | None = None) -> int:
                 args.profiles,
                 preset=args.preset,
                 as_of=args.as_of,
+                hold_bad_rows=args.hold_bad_rows,
             )
             print(f"{summary.alert_count} alerts")
         elif args.step == "bronze":

@@ -6,7 +6,7 @@ adds one grouped count, which Spark pre-aggregates before its shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
@@ -16,11 +16,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardwarden import schemas
+from cardwarden.functions import parse_amount, parse_timestamp
 from cardwarden.operators.skew import DEFAULT_SKEW, SkewPolicy, hot_keys, split_hot
 
 # Rule categories and severities.
 PHYSICAL, BUSINESS = "F", "N"
 STOP, WARN = "stop", "warn"
+HELD, ACCEPTED = "held", "accepted"
 
 
 @dataclass(frozen=True)
@@ -28,9 +30,9 @@ class Rule:
     """One expectation on one column.
 
     ``kind`` is ``not_null``, ``unique``, ``between``, ``in_set``,
-    ``date_between`` or ``well_formed``. All but ``not_null`` and ``well_formed``
-    skip NULLs. ``upper=None`` leaves a range open; for ``date_between`` it means
-    "now".
+    ``date_between``, ``well_formed``, ``is_amount`` or ``is_timestamp``; the last
+    two ask whether text converts. All but ``not_null`` and ``well_formed`` skip
+    NULLs. ``upper=None`` leaves a range open; for ``date_between`` it means "now".
     """
 
     rule_id: str
@@ -69,7 +71,12 @@ SILVER_RULES = (
     Rule("DQ-F03", "customer_id", "not_null"),
     Rule("DQ-F04", "amount", "not_null"),
 )
-MALFORMED = Rule("DQ-R01", schemas.CORRUPT_RECORD, "well_formed", severity=WARN)
+# Raw text that would be lost on the way to Silver. Warnings, as nothing says stop.
+TEXT_RULES = (
+    Rule("DQ-R01", schemas.CORRUPT_RECORD, "well_formed", severity=WARN),
+    Rule("DQ-R02", "tx_amount", "is_amount", severity=WARN),
+    Rule("DQ-R03", "tx_datetime", "is_timestamp", severity=WARN),
+)
 
 
 class QualityGateError(Exception):
@@ -93,6 +100,10 @@ def _row_failure(rule: Rule, as_of: datetime | None) -> Column:
         return value.isNull()
     if rule.kind == "well_formed":
         return value.isNotNull()
+    if rule.kind == "is_amount":
+        return value.isNotNull() & parse_amount(value).isNull()
+    if rule.kind == "is_timestamp":
+        return value.isNotNull() & parse_timestamp(value).isNull()
     if rule.kind == "in_set":
         bad = ~value.isin(*rule.allowed)
     elif rule.kind in ("between", "date_between"):
@@ -276,9 +287,17 @@ def with_failed_rules(
     )
 
 
-def _breaks_any(rule_ids: Iterable[str]) -> Column:
-    return F.arrays_overlap(
-        "failed_rules", F.array(*[F.lit(i) for i in rule_ids]).cast("array<string>")
+def screened(
+    df: DataFrame,
+    rules: Sequence[Rule],
+    as_of: datetime | None = None,
+    policy: SkewPolicy = DEFAULT_SKEW,
+) -> DataFrame:
+    """Add ``failed_rules`` and ``outcome``: ``held`` if a stop-level rule is broken."""
+    stops = F.array(*[F.lit(r.rule_id) for r in rules if r.severity == STOP])
+    held = F.arrays_overlap("failed_rules", stops.cast("array<string>"))
+    return with_failed_rules(df, rules, as_of, policy).withColumn(
+        "outcome", F.when(held, HELD).otherwise(ACCEPTED)
     )
 
 
@@ -289,8 +308,8 @@ def quarantine(
     policy: SkewPolicy = DEFAULT_SKEW,
 ) -> DataFrame:
     """Rows that break a stop-level rule, with all the rules they break."""
-    stops = [r.rule_id for r in rules if r.severity == STOP]
-    return with_failed_rules(df, rules, as_of, policy).filter(_breaks_any(stops))
+    rows = screened(df, rules, as_of, policy)
+    return rows.filter(F.col("outcome") == HELD).drop("outcome")
 
 
 def accepted(
@@ -300,9 +319,8 @@ def accepted(
     policy: SkewPolicy = DEFAULT_SKEW,
 ) -> DataFrame:
     """Rows that break no stop-level rule: the complement of ``quarantine``."""
-    stops = [r.rule_id for r in rules if r.severity == STOP]
-    kept = with_failed_rules(df, rules, as_of, policy).filter(~_breaks_any(stops))
-    return kept.drop("failed_rules")
+    rows = screened(df, rules, as_of, policy)
+    return rows.filter(F.col("outcome") == ACCEPTED).select(*df.columns)
 
 
 def schema_check(

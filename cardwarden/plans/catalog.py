@@ -259,7 +259,8 @@ def _profile_files(spark: SparkSession, sf_dir: str) -> str:
             F.floor(F.col("cust_id") / 500).alias("part"), F.to_json(F.struct("*")).alias("row")
         )
         .groupBy("part")
-        .agg(F.concat(F.lit("["), F.array_join(F.collect_list("row"), ",\n"), F.lit("]")).alias("value"))
+        .agg(F.array_join(F.collect_list("row"), ",\n").alias("rows"))
+        .select("part", F.concat(F.lit("["), "rows", F.lit("]")).alias("value"))
         .write.partitionBy("part")
         .text(path)
     )
@@ -707,8 +708,8 @@ def product_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query(
-    f"""WITH {_BRONZE} SELECT 'tx_id' AS column_name, count(*) FILTER (WHERE tx_id IS NULL) AS null_count
-FROM bronze
+    f"""WITH {_BRONZE}
+SELECT 'tx_id' AS column_name, count(*) FILTER (WHERE tx_id IS NULL) AS null_count FROM bronze
 UNION ALL SELECT 'cust_id', count(*) FILTER (WHERE cust_id IS NULL) FROM bronze
 UNION ALL SELECT 'amount', count(*) FILTER
   (WHERE TRY_CAST(replace(tx_amount, ',', '.') AS DOUBLE) IS NULL) FROM bronze"""
@@ -844,6 +845,23 @@ def dq_between(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.evaluate(adapters.table(spark, sf_dir, "customer"), [rule])
 
 
+@_query(
+    f"""WITH {_BRONZE}
+SELECT 'DQ-R02' AS rule_id, 'tx_amount' AS "column", 'F' AS category, 'warn' AS severity,
+       count(tx_amount) AS evaluated, count(tx_amount) FILTER
+         (WHERE TRY_CAST(replace(tx_amount, ',', '.') AS DOUBLE) IS NULL) AS failed,
+       FALSE AS success
+FROM bronze
+UNION ALL SELECT 'DQ-R03', 'tx_datetime', 'F', 'warn', count(tx_datetime),
+       count(tx_datetime) FILTER (WHERE TRY_CAST(tx_datetime AS TIMESTAMP) IS NULL), FALSE
+FROM bronze"""
+)
+def dq_text_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw text that does not convert."""
+    rules = [r for r in quality.TEXT_RULES if r.column in schemas.BRONZE.fieldNames()]
+    return quality.evaluate(adapters.bronze(spark, sf_dir), rules)
+
+
 @_query(
     f"""WITH {_RULE_ROWS}, marked AS (
   SELECT *, concat_ws(',',

@@ -26,7 +26,7 @@ from cardwarden.sources import (
     write_flat,
 )
 
-BRONZE_GATE = (*quality.BRONZE_RULES, quality.MALFORMED)
+BRONZE_GATE = quality.BRONZE_RULES + quality.TEXT_RULES
 # The id passes from Bronze to Silver unchanged and rows are only dropped, so the
 # uniqueness proven by the Bronze gate need not be counted a second time.
 SILVER_GATE = tuple(r for r in quality.SILVER_RULES if r.kind != "unique")
@@ -75,8 +75,11 @@ class Layout:
     def results(self, layer: str) -> str:
         return self._at("quality", "results", layer)
 
+    def screened(self, layer: str) -> str:
+        return self._at("quality", "screened", layer)
+
     def quarantine(self, layer: str) -> str:
-        return self._at("quality", "quarantine", layer)
+        return self._at("quality", "screened", layer, f"outcome={quality.HELD}")
 
 
 @dataclass(frozen=True)
@@ -86,23 +89,36 @@ class RunSummary:
     results: dict[str, list] = field(default_factory=dict)
 
 
-def _run_gate(
+def _gate(
     spark: SparkSession,
-    df: DataFrame,
+    rows: DataFrame,
     rules: Sequence[quality.Rule],
     layer: str,
     layout: Layout,
     as_of: datetime | None,
     policy: SkewPolicy,
-) -> list:
+    hold: bool,
+) -> tuple[DataFrame, list]:
+    """Write the suite's results; return the rows to go on with, and the results.
+
+    If a stop-level rule fails, the rows that break one are held apart. The run
+    then ends, unless ``hold`` lets it go on with the others.
+    """
     if not rules:
-        return []
-    write_flat(quality.evaluate(df, rules, as_of).coalesce(1), layout.results(layer))
+        return rows, []
+    write_flat(quality.evaluate(rows, rules, as_of).coalesce(1), layout.results(layer))
     try:
-        return quality.gate(read_table(spark, layout.results(layer)), layer)
-    except quality.QualityGateError:
-        write_flat(quality.quarantine(df, rules, as_of, policy), layout.quarantine(layer))
-        raise
+        return rows, quality.gate(read_table(spark, layout.results(layer)), layer)
+    except quality.QualityGateError as failure:
+        screened = quality.screened(rows, rules, as_of, policy)
+        outcome = F.col("outcome")
+        kept = screened if hold else screened.filter(outcome == quality.HELD)
+        kept.write.mode("overwrite").partitionBy("outcome").parquet(layout.screened(layer))
+        if not hold:
+            raise
+        stored = read_table(spark, layout.screened(layer))
+        passed = stored.filter(outcome == quality.ACCEPTED).select(*rows.columns)
+        return passed, failure.results
 
 
 def land_and_gate(
@@ -112,30 +128,31 @@ def land_and_gate(
     rules: Sequence[quality.Rule] = BRONZE_GATE,
     as_of: datetime | None = None,
     policy: SkewPolicy = DEFAULT_SKEW,
-) -> tuple[list[str], list]:
-    """Raw files to Bronze; return the delivered file names and the gate's results."""
+    hold: bool = False,
+) -> tuple[DataFrame, list]:
+    """Raw files to Bronze; return the delivered rows that may go on, and the results."""
     delivered = land_transactions(spark, transactions, layout.bronze, as_of)
-    rows = _bronze(spark, layout, delivered)
-    return delivered, _run_gate(spark, rows, rules, "bronze", layout, as_of, policy)
-
-
-def _bronze(spark: SparkSession, layout: Layout, delivered: Sequence[str] | None) -> DataFrame:
-    rows = read_table(spark, layout.bronze)
-    return rows if delivered is None else rows.filter(F.col("source_file").isin(*delivered))
+    rows = read_table(spark, layout.bronze).filter(F.col("source_file").isin(*delivered))
+    return _gate(spark, rows, rules, "bronze", layout, as_of, policy, hold)
 
 
 def build_silver(
     spark: SparkSession,
     layout: Layout,
-    delivered: Sequence[str] | None = None,
+    rows: DataFrame | None = None,
     rules: Sequence[quality.Rule] = SILVER_GATE,
     as_of: datetime | None = None,
     policy: SkewPolicy = DEFAULT_SKEW,
+    hold: bool = False,
 ) -> list:
-    """Bronze, or the named files of it, to Silver; return the gate's results."""
-    write_flat(silver.refine(_bronze(spark, layout, delivered), as_of), layout.silver)
+    """The given Bronze rows, or all of them, to Silver; return the gate's results."""
+    bronze = read_table(spark, layout.bronze) if rows is None else rows
+    write_flat(silver.refine(bronze, as_of), layout.silver)
     refined = read_table(spark, layout.silver)
-    return _run_gate(spark, refined, rules, "silver", layout, as_of, policy)
+    passed, results = _gate(spark, refined, rules, "silver", layout, as_of, policy, hold)
+    if passed is not refined:
+        write_flat(passed, layout.silver)
+    return results
 
 
 def build_fraud(
@@ -164,13 +181,13 @@ def build_device_alerts(
     spark: SparkSession,
     layout: Layout,
     profiles: str,
-    delivered: Sequence[str] | None = None,
+    rows: DataFrame | None = None,
     as_of: datetime | None = None,
     policy: SkewPolicy = DEFAULT_SKEW,
 ) -> None:
-    """Bronze and profiles to the device, IP and city rules' alerts."""
-    rows = silver.refine_enriched(_bronze(spark, layout, delivered), as_of)
-    write_flat(rows, layout.silver_enriched)
+    """Bronze rows and profiles to the device, IP and city rules' alerts."""
+    bronze = read_table(spark, layout.bronze) if rows is None else rows
+    write_flat(silver.refine_enriched(bronze, as_of), layout.silver_enriched)
     enriched = read_table(spark, layout.silver_enriched)
     known = read_profiles(spark, profiles)
     for rule, hits in {
@@ -192,6 +209,7 @@ def run(
     silver_rules: Sequence[quality.Rule] = SILVER_GATE,
     preset: str = "strict",
     as_of: datetime | None = None,
+    hold_bad_rows: bool = False,
     policy: SkewPolicy = DEFAULT_SKEW,
 ) -> RunSummary:
     """Run every layer over the transaction files, stopping at the first failed gate.
@@ -201,16 +219,19 @@ def run(
     the whole history.
 
     A failed gate keeps its results and the offending rows under ``quality/`` and
-    raises ``QualityGateError``; nothing after it is written. With ``profiles``,
+    raises ``QualityGateError``; nothing after it is written. ``hold_bad_rows``
+    holds those rows back instead and goes on with the others. With ``profiles``,
     the device and IP rules run too.
     """
     layout = Layout(out)
-    delivered, bronze_results = land_and_gate(
-        spark, transactions, layout, bronze_rules, as_of, policy
+    rows, bronze_results = land_and_gate(
+        spark, transactions, layout, bronze_rules, as_of, policy, hold_bad_rows
+    )
+    silver_results = build_silver(
+        spark, layout, rows, silver_rules, as_of, policy, hold_bad_rows
     )
-    silver_results = build_silver(spark, layout, delivered, silver_rules, as_of, policy)
     alert_count = build_fraud(spark, layout, preset, policy)
     build_kpis(spark, layout, as_of)
     if profiles is not None:
-        build_device_alerts(spark, layout, profiles, delivered, as_of, policy)
+        build_device_alerts(spark, layout, profiles, rows, as_of, policy)
     return RunSummary(layout, alert_count, {"bronze": bronze_results, "silver": silver_results})

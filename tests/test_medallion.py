@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
@@ -104,6 +105,51 @@ def test_malformed_lines_warn_only(spark, tmp_path):
     assert warned == ["DQ-R01"]
 
 
+def test_bad_text_warns_and_can_be_made_to_stop(spark, tmp_path):
+    bad = "t9,1001,31/03/2026,1.0,Lazer,App,N/A,1.2.3.4,d1"
+    source = deliver(tmp_path / "in", "transactions_20260330.csv", [*DAY_ONE, bad])
+    summary = medallion.run(spark, source, str(tmp_path / "lake"), as_of=AS_OF)
+    assert [r["rule_id"] for r in summary.results["bronze"] if not r["success"]] == ["DQ-R03"]
+
+    strict = [replace(r, severity=quality.STOP) for r in medallion.BRONZE_GATE]
+    with pytest.raises(quality.QualityGateError, match="DQ-R03 on tx_datetime: 1 of 4"):
+        medallion.run(spark, source, str(tmp_path / "stop"), bronze_rules=strict, as_of=AS_OF)
+    held = read_table(spark, medallion.Layout(str(tmp_path / "stop")).quarantine("bronze"))
+    assert ids(held, "tx_id") == ["t9"]
+
+
+def test_held_rows_and_the_others_make_up_the_input(spark, tmp_path, all_hot):
+    bad = [
+        DAY_ONE[0],
+        ",1001,2026-03-30 10:00:00,1,Lazer,App,N/A,1.2.3.4,d1",
+        "t9,1001,2026-03-30 10:00:00,abc,Lazer,App,N/A,1.2.3.4,d1",
+    ]
+    source = deliver(tmp_path / "in", "transactions_20260330.csv", DAY_ONE + bad)
+    for name, policy in (("plain", {}), ("hot", {"policy": all_hot})):
+        out = str(tmp_path / name)
+        layout = medallion.run(spark, source, out, hold_bad_rows=True, as_of=AS_OF, **policy).layout
+        assert ids(read_table(spark, layout.silver)) == ["t2", "t3"]
+        held = read_table(spark, layout.quarantine("bronze")).collect()
+        assert sorted((r["tx_id"] or "", r["failed_rules"]) for r in held) == [
+            ("", ["DQ-F01"]),
+            ("t1", ["DQ-F02"]),
+            ("t1", ["DQ-F02"]),
+        ]
+        held = read_table(spark, layout.quarantine("silver")).collect()
+        assert [(r["transaction_id"], r["failed_rules"]) for r in held] == [("t9", ["DQ-F04"])]
+
+
+def test_large_keys_give_the_same_tables(spark, tmp_path, all_hot):
+    source = deliver(tmp_path / "in", "transactions_20260330.csv", DAY_ONE + DAY_TWO)
+    tables = []
+    for name, policy in (("plain", {}), ("hot", {"policy": all_hot})):
+        layout = medallion.run(
+            spark, source, str(tmp_path / name), preset="permissive", as_of=AS_OF, **policy
+        ).layout
+        tables.append(contents(spark, layout))
+    assert tables[0] == tables[1]
+
+
 def test_device_rules_run_with_profiles(spark, tmp_path):
     source = deliver(tmp_path / "in", "transactions_20260330.csv", DAY_ONE + DAY_TWO)
     profiles = tmp_path / "profiles.json"
