@@ -846,15 +846,15 @@ def dq_between(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query(
-    f"""WITH {_BRONZE}
-SELECT 'DQ-R02' AS rule_id, 'tx_amount' AS "column", 'F' AS category, 'warn' AS severity,
-       count(tx_amount) AS evaluated, count(tx_amount) FILTER
-         (WHERE TRY_CAST(replace(tx_amount, ',', '.') AS DOUBLE) IS NULL) AS failed,
-       FALSE AS success
-FROM bronze
-UNION ALL SELECT 'DQ-R03', 'tx_datetime', 'F', 'warn', count(tx_datetime),
-       count(tx_datetime) FILTER (WHERE TRY_CAST(tx_datetime AS TIMESTAMP) IS NULL), FALSE
-FROM bronze"""
+    f"""WITH {_BRONZE}, results AS (
+  SELECT 'DQ-R02' AS rule_id, 'tx_amount' AS "column", 'F' AS category, 'warn' AS severity,
+         count(tx_amount) AS evaluated, count(tx_amount) FILTER
+           (WHERE TRY_CAST(replace(tx_amount, ',', '.') AS DOUBLE) IS NULL) AS failed
+  FROM bronze
+  UNION ALL SELECT 'DQ-R03', 'tx_datetime', 'F', 'warn', count(tx_datetime),
+         count(tx_datetime) FILTER (WHERE TRY_CAST(tx_datetime AS TIMESTAMP) IS NULL)
+  FROM bronze)
+SELECT *, failed = 0 AS success FROM results"""
 )
 def dq_text_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw text that does not convert."""
