@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "*", app: str = "cardwarden", **conf: str) -> SparkSession:
@@ -33,7 +33,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a working table that several jobs must share.
 
     It lies under the cluster's ``spark.checkpoint.dir`` so that every executor
-    sees it. A machine-local folder is used only when that is unset, as in tests.
+    sees it. A machine-local folder is used only when that is unset and the whole
+    application runs on one machine, as in tests; a cluster without the setting
+    gets an error, since its executors could not see each other's files.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="cardwarden-")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(
+                "spark.checkpoint.dir must name a folder that the driver and all executors share"
+            )
+        base = tempfile.mkdtemp(prefix="cardwarden-")
     return f"{base.rstrip('/')}/cardwarden-{uuid.uuid4().hex}/{name}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared scratch folder and read again.
+
+    Later jobs start from the files, so a lost executor costs a read and not the
+    work before it.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
