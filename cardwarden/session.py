@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,3 +59,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the executors' Python workers, once for each application."""
+    context = spark.sparkContext
+    if getattr(context, "_cardwarden_shipped", False):
+        return
+    root = Path(__file__).resolve().parents[1]
+    archive = shutil.make_archive(
+        f"{tempfile.mkdtemp(prefix='cardwarden-')}/cardwarden", "zip", root, "cardwarden"
+    )
+    context.addPyFile(archive)
+    context._cardwarden_shipped = True
