@@ -43,8 +43,15 @@ def components(links: DataFrame) -> DataFrame:
         small = large.groupBy("a").agg(F.min("b").alias("m"))
         edges = (
             large.join(small, "a")
-            .select(F.explode(F.array(F.struct("a", "m"), F.struct("b", "m"))).alias("e"))
-            .select(F.col("e.a").alias("a"), F.col("e.m").alias("b"))
+            .select(
+                F.explode(
+                    F.array(
+                        F.struct(F.col("a"), F.col("m").alias("b")),
+                        F.struct(F.col("b").alias("a"), F.col("m").alias("b")),
+                    )
+                ).alias("e")
+            )
+            .select("e.a", "e.b")
             .where(F.col("a") != F.col("b"))
             .distinct()
         )

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwarden.llm import compression, mixing, packing
+from cardwarden.llm import compression, jaccard, mixing, packing
 from cardwarden.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,3 +70,32 @@ def op8_pack_power_of_two(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query()
 def op9_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression.measure(_table(spark, sf_dir, "documents"), ["doc_id"])
+
+
+_WORDS = r"'[^\x20\x09-\x0D]+'"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@_query(
+    f"""WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, {_WORDS}) AS w FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([array_to_string(w[i : i + 4], ' ') FOR i IN range(1, len(w) - 3)])
+    END AS s FROM worded
+), sized AS (SELECT doc_id, s, len(s) AS n FROM sets),
+shingles AS MATERIALIZED (SELECT doc_id, n, unnest(s) AS g FROM sized),
+links AS MATERIALIZED (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b USING (g)
+  WHERE a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM sized
+  UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, min(b) AS component_id
+FROM sized JOIN reach ON reach.a = doc_id GROUP BY doc_id, n"""
+)
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.grouped(jaccard.join(_table(spark, sf_dir, "documents")))
+    return found.select("doc_id", "n_shingles", "component_id")
