@@ -16,21 +16,44 @@ from pyspark.sql import functions as F
 CONTEXT = 2048
 END = 1
 #: Distinct words that one Python worker remembers; beyond it the memory starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 #: Bits of a sequence id: the place in its task, then the task, then the length's power.
 _PLACE_BITS, _TASK_BITS = 34, 24
 
-# A space beside other white space: there the tokenizer's runs of white space could
-# cross the cut before a space.
-_RUNS = re.compile(r" \s|\s ")
+# Runs of white space, which the tokenizer may take as one: no cut there. The other is
+# the mark that the cuts are made at.
+_MARK = "\x00"
+_RUNS = re.compile(rf"\s\s|{_MARK}")
+
+
+# Signs that a part may end with. After a letter they are a token run of their own.
+_SIGNS = ".,;:!?%$#*&|)]}\""
+
+
+class _Parts(dict):
+    """Numbers the parts of texts; new ones are gathered until they are encoded."""
+
+    def __init__(self) -> None:
+        self.count = 0
+        self.new: list[tuple[int, str]] = []
+
+    def add(self, part: str) -> int:
+        """A number that is not looked up again."""
+        self.new.append((self.count, part))
+        self.count += 1
+        return self.count - 1
+
+    def __missing__(self, part: str) -> int:
+        self[part] = number = self.add(part)
+        return number
 
 
 class _Encoder:
-    """Token ids by the tokenizer file, each distinct word encoded once.
+    """Token ids by the tokenizer file, each distinct part of a text encoded once.
 
-    The tokenizer's own pattern never joins a letter, digit or sign with a space that
-    follows it, so a text may be cut before every single space and its parts encoded
-    apart. Texts with longer runs of white space are encoded whole.
+    The tokenizer's own pattern never joins a letter, digit or sign with white space
+    that follows it, so a text may be cut before every single space and line end and
+    its parts encoded apart. Texts with longer runs of white space are encoded whole.
     """
 
     _open: dict[str, _Encoder] = {}
@@ -50,51 +73,87 @@ class _Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.parts = _Parts()
         self.ids = np.zeros(1 << 16, np.uint32)
-        self.at = np.zeros(1 << 16, np.int64)
+        self.start = np.zeros(1 << 16, np.int64)
+        self.length = np.zeros(1 << 16, np.int64)
         self.used = 0
 
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, parts: list[str]) -> None:
-        if len(self.known) > REMEMBERED:
+    def _room(self) -> None:
+        for name, need in (("start", self.parts.count), ("length", self.parts.count)):
+            have = getattr(self, name)
+            if need > len(have):
+                setattr(self, name, np.resize(have, max(2 * len(have), need)))
+
+    def _learn(self) -> None:
+        """Encode the new parts; a word with signs behind it is the word's ids and theirs."""
+        new, known = self.parts.new, self.parts
+        plain, joined = [], []
+        for number, part in new:  # grows while it is read
+            word = part.rstrip(_SIGNS)
+            if word and len(word) < len(part) and word[-1].isalpha() and part in known:
+                joined.append((number, known[word], known[part[len(word) :]]))
+            else:
+                plain.append((number, part))
+        found = self.tokenizer.encode_batch_fast([x for _, x in plain], add_special_tokens=False)
+        ids = {number: x.ids for (number, _), x in zip(plain, found, strict=True)}
+        old = self.used
+        self._room()
+
+        def have(number: int) -> list[int]:
+            if number in ids:
+                return ids[number]
+            at = self.start[number]
+            return self.ids[at : at + self.length[number]].tolist()
+
+        for number, word, signs in joined:
+            ids[number] = have(word) + have(signs)
+        lengths = np.fromiter(map(len, ids.values()), np.int64, len(ids))
+        flat = np.fromiter((i for x in ids.values() for i in x), np.uint32, int(lengths.sum()))
+        numbers = np.fromiter(ids, np.int64, len(ids))
+        if old + len(flat) > len(self.ids):
+            self.ids = np.resize(self.ids, max(2 * len(self.ids), old + len(flat)))
+        self.ids[old : old + len(flat)] = flat
+        self.start[numbers] = old + np.cumsum(lengths) - lengths
+        self.length[numbers] = lengths
+        self.used = old + len(flat)
+        new.clear()
+
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text, and ``END``."""
+        if len(self.parts) > REMEMBERED:
             self.forget()
-        new = [x for x in dict.fromkeys(parts) if x not in self.known]
-        if not new:
-            return
-        found = self._encode(new)
-        flat = np.fromiter((i for ids in found for i in ids), np.uint32)
-        ends = self.used + np.cumsum([len(x) for x in found])
-        first = len(self.known)
-        if ends[-1] > len(self.ids):
-            self.ids = np.resize(self.ids, max(2 * len(self.ids), int(ends[-1])))
-        if first + len(new) + 1 > len(self.at):
-            self.at = np.resize(self.at, max(2 * len(self.at), first + len(new) + 1))
-        self.ids[self.used : ends[-1]] = flat
-        self.at[first + 1 : first + len(new) + 1] = ends
-        self.used = int(ends[-1])
-        self.known.update(zip(new, range(first, first + len(new)), strict=True))
-
-    def __call__(self, text: str) -> np.ndarray:
-        if not text:
-            return np.zeros(0, np.uint32)
-        if _RUNS.search(text):
-            return np.array(self._encode([text])[0], np.uint32)
-        head, *tail = text.split(" ")
-        parts = [" " + x for x in tail]
-        if head:
-            parts.insert(0, head)
-        try:
-            which = np.fromiter(map(self.known.__getitem__, parts), np.int64, len(parts))
-        except KeyError:
-            self._learn(parts)
-            which = np.fromiter(map(self.known.__getitem__, parts), np.int64, len(parts))
-        start, end = self.at[which], self.at[which + 1]
-        length = end - start
-        shift = start - (np.cumsum(length) - length)
-        return self.ids[np.arange(int(length.sum())) + np.repeat(shift, length)]
+        look, which, sizes = self.parts.__getitem__, [], []
+        for text in texts:
+            if _RUNS.search(text):
+                numbers = [self.parts.add(text)]
+            else:
+                text = text.replace(" ", _MARK + " ").replace("\n", _MARK + "\n")
+                numbers = list(map(look, text.split(_MARK)))
+            which += numbers
+            sizes.append(len(numbers))
+        if self.parts.new:
+            self._learn()
+        which = np.array(which, np.int64)
+        start, length = self.start[which], self.length[which]
+        ends = np.concatenate(([0], np.cumsum(length)))
+        flat = self.ids[np.arange(ends[-1]) + np.repeat(start - ends[:-1], length)].astype("<u4")
+        at = ends[np.concatenate(([0], np.cumsum(sizes)))]
+        end = np.full(1, END, "<u4")
+        return [np.concatenate((flat[a:b], end)) for a, b in zip(at[:-1], at[1:], strict=True)]
+
+
+def _blocks(column: pa.Array, limit: int = 500_000) -> Iterator[list[str]]:
+    """The texts of a column, some at a time; null counts as empty."""
+    block, held = [], 0
+    for value in column:
+        block.append(value.as_py() or "")
+        held += len(block[-1])
+        if held > limit:
+            yield block
+            block, held = [], 0
+    if block:
+        yield block
 
 
 def piece_lengths(n: int, context: int = CONTEXT) -> list[int]:
@@ -158,8 +217,8 @@ def pack(
                 return pa.RecordBatch.from_arrays(columns, names=names)
 
             held = 0
-            for i, value in enumerate(batch.column(batch.num_columns - 1)):
-                have = np.append(encode(value.as_py() or ""), np.uint32(END)).astype("<u4")
+            texts = _blocks(batch.column(batch.num_columns - 1))
+            for i, have in enumerate(x for block in texts for x in encode(block)):
                 at = 0
                 for n in piece_lengths(len(have), context):
                     part, power = have[at : at + n], n.bit_length() - 1
