@@ -1,11 +1,22 @@
-"""Keeping a caller's columns out of the way of an operator's own."""
+"""A caller's columns, kept out of the way of an operator's own."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def apart(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     """``docs`` with columns c0, c1, ..., and the new name of each old one."""
     names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
     return docs.toDF(*names.values()), names
+
+
+def keyed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Id and text with two hashes of the text, which name a row's content."""
+    return docs.select(
+        F.col(doc_id).alias("doc_id"),
+        F.xxhash64(text).alias("k1"),
+        F.xxhash64(F.lit(1), F.col(text)).alias("k2"),
+        F.col(text).alias("text"),
+    )

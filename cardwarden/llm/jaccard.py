@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardwarden.llm import words as W
-from cardwarden.llm.columns import apart
+from cardwarden.llm.columns import apart, keyed
 from cardwarden.llm.components import components
 from cardwarden.session import stored
 
@@ -39,16 +39,6 @@ _BLOCK = 1 << 14
 _SALT = W.randoms(2, 9)
 
 
-def keyed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Id and text with two hashes of the text, which name a row's content."""
-    return docs.select(
-        F.col(doc_id).alias("doc_id"),
-        F.xxhash64(text).alias("k1"),
-        F.xxhash64(F.lit(1), F.col(text)).alias("k2"),
-        F.col(text).alias("text"),
-    )
-
-
 def frequencies(docs: DataFrame, text: str = "text") -> np.ndarray:
     """How many shingles of all documents fall to each of ``SKETCH`` counters.
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwarden.llm import compression, jaccard, mixing, packing
+from cardwarden.llm import compression, jaccard, mixing, packing, repeats
 from cardwarden.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,3 +99,29 @@ FROM sized JOIN reach ON reach.a = doc_id GROUP BY doc_id, n"""
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard.grouped(jaccard.join(_table(spark, sf_dir, "documents")))
     return found.select("doc_id", "n_shingles", "component_id")
+
+
+@_query(
+    f"""WITH worded AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_WORDS}) AS w FROM documents
+), listed AS (
+  SELECT doc_id, len(w) AS text_words,
+    [md5(array_to_string(w[i : i + 49], ' ')) FOR i IN range(1, len(w) - 48)] AS p FROM worded
+), passages AS (
+  SELECT doc_id, text_words, unnest(p) AS p, generate_subscripts(p, 1) - 1 AS pos FROM listed
+), placed AS (
+  SELECT *, first_value(doc_id) OVER same AS doc0, first_value(pos) OVER same AS at0 FROM passages
+  WINDOW same AS (PARTITION BY p ORDER BY doc_id, pos)
+), again AS (
+  SELECT *, pos > coalesce(max(pos) OVER earlier + 50, -1) AS opens FROM placed
+  WHERE doc_id <> doc0 OR pos <> at0
+  WINDOW earlier AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), numbered AS (
+  SELECT *, sum(opens::INT) OVER (PARTITION BY doc_id ORDER BY pos) AS span FROM again
+)
+SELECT doc_id, min(pos) AS start, max(pos) + 50 - min(pos) AS n_words, any_value(text_words) AS text_words,
+  arg_min(doc0, pos) AS first_doc_id, arg_min(at0, pos) AS first_start
+FROM numbered GROUP BY doc_id, span"""
+)
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.find(_table(spark, sf_dir, "documents")).drop("k1", "k2")
