@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwarden.llm import compression, jaccard, mixing, packing, repeats
+from cardwarden.llm import compression, jaccard, language, mixing, packing, quality, repeats
 from cardwarden.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -125,3 +125,41 @@ FROM numbered GROUP BY doc_id, span"""
 )
 def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.find(_table(spark, sf_dir, "documents")).drop("k1", "k2")
+
+
+@_query()
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents: the language column is the declared one, the source the host."""
+    docs = _table(spark, sf_dir, "documents")
+    none = F.lit(None).cast("string")
+    return language.identify(
+        docs, ["doc_id"], F.col("text"), F.col("lang"), none, F.col("source")
+    )
+
+
+@_query()
+def page_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages: declared by the html tag; the address gives host, last label and path."""
+    pages = _table(spark, sf_dir, "pages")
+    url, html = F.col("url"), F.col("html")
+    host = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)
+    path = F.regexp_extract(url, r"^[^/]*//[^/?#]*/([A-Za-z]{2})(?:[/?#]|$)", 1)
+    suffix = F.concat(F.regexp_extract(host, r"([^.]+)$", 1), F.lit("/"), path)
+    markup = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->|<[^>]*>"
+    tag = F.regexp_extract(html, r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z-]+)", 1)
+    return language.identify(
+        pages, ["page_id"], F.regexp_replace(html, markup, " "), tag, suffix, host
+    )
+
+
+@_query()
+def op7_quality_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    model = quality.fit(docs, labels.where(~quality.held_out(F.col("doc_id"))))
+    return quality.score(docs, model, ["doc_id"]).select(
+        "doc_id",
+        quality.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
