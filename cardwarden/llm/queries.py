@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwarden.llm import compression, jaccard, language, mixing, packing, quality, repeats
+from cardwarden.llm import compression, jaccard, language, mixing, packing, quality, repeats, vectors
 from cardwarden.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -163,3 +163,24 @@ def op7_quality_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.3).cast("int").alias("predicted"),
     )
+
+
+@_query(
+    """WITH RECURSIVE usable AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0
+), links AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b USING (label)
+  WHERE a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.93
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+), counted AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+named AS (SELECT a, min(b) AS c FROM reach GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, c AS component_id, vec_id = c AS kept
+FROM embeddings JOIN named ON named.a = vec_id LEFT JOIN counted ON counted.a = vec_id"""
+)
+def op6_itq_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(_table(spark, sf_dir, "embeddings"))
