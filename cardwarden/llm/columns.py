@@ -13,9 +13,10 @@ def apart(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
 
 
 def keyed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Id and text with two hashes of the text, which name a row's content."""
+    """Id and text with a hash of the id and two of the text, which name a row's content."""
     return docs.select(
         F.col(doc_id).alias("doc_id"),
+        F.xxhash64(F.col(doc_id).isNull(), F.col(doc_id)).alias("k0"),
         F.xxhash64(text).alias("k1"),
         F.xxhash64(F.lit(1), F.col(text)).alias("k2"),
         F.col(text).alias("text"),

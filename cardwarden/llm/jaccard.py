@@ -19,7 +19,6 @@ each set and pivot. Its remaining pairs are never made.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,52 +30,29 @@ from pyspark.sql import functions as F
 from cardwarden.llm import words as W
 from cardwarden.llm.columns import apart, keyed
 from cardwarden.llm.components import components
+from cardwarden.llm.tables import gathered
 from cardwarden.session import stored
 
 #: Counters of the frequency sketch; it has this size for any input.
 SKETCH = 1 << 20
-_BLOCK = 1 << 14
+#: Bits of the filter that finds the texts of wanted sets; it has this size as well.
+FILTER = 1 << 24
 _SALT = W.randoms(2, 9)
 
 
-def frequencies(docs: DataFrame, text: str = "text") -> np.ndarray:
+def frequencies(docs: DataFrame) -> np.ndarray:
     """How many shingles of all documents fall to each of ``SKETCH`` counters.
 
-    Only the order of shingles depends on it, never a result. Each task adds its own
-    up; the sums of blocks meet in a few tasks, 4 MB for any input.
+    Only the order of shingles depends on it, never a result.
     """
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SKETCH, np.uint32)
-        for batch in batches:
-            for w in W.slices(batch.column(0), lower=True):
-                _, value = W.shingles(w)
-                at = (value & np.uint64(SKETCH - 1)).astype(np.int64)
-                total += np.bincount(at, minlength=SKETCH).astype(np.uint32)
-        if total.any():
-            yield out({i: total[i * _BLOCK : (i + 1) * _BLOCK] for i in range(SKETCH // _BLOCK)})
-
-    def out(blocks: dict[int, np.ndarray]) -> pa.RecordBatch:
-        packed = [zlib.compress(x.tobytes(), 1) for x in blocks.values()]
-        columns = [pa.array(list(blocks), pa.int32()), pa.array(packed, pa.binary())]
-        return pa.RecordBatch.from_arrays(columns, names=["block", "counts"])
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for i, x in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                part = np.frombuffer(zlib.decompress(x), np.uint32)
-                blocks[i] = blocks[i] + part if i in blocks else part
-        if blocks:
-            yield out(blocks)
+    def count(total: np.ndarray, batch: pa.RecordBatch) -> None:
+        for w in W.slices(batch.column(0), lower=True):
+            _, value = W.shingles(w)
+            at = (value & np.uint64(SKETCH - 1)).astype(np.int64)
+            total += np.bincount(at, minlength=SKETCH).astype(np.uint32)
 
-    schema = "block int, counts binary"
-    sums = docs.select(text).mapInArrow(count, schema).repartition("block").mapInArrow(add, schema)
-    total = np.zeros(SKETCH, np.uint32)
-    for row in sums.collect():
-        at = row.block * _BLOCK
-        total[at : at + _BLOCK] = np.frombuffer(zlib.decompress(bytes(row.counts)), np.uint32)
-    return total
+    return gathered(docs.select("text"), count, SKETCH, np.uint32)
 
 
 def _sorted_sets(w: W.Words, counts: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -114,22 +90,23 @@ def sets(docs: DataFrame, counts: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for w in W.slices(batch.column(3), lower=True):
+            for w in W.slices(batch.column(4), lower=True):
                 doc, value, n = _sorted_sets(w, shared.value)
                 place = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)
                 probe = n - (4 * n + 4) // 5 + 1
                 first = place < np.repeat(probe, n)
-                columns = [x.slice(w.first, w.last - w.first) for x in batch.columns[:3]]
+                columns = [x.slice(w.first, w.last - w.first) for x in batch.columns[:4]]
                 columns.append(pa.array(n, pa.int64()))
                 for salt in _SALT:
                     columns.append(pa.array(W.signed(_sums(W.mix(value + salt), n))))
                 columns.append(_lists(value[first], np.where(n > 0, probe, 0)))
-                names = ["doc_id", "k1", "k2", "n", "f1", "f2", "prefix"]
+                names = ["doc_id", "k0", "k1", "k2", "n", "f1", "f2", "prefix"]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, k1 long, k2 long, n long, f1 long, f2 long, prefix array<long>"
-    return docs.select("doc_id", "k1", "k2", "text").mapInArrow(run, schema)
+    schema = f"doc_id {kind}, k0 long, k1 long, k2 long, n long, f1 long, f2 long"
+    columns = docs.select("doc_id", "k0", "k1", "k2", "text")
+    return columns.mapInArrow(run, f"{schema}, prefix array<long>")
 
 
 def _shared(rows: DataFrame) -> DataFrame:
@@ -175,7 +152,7 @@ def _similar_size(small: Column, large: Column) -> Column:
 class Links:
     """What the join finds.
 
-    ``documents``: doc_id, k1, k2, n, f1, f2 of every row. ``nodes``: nid, f1, f2, n, doc (the
+    ``documents``: doc_id, k0, k1, k2, n, f1, f2 of every row. ``nodes``: nid, f1, f2, n, doc (the
     smallest id) of each distinct set. ``links``: a, b. ``groups``: node, component.
     """
 
@@ -185,13 +162,13 @@ class Links:
     groups: DataFrame
 
 
-def _overlaps(pairs: DataFrame, members: DataFrame) -> DataFrame:
+def _overlaps(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
     """``pairs`` (a, b) with both sizes and the number of shingles that both have."""
-    left = members.select(F.col("nid").alias("a"), F.col("shingles").alias("sa"))
-    right = members.select(F.col("nid").alias("b"), F.col("shingles").alias("sb"))
+    left = left.select(F.col("nid").alias("a"), F.col("shingles").alias("sa"))
+    right = right.select(F.col("nid").alias("b"), F.col("shingles").alias("sb"))
     return (
-        pairs.join(left, "a")
-        .join(right, "b")
+        pairs.join(right, "b")
+        .join(left, "a")
         .select(
             "a",
             "b",
@@ -202,28 +179,37 @@ def _overlaps(pairs: DataFrame, members: DataFrame) -> DataFrame:
     )
 
 
-def _members(keyed_docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Whole sets of the wanted nodes, from the text of each node's first document."""
-    needed = nodes.join(wanted, "nid", "left_semi").select(
-        "nid",
-        F.col("rep.doc_id").alias("r0"),
-        F.col("rep.k1").alias("r1"),
-        F.col("rep.k2").alias("r2"),
-    )
-    at = F.col("doc_id").eqNullSafe(F.col("r0")) & (F.col("k1") == F.col("r1"))
-    texts = keyed_docs.join(needed, at & (F.col("k2") == F.col("r2")))
-    texts = texts.select("nid", "text")
+def _members(named: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Whole sets of the wanted nodes (nid, pivot), from each node's first document.
+
+    A bit filter of fixed size tells which texts may be wanted, so that sets and not
+    all texts are shuffled; the join then decides.
+    """
+    key = ["k0", "k1", "k2"]
+    needed = nodes.select("nid", *(f"rep.{k}" for k in key)).join(wanted, "nid")
+    needed = stored(needed, "wanted")
+
+    def mark(bits: np.ndarray, batch: pa.RecordBatch) -> None:
+        bits[batch.column(0).to_numpy() & (FILTER - 1)] = 1
+
+    bits = gathered(needed.select("k1"), mark, FILTER, np.uint8, np.maximum)
+    shared = named.sparkSession.sparkContext.broadcast(np.packbits(bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for w in W.slices(batch.column(1), lower=True):
+            at = batch.column(1).to_numpy() & (FILTER - 1)
+            hit = (shared.value[at >> 3] << (at & 7).astype(np.uint8)) & 128 > 0
+            batch = batch.filter(pa.array(hit))
+            for w in W.slices(batch.column(3), lower=True):
                 _, value, n = _sorted_sets(w, None)
-                ids = batch.column(0).slice(w.first, w.last - w.first)
-                columns = [ids, _lists(value, n)]
-                yield pa.RecordBatch.from_arrays(columns, names=["nid", "shingles"])
+                columns = [x.slice(w.first, w.last - w.first) for x in batch.columns[:3]]
+                columns.append(_lists(value, n))
+                yield pa.RecordBatch.from_arrays(columns, names=[*key, "shingles"])
 
-    found = texts.mapInArrow(run, "nid long, shingles array<long>")
-    return stored(found.dropDuplicates(["nid"]), "members")
+    schema = "k0 long, k1 long, k2 long, shingles array<long>"
+    found = named.select(*key, "text").mapInArrow(run, schema)
+    found = found.join(needed, key).dropDuplicates(key)
+    return stored(found.select("nid", "pivot", "shingles"), "members")
 
 
 def _pivot_pairs(index: DataFrame) -> DataFrame:
@@ -282,42 +268,55 @@ def _open_pairs(index: DataFrame, groups: DataFrame) -> DataFrame:
     )
 
 
-def _derived(
-    pairs: DataFrame, near: DataFrame, nodes: DataFrame, members: DataFrame
-) -> DataFrame:
+def _derived(pairs: DataFrame, near: DataFrame, nodes: DataFrame, named: DataFrame) -> DataFrame:
     """Links among ``pairs``, from the answers of the sets' pivots where they suffice.
 
     ``near`` has the overlaps of sets with their pivots. For sets a, b with pivots p, q:
     |p q| - |p - a| - |q - b| <= |a b| <= |p q| + |a - p| + |b - q|.
     """
-    best = near.groupBy("b").agg(F.max(F.struct("both", "a", "na")).alias("p"))
-    own = nodes.select("nid", "n").join(
-        best.withColumnRenamed("b", "nid"), "nid", "left"
-    ).select(
-        "nid",
-        F.col("n"),
-        F.coalesce("p.a", "nid").alias("pivot"),
-        F.coalesce("p.na", "n").alias("size"),
-        F.coalesce("p.both", "n").alias("with"),
-    )
+    best = near.groupBy(F.col("b").alias("nid")).agg(F.max(F.struct("both", "a", "na")).alias("p"))
+    own = (
+        nodes.select("nid", "n")
+        .join(best, "nid", "left")
+        .select(
+            "nid",
+            "n",
+            F.coalesce("p.a", "nid").alias("pivot"),
+            F.coalesce("p.na", "n").alias("size"),
+            F.coalesce("p.both", "n").alias("with"),
+        )
+    )
 
     def side(name: str) -> DataFrame:
-        return own.select(F.col("nid").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in own.columns[1:]))
-
-    pairs = stored(pairs.join(side("a"), "a").join(side("b"), "b"), "pairs")
-    ends = F.least("pivot_a", "pivot_b").alias("p"), F.greatest("pivot_a", "pivot_b").alias("q")
-    pivots = pairs.select(ends[0].alias("a"), ends[1].alias("b")).distinct()
-    answers = _overlaps(pivots, members).select(
+        rest = (F.col(c).alias(f"{c}_{name}") for c in own.columns[1:])
+        return own.select(F.col("nid").alias(name), *rest)
+
+    ends = {"p": F.least("pivot_a", "pivot_b"), "q": F.greatest("pivot_a", "pivot_b")}
+    pairs = pairs.join(side("a"), "a").join(side("b"), "b").withColumns(ends)
+    pairs = stored(pairs, "pairs")
+    every = F.explode(
+        F.array(
+            *(
+                F.struct(F.col(c).alias("nid"), F.lit(c in ends).alias("pivot"))
+                for c in ("a", "b", "p", "q")
+            )
+        )
+    )
+    wanted = pairs.select(every.alias("w")).select("w.nid", "w.pivot")
+    wanted = wanted.groupBy("nid").agg(F.max("pivot").alias("pivot"))
+    members = _members(named, nodes, wanted)
+    pivots = members.where("pivot")
+    asked = pairs.select(F.col("p").alias("a"), F.col("q").alias("b")).distinct()
+    answers = _overlaps(asked, pivots, pivots).select(
         F.col("a").alias("p"), F.col("b").alias("q"), F.col("both").alias("answer")
     )
     least = _least_overlap(F.col("n_a"), F.col("n_b"))
     most = F.col("answer") + F.col("n_a") - F.col("with_a") + F.col("n_b") - F.col("with_b")
     sure = F.col("answer") - F.col("size_a") + F.col("with_a") - F.col("size_b") + F.col("with_b")
-    bounded = pairs.withColumns({"p": ends[0], "q": ends[1]}).join(answers, ["p", "q"])
-    bounded = stored(
-        bounded.where(most >= least).select("a", "b", (sure >= least).alias("sure")), "bounded"
-    )
-    compared = _overlaps(bounded.where(~F.col("sure")).select("a", "b"), members)
+    bounded = pairs.join(answers, ["p", "q"]).where(most >= least)
+    bounded = stored(bounded.select("a", "b", (sure >= least).alias("sure")), "bounded")
+    unsure = bounded.where(~F.col("sure")).select("a", "b")
+    compared = _overlaps(unsure, members, members)
     linked = F.col("both") >= _least_overlap(F.col("na"), F.col("nb"))
     return bounded.where("sure").select("a", "b").union(compared.where(linked).select("a", "b"))
 
@@ -341,7 +340,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Links:
         .agg(
             F.first("n").alias("n"),
             F.min("doc_id").alias("doc"),
-            F.min(F.struct("doc_id", "k1", "k2")).alias("rep"),
+            F.min(F.struct("doc_id", "k0", "k1", "k2")).alias("rep"),
             F.first("prefix").alias("prefix"),
         )
         .withColumn("nid", F.monotonically_increasing_id())
@@ -349,15 +348,18 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Links:
     nodes = stored(nodes, "nodes")
     rows = nodes.select("nid", "n", F.posexplode("prefix").alias("pos", "token"))
     index = stored(_shared(rows.select("token", "nid", "n", "pos")), "index")
-    members = _members(named, nodes, index.select("nid").distinct())
-
-    near = stored(_overlaps(_pivot_pairs(index), members), "near")
+    pairs = stored(_pivot_pairs(index), "pairs")
+    wanted = pairs.select(F.col("a").alias("nid"), F.lit(True).alias("pivot")).union(
+        pairs.select("b", F.lit(False))
+    )
+    members = _members(named, nodes, wanted.groupBy("nid").agg(F.max("pivot").alias("pivot")))
+    near = stored(_overlaps(pairs, members.where("pivot"), members), "near")
     near = near.where(F.col("both") >= _least_overlap(F.col("na"), F.col("nb")))
     links = near.select("a", "b")
     groups = components(links)
     rest = stored(_open_pairs(index, groups), "open")
     if rest.head(1):
-        more = _derived(rest, near, nodes.select("nid", "n"), members)
+        more = _derived(rest, near, nodes, named)
         links = stored(links.union(more), "links")
         groups = components(links)
     return Links(documents.drop("prefix"), nodes.drop("prefix"), links, groups)

@@ -8,7 +8,6 @@ grouped sums. All evidence is added up as logarithms.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardwarden.llm import words as W
+from cardwarden.llm.tables import gathered
 from cardwarden.session import stored
 
 BUCKETS = 1 << 16
@@ -78,38 +78,18 @@ def fit(rows: DataFrame) -> TextModel:
     languages = sorted(r.declared for r in known.collect())
     number = {x: i for i, x in enumerate(languages)}
 
-    def out(counts: dict[int, np.ndarray]) -> pa.RecordBatch:
-        packed = [zlib.compress(x.tobytes(), 1) for x in counts.values()]
-        columns = [pa.array(list(counts), pa.int32()), pa.array(packed, pa.binary())]
-        return pa.RecordBatch.from_arrays(columns, names=["language", "counts"])
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(number), BUCKETS), np.int64)
-        for batch in batches:
-            which = np.array([number.get(x, -1) for x in batch.column(1).to_pylist()], np.int64)
-            for w in W.slices(batch.column(0)):
-                doc, bucket = _trigrams(w)
-                language = which[w.first : w.last][doc]
-                known = language >= 0
-                cell = language[known] * BUCKETS + bucket[known]
-                total += np.bincount(cell, minlength=total.size).reshape(total.shape)
-        if total.any():
-            yield out({i: x for i, x in enumerate(total) if x.any()})
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for i, x in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                part = np.frombuffer(zlib.decompress(x), np.int64)
-                total[i] = total[i] + part if i in total else part
-        if total:
-            yield out(total)
-
-    schema = "language int, counts binary"
-    sums = rows.select("text", "declared").mapInArrow(count, schema)
-    counts = np.zeros((len(languages), BUCKETS))
-    for r in sums.repartition("language").mapInArrow(add, schema).collect():
-        counts[r.language] = np.frombuffer(zlib.decompress(bytes(r.counts)), np.int64)
+    def count(total: np.ndarray, batch: pa.RecordBatch) -> None:
+        which = np.array([number.get(x, -1) for x in batch.column(1).to_pylist()], np.int64)
+        for w in W.slices(batch.column(0)):
+            doc, bucket = _trigrams(w)
+            tongue = which[w.first : w.last][doc]
+            known = tongue >= 0
+            cell = tongue[known] * BUCKETS + bucket[known]
+            total += np.bincount(cell, minlength=len(total))
+
+    size = len(languages) * BUCKETS
+    counts = gathered(rows.select("text", "declared"), count, size, np.int64).astype(np.float64)
+    counts = counts.reshape(len(languages), BUCKETS)
     counts += SMOOTHING
     return TextModel(languages, np.log(counts / counts.sum(axis=1, keepdims=True)))
 

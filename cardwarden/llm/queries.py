@@ -8,7 +8,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwarden.llm import compression, jaccard, language, mixing, packing, quality, repeats, vectors
+from cardwarden.llm import (
+    chat,
+    compression,
+    jaccard,
+    language,
+    mixing,
+    packing,
+    pages,
+    quality,
+    repeats,
+    vectors,
+)
 from cardwarden.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -140,7 +151,7 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query()
 def page_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages: declared by the html tag; the address gives host, last label and path."""
-    pages = _table(spark, sf_dir, "pages")
+    table = _table(spark, sf_dir, "pages")
     url, html = F.col("url"), F.col("html")
     host = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)
     path = F.regexp_extract(url, r"^[^/]*//[^/?#]*/([A-Za-z]{2})(?:[/?#]|$)", 1)
@@ -148,7 +159,7 @@ def page_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     markup = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->|<[^>]*>"
     tag = F.regexp_extract(html, r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z-]+)", 1)
     return language.identify(
-        pages, ["page_id"], F.regexp_replace(html, markup, " "), tag, suffix, host
+        table, ["page_id"], F.regexp_replace(html, markup, " "), tag, suffix, host
     )
 
 
@@ -184,3 +195,37 @@ FROM embeddings JOIN named ON named.a = vec_id LEFT JOIN counted ON counted.a =
 )
 def op6_itq_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+_PLACED = """placed AS (
+  SELECT *, turn - min(turn) OVER (PARTITION BY conv_id) AS pos
+  FROM (SELECT DISTINCT conv_id, turn, role, text FROM conversations
+    WHERE conv_id IS NOT NULL AND turn IS NOT NULL)
+), said AS (
+  SELECT conv_id, list(hash(pos, role, text) ORDER BY pos, role, text) AS items,
+    string_agg('<|im_start|>' || replace(coalesce(role, 'unknown'), '<|', '< |') || chr(10)
+      || replace(coalesce(text, ''), '<|', '< |') || '<|im_end|>' || chr(10), ''
+      ORDER BY pos, role, text) AS text,
+    max(pos) AS last
+  FROM placed GROUP BY conv_id
+)"""
+
+
+@_query(
+    f"""WITH {_PLACED}, logged AS (
+  SELECT min(conv_id) AS conv_id, items, count(*) AS n_logged FROM said GROUP BY items
+), maximal AS (
+  SELECT * FROM logged a WHERE NOT EXISTS (
+    SELECT 1 FROM logged b WHERE b.items[1] = a.items[1] AND len(b.items) > len(a.items)
+      AND b.items[1 : len(a.items)] = a.items)
+)
+SELECT conv_id, CAST(0 AS BIGINT) AS part, CAST(len(maximal.items) AS BIGINT) AS n_turns,
+  n_logged, text FROM maximal JOIN said USING (conv_id)"""
+)
+def op3_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.render(_table(spark, sf_dir, "conversations"))
+
+
+@_query()
+def op4_consensus_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(_table(spark, sf_dir, "pages"), ["page_id", "url"])
