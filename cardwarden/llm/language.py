@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardwarden.llm import words as W
+from cardwarden.llm.columns import apart
 from cardwarden.llm.tables import gathered
 from cardwarden.session import stored
 
@@ -238,3 +239,32 @@ def identify(
         "trigrams",
         (some & (best >= keep_from)).alias("kept"),
     )
+
+
+def spoken(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    declared: str = "lang",
+    host: str = "source",
+) -> DataFrame:
+    """``docs`` without the rejected rows, and with the identified language as declared.
+
+    Rejected and relabelled rows are a small table beside the documents, joined by
+    content. All other columns are kept as they are, whatever their names.
+    """
+    own, name = apart(docs)
+    key = F.col(name[text])
+    own = own.withColumns({"t1": F.xxhash64(key), "t2": F.xxhash64(F.lit(1), key)})
+    keys = [name[doc_id], "t1", "t2", name[declared], name[host]]
+    none = F.lit(None).cast("string")
+    found = identify(own, keys, key, F.col(name[declared]), none, F.col(name[host]))
+    found = found.select(*(F.col(c).alias(f"on{i}") for i, c in enumerate(keys)), "language", "kept")
+    other = ~F.col("kept") | ~F.col("language").eqNullSafe(F.col("on3"))
+    changed = stored(found.where(other).distinct(), "changed")
+    same = F.lit(True)
+    for i, c in enumerate(keys):
+        same = same & F.col(c).eqNullSafe(F.col(f"on{i}"))
+    rows = own.join(changed, same, "left").where(F.coalesce("kept", F.lit(True)))
+    rows = rows.withColumn(name[declared], F.coalesce("language", F.col(name[declared])))
+    return rows.select(*name.values()).toDF(*docs.columns)

@@ -19,6 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cardwarden.llm.columns import apart
 from cardwarden.session import stored
 
 CAP = 3
@@ -255,3 +256,19 @@ def copies() -> Column:
     """Of a measured document joined with its cell."""
     more = F.coalesce((F.col("_hash") <= F.col("_upto")).cast("long"), F.lit(0))
     return F.when(F.col("_size") == 0, F.lit(1)).otherwise(F.col("_each") + more).cast("long")
+
+
+def mixed(
+    docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text"
+) -> DataFrame:
+    """``docs`` with every row as often as the mix takes it; see ``mix``.
+
+    All columns are kept as they are, whatever their names. Texts are not shuffled
+    unless the cells are too many to broadcast, which Spark decides by their size.
+    """
+    _, _, cells = mix(docs, doc_id, source, text)
+    own, name = apart(docs)
+    rows = measured(own, name[doc_id], name[source], name[text])
+    rows = rows.join(cells, CELL, "left")
+    rows = rows.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), copies().cast("int"))))
+    return rows.select(*name.values()).toDF(*docs.columns)

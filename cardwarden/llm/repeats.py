@@ -27,8 +27,8 @@ from cardwarden.session import stored
 LENGTH = 50
 GRAM = 10
 SPAN = LENGTH - GRAM + 1
-#: A shared beginning of more suffixes than this is compared by grouped minima on
-#: Spark instead of sorted in one task; the answer is the same.
+#: Suffixes of one gram that are sorted in one task; the rest goes to further tasks, and
+#: the passages that are first in a task meet in grouped minima.
 IN_TASK = 4096
 
 
@@ -114,69 +114,87 @@ def _passages(texts: DataFrame) -> DataFrame:
 
 
 def _neighbours(rows: DataFrame) -> DataFrame:
-    """Passages equal to an earlier one of the same gram, with the first of them.
+    """Passages equal to an earlier one of the same group, with the first of them.
 
-    A task has all suffixes of its grams, each gram's rows in a row. Of a gram's
-    passages, sorted by content and then by place, those equal to their neighbour
-    before are repeats. A row of the result has ``count`` consecutive ones.
+    A group has the suffixes of a gram, or a part of them if there are very many. Of a
+    group's passages, sorted by content and then by place, those equal to their
+    neighbour before are repeats; a row of the result has ``count`` consecutive ones.
+    Of a gram in parts, each part's first passages follow with gram and value.
     """
 
     def repeats(table: pa.Table) -> pa.RecordBatch:
         lists = table["hashes"].combine_chunks()
         sizes, value = np.diff(lists.offsets.to_numpy()), lists.flatten().to_numpy()
-        nid, gram, at = (np.repeat(table[c].to_numpy(), sizes) for c in ("nid", "gram", "at"))
+        names = ("group", "nid", "gram", "at")
+        group, nid, gram, at = (np.repeat(table[c].to_numpy(), sizes) for c in names)
+        parted = np.repeat(table["parts"].to_numpy() > 1, sizes)
         at = at + np.arange(len(at)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        order = np.lexsort((at, nid, value, gram))
-        nid, gram, at, value = (x[order] for x in (nid, gram, at, value))
+        order = np.lexsort((at, nid, value, gram, group))
+        group, nid, gram, at, value, parted = (
+            x[order] for x in (group, nid, gram, at, value, parted)
+        )
         new = np.ones(len(at), bool)
-        new[1:] = (value[1:] != value[:-1]) | (gram[1:] != gram[:-1])
+        new[1:] = (value[1:] != value[:-1]) | (gram[1:] != gram[:-1]) | (group[1:] != group[:-1])
         first = np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))
-        nid0, at0 = nid[first], at[first]
         again = np.flatnonzero(~new)
         again = again[np.lexsort((at[again], nid[again]))]
-        nid, at, nid0, at0 = (x[again] for x in (nid, at, nid0, at0))
-        head = np.ones(len(at), bool)
-        head[1:] = (nid[1:] != nid[:-1]) | (at[1:] != at[:-1] + 1)
-        head[1:] |= (nid0[1:] != nid0[:-1]) | (at0[1:] != at0[:-1] + 1)
-        count = np.diff(np.append(np.flatnonzero(head), len(at)))
-        columns = [nid[head], at[head], count, nid0[head], at0[head]]
-        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=_RUN)
+        n, a, n0, a0 = nid[again], at[again], nid[first][again], at[first][again]
+        head = np.ones(len(a), bool)
+        head[1:] = (n[1:] != n[:-1]) | (a[1:] != a[:-1] + 1)
+        head[1:] |= (n0[1:] != n0[:-1]) | (a0[1:] != a0[:-1] + 1)
+        count = np.diff(np.append(np.flatnonzero(head), len(a)))
+        open_ = np.flatnonzero(new & parted)
+        runs, firsts = int(head.sum()), len(open_)
+        none = pa.nulls(firsts, pa.int64())
+        unset = pa.nulls(runs, pa.int64())
+
+        def both(x: np.ndarray | pa.Array, y: np.ndarray | pa.Array) -> pa.Array:
+            return pa.concat_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())])
+
+        columns = [
+            both(n[head], nid[open_]),
+            both(a[head], at[open_]),
+            both(count, np.ones(firsts, np.int64)),
+            both(n0[head], none),
+            both(a0[head], none),
+            both(unset, gram[open_]),
+            both(unset, value[open_]),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=[*_RUN, "gram", "value"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            gram = batch.column(1).to_numpy()
-            whole = int(np.searchsorted(gram, gram[-1]))  # rows of grams that end here
-            if whole or (held and held[-1].column(1)[0].as_py() != gram[0]):
+            group = batch.column(0).to_numpy()
+            whole = int(np.searchsorted(group, group[-1]))  # rows of groups that end here
+            if whole or (held and held[-1].column(0)[0].as_py() != group[0]):
                 yield repeats(pa.Table.from_batches([*held, batch.slice(0, whole)]))
                 held = []
             held.append(batch.slice(whole))
         if held:
             yield repeats(pa.Table.from_batches(held))
 
-    ordered = rows.select("nid", "gram", "at", "hashes").repartition("gram")
-    schema = ", ".join(f"{c} long" for c in _RUN)
-    return ordered.sortWithinPartitions("gram").mapInArrow(run, schema)
+    part = F.pmod(F.xxhash64("nid"), F.col("parts"))
+    grouped = rows.withColumn("group", F.xxhash64("gram", part))
+    grouped = grouped.select("group", "nid", "gram", "at", "hashes", "parts").repartition("group")
+    schema = ", ".join(f"{c} long" for c in [*_RUN, "gram", "value"])
+    return grouped.sortWithinPartitions("group").mapInArrow(run, schema)
 
 
 _RUN = ["nid", "at", "count", "nid0", "at0"]
 
 
-def _crowded(rows: DataFrame) -> DataFrame:
-    """The same for grams of very many suffixes: minima, aggregated before the shuffle."""
-    one = rows.select("nid", "gram", "at", F.posexplode("hashes").alias("i", "value"))
-    one = one.select("nid", "gram", "value", (F.col("at") + F.col("i")).alias("at"))
-    first = one.groupBy("gram", "value").agg(
+def _across(firsts: DataFrame) -> DataFrame:
+    """Repeats among the first passages of a gram's parts, by grouped minima."""
+    first = firsts.groupBy("gram", "value").agg(
         F.min(F.struct("nid", "at")).alias("first"), F.count(F.lit(1)).alias("rows")
     )
     first = first.where(F.col("rows") > 1).drop("rows")
     later = (F.col("nid") != F.col("first.nid")) | (F.col("at") != F.col("first.at"))
-    found = one.join(first, ["gram", "value"]).where(later)
-    return found.select(
-        "nid", "at", F.lit(1).cast("long"), F.col("first.nid"), F.col("first.at")
-    ).toDF(*_RUN)
+    found = firsts.join(first, ["gram", "value"]).where(later)
+    return found.select("nid", "at", "count", "first.nid", "first.at").toDF(*_RUN)
 
 
 def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -191,7 +209,7 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     Equal texts are one suffix; copies are spans from end to end. Null and empty texts
     and texts under ``LENGTH`` words have no spans. Rows without an id come before all
     others; rows equal in id and text are one document. Only the two named columns are
-    read. A passage copied into a third of all texts is compared by minima and not in
+    read. A passage copied into a third of all texts is compared in parts and not in
     one task. An empty table has no spans.
     """
     named = keyed(docs, doc_id, text)
@@ -216,11 +234,31 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     same = named.doc_id.eqNullSafe(needed.r0) & (named.k1 == needed.k1) & (named.k2 == needed.k2)
     texts = named.join(needed, same).select("nid", "text", "grams").dropDuplicates(["nid"])
     passages = stored(_passages(texts), "passages")
-    many = counts.where(F.col("suffixes") > IN_TASK).select("gram")
-    found = _neighbours(passages.join(many, "gram", "left_anti")).union(
-        _crowded(passages.join(many, "gram", "left_semi"))
+    many = counts.where(F.col("suffixes") > IN_TASK).select(
+        "gram", F.ceil(F.col("suffixes") / IN_TASK).alias("parts")
+    )
+    passages = passages.join(many, "gram", "left").withColumn(
+        "parts", F.coalesce("parts", F.lit(1).cast("long"))
+    )
+    compared = stored(_neighbours(passages), "neighbours")
+    across = stored(_across(compared.where(F.col("gram").isNotNull())), "across")
+    found = compared.where(F.col("gram").isNull()).select(*_RUN).union(across)
+    # A part's first passage may itself be a repeat of another part's.
+    earlier = across.select(
+        F.col("nid").alias("nid0"),
+        F.col("at").alias("start0"),
+        F.col("nid0").alias("nid1"),
+        F.col("at0").alias("start1"),
+    )
+    spans = _spans(found).join(earlier, ["nid0", "start0"], "left")
+    spans = spans.select(
+        "nid",
+        "start",
+        "n_words",
+        F.coalesce("nid1", "nid0").alias("nid0"),
+        F.coalesce("start1", "start0").alias("start0"),
     )
-    spans = stored(_spans(found), "spans")
+    spans = stored(spans, "spans")
 
     ids = nodes.select(F.col("nid").alias("nid0"), F.col("rep.doc_id").alias("first_doc_id"))
     of = nodes.select("nid", F.col("rep.doc_id").alias("doc_id"), "k1", "k2", "n_words")
