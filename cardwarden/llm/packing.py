@@ -6,6 +6,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,16 @@ _RUNS = re.compile(rf"\s\s|{_MARK}")
 _SIGNS = ".,;:!?%$#*&|)]}\""
 
 
+def _byte_letters() -> dict[int, str]:
+    """The printable letter that byte-level vocabularies write for each byte."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    other = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(other)}
+
+
+_LETTERS = _byte_letters()
+
+
 class _Parts(dict):
     """Numbers the parts of texts; new ones are gathered until they are encoded."""
 
@@ -88,59 +99,72 @@ class _Encoder:
     def _learn(self) -> None:
         """Encode the new parts; a word with signs behind it is the word's ids and theirs."""
         new, known = self.parts.new, self.parts
-        plain, joined = [], []
+        numbers, plain, joined = [], [], []
         for number, part in new:  # grows while it is read
-            word = part.rstrip(_SIGNS)
-            if word and len(word) < len(part) and word[-1].isalpha() and part in known:
+            word = part.rstrip(_SIGNS) if part[-1:] in _SIGNS else part
+            if len(word) < len(part) and word[-1:].isalpha() and part in known:
                 joined.append((number, known[word], known[part[len(word) :]]))
             else:
-                plain.append((number, part))
-        found = self.tokenizer.encode_batch_fast([x for _, x in plain], add_special_tokens=False)
-        ids = {number: x.ids for (number, _), x in zip(plain, found, strict=True)}
-        old = self.used
+                numbers.append(number)
+                plain.append(part)
         self._room()
+        self._keep(numbers, self._encode(plain))
+        if joined:
+            number, word, signs = np.array(joined, np.int64).T
+            both = np.column_stack((word, signs)).reshape(-1)
+            lengths = self.length[both].reshape(-1, 2).sum(axis=1)
+            self._append(number, lengths, self._take(both))
+        new.clear()
 
-        def have(number: int) -> list[int]:
-            if number in ids:
-                return ids[number]
-            at = self.start[number]
-            return self.ids[at : at + self.length[number]].tolist()
-
-        for number, word, signs in joined:
-            ids[number] = have(word) + have(signs)
-        lengths = np.fromiter(map(len, ids.values()), np.int64, len(ids))
-        flat = np.fromiter((i for x in ids.values() for i in x), np.uint32, int(lengths.sum()))
-        numbers = np.fromiter(ids, np.int64, len(ids))
-        if old + len(flat) > len(self.ids):
-            self.ids = np.resize(self.ids, max(2 * len(self.ids), old + len(flat)))
-        self.ids[old : old + len(flat)] = flat
+    def _encode(self, parts: list[str]) -> list[list[int]]:
+        """Ids of each part; a space and Latin letters are one token run, merged directly."""
+        ids: list[list[int] | None] = []
+        merge = self.tokenizer.model.tokenize
+        for x in parts:
+            if x[:1] == " " and x[1:].isalpha() and max(x) < "\u0250":
+                ids.append([k.id for k in merge(x.encode().decode("latin-1").translate(_LETTERS))])
+            else:
+                ids.append(None)
+        rest = [x for x, have in zip(parts, ids, strict=True) if have is None]
+        found = iter(self.tokenizer.encode_batch_fast(rest, add_special_tokens=False))
+        return [next(found).ids if have is None else have for have in ids]
+
+    def _keep(self, numbers: list[int], ids: list[list[int]]) -> None:
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum()))
+        self._append(np.array(numbers, np.int64), lengths, flat)
+
+    def _append(self, numbers: np.ndarray, lengths: np.ndarray, flat: np.ndarray) -> None:
+        old, self.used = self.used, self.used + len(flat)
+        if self.used > len(self.ids):
+            self.ids = np.resize(self.ids, max(2 * len(self.ids), self.used))
+        self.ids[old : self.used] = flat
         self.start[numbers] = old + np.cumsum(lengths) - lengths
         self.length[numbers] = lengths
-        self.used = old + len(flat)
-        new.clear()
+
+    def _take(self, numbers: np.ndarray) -> np.ndarray:
+        """The ids of all these parts, one after the other."""
+        start, length = self.start[numbers], self.length[numbers]
+        ends = np.cumsum(length)
+        size = int(ends[-1]) if len(ends) else 0
+        return self.ids[np.arange(size) + np.repeat(start - ends + length, length)]
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, and ``END``."""
         if len(self.parts) > REMEMBERED:
             self.forget()
-        look, which, sizes = self.parts.__getitem__, [], []
+        look, which = self.parts.__getitem__, []
         for text in texts:
             if _RUNS.search(text):
-                numbers = [self.parts.add(text)]
+                which.append(np.array([self.parts.add(text)], np.int64))
             else:
                 text = text.replace(" ", _MARK + " ").replace("\n", _MARK + "\n")
-                numbers = list(map(look, text.split(_MARK)))
-            which += numbers
-            sizes.append(len(numbers))
+                parts = text.split(_MARK)
+                which.append(np.fromiter(map(look, parts), np.int64, len(parts)))
         if self.parts.new:
             self._learn()
-        which = np.array(which, np.int64)
-        start, length = self.start[which], self.length[which]
-        ends = np.concatenate(([0], np.cumsum(length)))
-        flat = self.ids[np.arange(ends[-1]) + np.repeat(start - ends[:-1], length)].astype("<u4")
-        at = ends[np.concatenate(([0], np.cumsum(sizes)))]
-        end = np.full(1, END, "<u4")
-        return [np.concatenate((flat[a:b], end)) for a, b in zip(at[:-1], at[1:], strict=True)]
+        end = np.full(1, END, np.uint32)
+        return [np.concatenate((self._take(x), end)).astype("<u4", copy=False) for x in which]
 
 
 def _blocks(column: pa.Array, limit: int = 500_000) -> Iterator[list[str]]:
