@@ -1,7 +1,7 @@
 """Command line: the whole run, or one of its steps.
 
     spark-submit --py-files cardwarden.zip cardwarden/__main__.py run \\
-        --transactions /lake/incoming/2026-03-31/ --out /lake/loyalty
+        --transactions /lake/incoming/2026-03-31/ --out /lake/cards
 
 Exits with 1 if a quality gate fails. Master and storage settings come from the
 cluster's Spark configuration.
@@ -28,6 +28,9 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--out", required=True, help="root of the lake")
     parser.add_argument("--transactions", help="CSV files (run, bronze)")
     parser.add_argument("--profiles", help="JSON files (run, devices)")
+    parser.add_argument(
+        "--profile-lines", action="store_true", help="profiles are JSON lines, not arrays"
+    )
     parser.add_argument("--preset", choices=sorted(PRESETS), default="strict")
     parser.add_argument(
         "--hold-bad-rows", action="store_true", help="quarantine bad rows and go on (run)"
@@ -59,6 +62,7 @@ def main(argv: list[str] | None = None) -> int:
                 preset=args.preset,
                 as_of=args.as_of,
                 hold_bad_rows=args.hold_bad_rows,
+                profile_lines=args.profile_lines,
             )
             print(f"{summary.alert_count} alerts")
         elif args.step == "bronze":
@@ -70,7 +74,9 @@ def main(argv: list[str] | None = None) -> int:
         elif args.step == "kpi":
             medallion.build_kpis(spark, layout, args.as_of)
         else:
-            medallion.build_device_alerts(spark, layout, args.profiles, as_of=args.as_of)
+            medallion.build_device_alerts(
+                spark, layout, args.profiles, as_of=args.as_of, profile_lines=args.profile_lines
+            )
     except QualityGateError as error:
         print(error, file=sys.stderr)
         return 1

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -130,8 +130,8 @@ def fraud_alerts(
     return alerts(flag(travel_metrics(silver, policy), preset))
 
 
-def bi_metrics(alert_rows: DataFrame) -> DataFrame:
-    """Alerts in the serving table's columns: km and minutes to two decimals."""
+def bi_metrics(alert_rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Alerts in the serving table's columns and ``keep``: km and minutes to two decimals."""
     return alert_rows.select(
         "customer_id",
         "transaction_date",
@@ -142,6 +142,7 @@ def bi_metrics(alert_rows: DataFrame) -> DataFrame:
         F.round("dist_km", 2).alias("distancia_km"),
         F.round(F.col("diff_seconds") / 60, 2).alias("tempo_minutos"),
         "fraud_reason",
+        *keep,
     )
 
 
@@ -180,6 +181,6 @@ def physical_city_changes(
     )
 
 
-def reward_eligible(silver: DataFrame, alert_rows: DataFrame) -> DataFrame:
-    """Transactions that raised no alert."""
-    return silver.join(alert_rows.select("transaction_id"), "transaction_id", "left_anti")
+def reward_eligible(flagged: DataFrame) -> DataFrame:
+    """Transactions that raised no alert: the flagged rows' complement, without a join."""
+    return flagged.filter(~F.col("is_fraud"))

@@ -100,13 +100,14 @@ def alerts_daily_change(alert_rows: DataFrame) -> DataFrame:
 def enrich_with_profiles(silver: DataFrame, profiles: DataFrame) -> DataFrame:
     """Add tier, home city and products; transactions without profile get NULLs.
 
-    No broadcast hint, for the reason given at ``device_mismatch``.
+    A profile that was delivered more than once counts once. No broadcast hint, for
+    the reason given at ``device_mismatch``.
     """
-    dimension = profiles.select(
-        F.col("cust_id").cast("string").alias("customer_id"),
-        "loyalty_tier",
-        "home_city",
-        "active_products",
+    names = ("loyalty_tier", "home_city", "active_products")
+    dimension = (
+        profiles.groupBy(F.col("cust_id").cast("string").alias("customer_id"))
+        .agg(F.max(F.struct(*names)).alias("p"))
+        .select("customer_id", *(f"p.{c}" for c in names))
     )
     return silver.join(dimension, "customer_id", "left")
 

@@ -27,7 +27,9 @@ _SLICE, _HERE, _BEFORE, _LAST = "__slice", "__here", "__before", "__last"
 def _lag_in_one_task(
     df: DataFrame, key: str, order: Sequence[str], previous: Mapping[str, Column]
 ) -> DataFrame:
-    window = Window.partitionBy(key).orderBy(*order)
+    # A row without a key is a group of its own.
+    alone = F.when(F.col(key).isNull(), F.col(order[-1]))
+    window = Window.partitionBy(key, alone).orderBy(*order)
     return df.select("*", *[F.lag(c).over(window).alias(n) for n, c in previous.items()])
 
 
@@ -66,9 +68,10 @@ def with_previous(
     """Add, per name, the expression's value on the row before within ``key``.
 
     ``order`` must end in a column that makes it total, so that the result does
-    not depend on how the input is laid out. The first row of a key gets NULLs.
+    not depend on how the input is laid out. The first row of a key gets NULLs, and so
+    does every row without a key.
     """
-    hot = hot_keys(df, key, policy)
+    hot = hot_keys(df.filter(F.col(key).isNotNull()), key, policy)
     if hot is None:
         return _lag_in_one_task(df, key, order, previous)
     rest, large = split_hot(df, key, hot)

@@ -47,14 +47,16 @@ def refine_enriched(
     bronze: DataFrame,
     ingested_at: datetime | None = None,
     timestamp_format: str | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Silver plus channel, city, IP and device, with sentinels set to NULL."""
+    """Silver plus channel, city, IP, device and ``keep``, with sentinels set to NULL."""
     return bronze.filter(F.col("tx_id").isNotNull()).select(
         *_refined_columns(bronze, ingested_at, timestamp_format),
         F.col("channel"),
         sentinel_to_null(F.col("location_city")).alias("location_city"),
         sentinel_to_null(F.col("ip_address")).alias("ip_address"),
         sentinel_to_null(F.col("device_id")).alias("device_id"),
+        *keep,
     )
 
 

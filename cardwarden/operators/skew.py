@@ -4,27 +4,23 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import PySparkAttributeError
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from cardwarden.session import stored
 
 
 @dataclass(frozen=True)
 class SkewPolicy:
     """When a key is too large for one task.
 
-    ``hot_rows`` is what one task sorts comfortably. ``max_hot_keys`` bounds the
-    broadcast of hot keys: the largest ones are kept, and any key beyond them
-    holds less than ``1 / max_hot_keys`` of the rows. Inputs estimated below
-    ``small_input_bytes`` cannot hold a key too large for a task, and skip the
-    sampling job. A hot key has been seen at least twice in the sample.
+    ``hot_rows`` is what one task sorts comfortably. Every input is sampled: its size
+    on disk says nothing about the rows of a key. A hot key has been seen at least
+    twice in the sample.
     """
 
     hot_rows: int = 10_000_000
     sample_fraction: float = 0.0005
-    max_hot_keys: int = 10_000
-    small_input_bytes: int = 256 * 1024 * 1024
 
     def __post_init__(self) -> None:
         if self.hot_rows * self.sample_fraction < 2:
@@ -36,46 +32,28 @@ DEFAULT_SKEW = SkewPolicy()
 HOT_KEY = "__hot_key"
 
 
-def _estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate, or None where the session does not expose it."""
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-    except (AttributeError, PySparkAttributeError):
-        return None
-    return int(str(stats.sizeInBytes()))
-
-
 def hot_keys(df: DataFrame, key: str, policy: SkewPolicy = DEFAULT_SKEW) -> DataFrame | None:
     """The keys estimated to hold ``hot_rows`` or more, or None if there are none.
 
-    One pass over the key column alone. At most ``max_hot_keys`` values come to
-    the driver; they go back as a local relation, so that every use of the list
-    sees the same keys.
+    One pass over the key column alone. The list is a table in the shared scratch
+    folder, so that every use sees the same keys, however many they are.
     """
-    size = _estimated_bytes(df)
-    if size is not None and size <= policy.small_input_bytes:
-        return None
     found = (
-        df.select(key)
+        df.select(F.col(key).alias(HOT_KEY))
         .sample(fraction=policy.sample_fraction, seed=11)
-        .groupBy(key)
+        .groupBy(HOT_KEY)
         .count()
         .filter(F.col("count") >= policy.hot_rows * policy.sample_fraction)
-        .orderBy(F.desc("count"))
-        .limit(policy.max_hot_keys)
-        .select(key)
-        .collect()
+        .select(HOT_KEY)
     )
-    if not found:
-        return None
-    schema = T.StructType([T.StructField(HOT_KEY, df.schema[key].dataType, True)])
-    return df.sparkSession.createDataFrame([(row[0],) for row in found], schema)
+    found = stored(found, "hot_keys")
+    return None if found.isEmpty() else found
 
 
 def split_hot(df: DataFrame, key: str, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The rows of all other keys, and the rows of the hot keys."""
+    """The rows of all other keys, and the rows of the hot keys.
+
+    Spark broadcasts the list if its size allows it.
+    """
     is_hot = df[key].eqNullSafe(hot[HOT_KEY])
-    return (
-        df.join(F.broadcast(hot), is_hot, "left_anti"),
-        df.join(F.broadcast(hot), is_hot, "left_semi"),
-    )
+    return df.join(hot, is_hot, "left_anti"), df.join(hot, is_hot, "left_semi")

@@ -152,13 +152,13 @@ _PROFILES = f"""{_EVENTS}, used AS (
          list_sort(list(DISTINCT CAST(k AS VARCHAR)) FILTER (WHERE k < 50)) AS devices
   FROM ev GROUP BY user_id
 ), profiles AS (
-  SELECT c_custkey AS cust_id, c_name AS name,
+  SELECT c_custkey + 15 AS cust_id, c_name AS name,
          CASE WHEN c_acctbal < 2500 THEN 'Bronze' WHEN c_acctbal < 5000 THEN 'Silver'
               WHEN c_acctbal < 7500 THEN 'Gold' ELSE 'Platinum' END AS loyalty_tier,
          'C' || c_nationkey AS home_city,
          coalesce(kinds, [c_mktsegment]) AS active_products,
          coalesce(devices, []) AS known_devices
-  FROM customer LEFT JOIN used ON user_id = c_custkey WHERE c_acctbal > 0
+  FROM customer LEFT JOIN used ON user_id = c_custkey
 )"""
 
 _TX_PROFILES = _TX + _PROFILES.removeprefix(_EVENTS)
@@ -557,7 +557,7 @@ def fraud_geo_physical(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def reward_eligible(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = adapters.transactions(spark, sf_dir)
-    eligible = fraud.reward_eligible(rows, fraud.fraud_alerts(rows, "strict"))
+    eligible = fraud.reward_eligible(fraud.flag(fraud.travel_metrics(rows), "strict"))
     return eligible.select("transaction_id", "customer_id", "amount")
 
 
@@ -909,11 +909,12 @@ def dq_schema_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query(
     """SELECT o_orderkey, o_custkey FROM orders
-WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)"""
+WHERE o_custkey NOT IN (SELECT c_custkey + 15 FROM customer)"""
 )
 def dq_foreign_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders whose customer is not among those with a positive balance."""
-    parents = adapters.table(spark, sf_dir, "customer").filter("c_acctbal > 0")
+    """Orders whose customer's number is not among the shifted ones."""
+    parents = adapters.table(spark, sf_dir, "customer")
+    parents = parents.select((F.col("c_custkey") + 15).alias("c_custkey"))
     children = adapters.table(spark, sf_dir, "orders")
     return quality.orphans(children, "o_custkey", parents, "c_custkey").select(
         "o_orderkey", "o_custkey"

@@ -3,32 +3,46 @@
 Each layer is computed once, written, and read back by what follows, so no plan
 is run twice and a lost executor repeats at most one layer's tasks. Running the
 same input again gives the same tables.
+
+The lake lives through many deliveries. Silver and everything after it is kept by day.
+A delivery covers the days of its rows and of the rows that its files held before; it
+replaces those days, the emptied ones too. Rules that look back read the days from the
+first covered one on, and before them the last row of each customer, which a small
+table keeps by day.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardwarden import schemas
+from cardwarden.functions import parse_timestamp
 from cardwarden.operators import devices, fraud, gold, quality, silver
 from cardwarden.operators.skew import DEFAULT_SKEW, SkewPolicy
+from cardwarden.session import stored
 from cardwarden.sources import (
+    days_of,
+    delivered_files,
+    existing,
+    land_profiles,
     land_transactions,
-    read_or_empty,
-    read_profiles,
     read_table,
-    write_daily,
+    read_transactions_csv,
+    replace_days,
+    replace_files,
     write_flat,
+    write_partitions,
 )
 
 BRONZE_GATE = quality.BRONZE_RULES + quality.TEXT_RULES
-# The id passes from Bronze to Silver unchanged and rows are only dropped, so the
-# uniqueness proven by the Bronze gate need not be counted a second time.
+# Within a delivery the Bronze gate has proven ids unique, and Silver keeps the newest
+# row of an id among the days that a delivery covers.
 SILVER_GATE = tuple(r for r in quality.SILVER_RULES if r.kind != "unique")
 
 
@@ -50,8 +64,13 @@ class Layout:
         return self._at("silver", "transactions_refined")
 
     @property
-    def silver_enriched(self) -> str:
-        return self._at("silver", "transactions_enriched")
+    def profiles(self) -> str:
+        return self._at("bronze", "profiles")
+
+    @property
+    def customer_state(self) -> str:
+        """Each customer's last row of each day."""
+        return self._at("silver", "customer_state")
 
     @property
     def fraud_alerts(self) -> str:
@@ -75,11 +94,8 @@ class Layout:
     def results(self, layer: str) -> str:
         return self._at("quality", "results", layer)
 
-    def screened(self, layer: str) -> str:
-        return self._at("quality", "screened", layer)
-
     def quarantine(self, layer: str) -> str:
-        return self._at("quality", "screened", layer, f"outcome={quality.HELD}")
+        return self._at("quality", "quarantine", layer)
 
 
 @dataclass(frozen=True)
@@ -89,6 +105,19 @@ class RunSummary:
     results: dict[str, list] = field(default_factory=dict)
 
 
+@dataclass(frozen=True)
+class Delivery:
+    """Files that came together, and the days that they held before, if they did."""
+
+    id: str
+    files: DataFrame
+    days_before: frozenset
+
+
+DAY = "dt"
+_LANDING = ("source_path", "ingested_at", "source_file", "delivery", "failed_rules", DAY)
+
+
 def _gate(
     spark: SparkSession,
     rows: DataFrame,
@@ -98,27 +127,61 @@ def _gate(
     as_of: datetime | None,
     policy: SkewPolicy,
     hold: bool,
+    delivery: Delivery,
 ) -> tuple[DataFrame, list]:
-    """Write the suite's results; return the rows to go on with, and the results.
+    """Add the suite's results; return the rows to go on with, and the results.
 
-    If a stop-level rule fails, the rows that break one are held apart. The run
-    then ends, unless ``hold`` lets it go on with the others.
+    If a stop-level rule fails, the rows that break one are held apart, in place of
+    what was held of the same files before. The run then ends, unless ``hold`` lets
+    it go on with the others.
     """
     if not rules:
         return rows, []
-    write_flat(quality.evaluate(rows, rules, as_of).coalesce(1), layout.results(layer))
+    results = quality.evaluate(rows, rules, as_of).coalesce(1)
+    results = results.withColumn("delivery", F.lit(delivery.id))
+    write_partitions(results, layout.results(layer), ["delivery"])
+    mine = read_table(spark, layout.results(layer)).filter(F.col("delivery") == delivery.id)
     try:
-        return rows, quality.gate(read_table(spark, layout.results(layer)), layer)
+        found = quality.gate(mine.drop("delivery"), layer)
     except quality.QualityGateError as failure:
-        screened = quality.screened(rows, rules, as_of, policy)
+        screened = stored(quality.screened(rows, rules, as_of, policy), "screened")
         outcome = F.col("outcome")
-        kept = screened if hold else screened.filter(outcome == quality.HELD)
-        kept.write.mode("overwrite").partitionBy("outcome").parquet(layout.screened(layer))
+        held = screened.filter(outcome == quality.HELD).drop("outcome")
+        replace_files(held, layout.quarantine(layer), delivery.files, delivery.id)
         if not hold:
             raise
-        stored = read_table(spark, layout.screened(layer))
-        passed = stored.filter(outcome == quality.ACCEPTED).select(*rows.columns)
+        passed = screened.filter(outcome == quality.ACCEPTED).select(*rows.columns)
         return passed, failure.results
+    replace_files(None, layout.quarantine(layer), delivery.files, delivery.id)
+    return rows, found
+
+
+def _content(rows: DataFrame) -> DataFrame:
+    """Rows with a hash of what was delivered in them."""
+    names = [c for c in rows.columns if c not in _LANDING]
+    return rows.withColumn("_content", F.xxhash64(*sorted(names)))
+
+
+def _not_held(spark: SparkSession, layout: Layout, rows: DataFrame) -> DataFrame:
+    """Bronze rows without those that the gate has held."""
+    held = existing(spark, layout.quarantine("bronze"))
+    if held is None:
+        return rows
+    keys = _content(held).select("source_file", "_content").distinct()
+    return _content(rows).join(keys, ["source_file", "_content"], "left_anti").drop("_content")
+
+
+def _days(bronze: DataFrame | None) -> set[date | None]:
+    if bronze is None:
+        return set()
+    parsed = F.to_date(parse_timestamp(F.col("tx_datetime"), None))
+    return days_of(bronze.filter(F.col("tx_id").isNotNull()).select(parsed.alias(DAY)), DAY)
+
+
+def _within(days: Iterable[date | None]) -> Column:
+    days = set(days)
+    known = F.col(DAY).isin(*[F.lit(d) for d in days if d is not None])
+    return known | F.col(DAY).isNull() if None in days else known
 
 
 def land_and_gate(
@@ -129,30 +192,87 @@ def land_and_gate(
     as_of: datetime | None = None,
     policy: SkewPolicy = DEFAULT_SKEW,
     hold: bool = False,
-) -> tuple[DataFrame, list]:
-    """Raw files to Bronze; return the delivered rows that may go on, and the results."""
-    delivered = land_transactions(spark, transactions, layout.bronze, as_of)
-    rows = read_table(spark, layout.bronze).filter(F.col("source_file").isin(*delivered))
-    return _gate(spark, rows, rules, "bronze", layout, as_of, policy, hold)
+) -> tuple[DataFrame, list, Delivery]:
+    """Raw files to Bronze; return the delivered rows that may go on, and the results.
+
+    A file without one of the contract's columns is an error before anything is landed.
+    """
+    files = delivered_files(spark, transactions)
+    raw = read_transactions_csv(spark, transactions)
+    missing = [c for c in schemas.BRONZE.fieldNames() if c not in raw.columns]
+    if missing:
+        raise ValueError(f"{transactions} has no column {', '.join(missing)}")
+    before = existing(spark, layout.bronze)
+    if before is not None:
+        before = before.join(files, "source_file", "left_semi")
+    delivery = Delivery(uuid.uuid4().hex, files, frozenset(_days(before)))
+    land_transactions(spark, transactions, layout.bronze, as_of, files)
+    landed = existing(spark, layout.bronze)
+    if landed is None:  # nothing but empty files
+        landed = spark.createDataFrame([], raw.schema).withColumn("source_file", F.lit(""))
+    rows = landed.join(files, "source_file", "left_semi")
+    passed, results = _gate(
+        spark, rows, rules, "bronze", layout, as_of, policy, hold, delivery
+    )
+    return passed, results, delivery
 
 
 def build_silver(
     spark: SparkSession,
     layout: Layout,
     rows: DataFrame | None = None,
+    delivery: Delivery | None = None,
     rules: Sequence[quality.Rule] = SILVER_GATE,
     as_of: datetime | None = None,
     policy: SkewPolicy = DEFAULT_SKEW,
     hold: bool = False,
-) -> list:
-    """The given Bronze rows, or all of them, to Silver; return the gate's results."""
-    bronze = read_table(spark, layout.bronze) if rows is None else rows
-    write_flat(silver.refine(bronze, as_of), layout.silver)
-    refined = read_table(spark, layout.silver)
-    passed, results = _gate(spark, refined, rules, "silver", layout, as_of, policy, hold)
-    if passed is not refined:
-        write_flat(passed, layout.silver)
-    return results
+) -> tuple[list, set[date | None]]:
+    """The delivered rows, or all of Bronze that is not held, to Silver.
+
+    Returns the gate's results and the covered days. Of rows with one id on these days
+    the newest stays.
+    """
+    if rows is None or delivery is None:
+        rows = _not_held(spark, layout, read_table(spark, layout.bronze))
+        files = rows.select("source_file").distinct()
+        days = days_of(existing(spark, layout.silver), DAY)
+        delivery = Delivery(uuid.uuid4().hex, files, frozenset(days))
+    refined = silver.refine_enriched(rows, as_of, keep=["source_file"])
+    refined = stored(refined.withColumn(DAY, F.to_date("transaction_date")), "refined")
+    passed, results = _gate(
+        spark, refined, rules, "silver", layout, as_of, policy, hold, delivery
+    )
+    covered = days_of(passed, DAY) | delivery.days_before
+    have = existing(spark, layout.silver)
+    if have is not None:
+        others = have.filter(_within(covered)).join(delivery.files, "source_file", "left_anti")
+        passed = passed.unionByName(others.select(*passed.columns))
+    newest = [F.desc("ingested_at"), F.desc("transaction_date"), F.desc("source_file")]
+    merged = stored(silver.latest_per_key(passed, ["transaction_id"], newest), "merged")
+    replace_days(merged, layout.silver, DAY, covered)
+    last = silver.latest_per_key(merged, ["customer_id", DAY], _latest())
+    last = stored(last.filter(F.col("customer_id").isNotNull()), "last")
+    replace_days(last, layout.customer_state, DAY, covered)
+    return results, covered
+
+
+def _latest() -> list[Column]:
+    return [F.desc("transaction_date"), F.desc("transaction_id")]
+
+
+def _first(covered: set[date | None] | None) -> date | None:
+    """From where on results may change; None means everywhere."""
+    return None if not covered or None in covered else min(covered)
+
+
+def _from(rows: DataFrame, day: date | None, name: str = DAY) -> DataFrame:
+    return rows if day is None else rows.filter(F.col(name) >= F.lit(day))
+
+
+def _replace_from(rows: DataFrame, path: str, name: str, day: date | None) -> None:
+    """Replace a table's days from ``day`` on."""
+    have = existing(rows.sparkSession, path)
+    replace_days(rows, path, name, set() if have is None else days_of(_from(have, day, name), name))
 
 
 def build_fraud(
@@ -160,15 +280,29 @@ def build_fraud(
     layout: Layout,
     preset: str = "strict",
     policy: SkewPolicy = DEFAULT_SKEW,
+    covered: set[date | None] | None = None,
 ) -> int:
-    """Silver to alerts, BI metrics and reward eligibility; return the alert count."""
-    refined = read_table(spark, layout.silver)
-    found = fraud.fraud_alerts(refined, preset, policy)
-    alert_count = write_daily(found, layout.fraud_alerts)
-    stored = read_or_empty(spark, layout.fraud_alerts, schemas.ALERT)
-    write_flat(fraud.bi_metrics(stored), layout.bi_metrics)
-    write_flat(fraud.reward_eligible(refined, stored), layout.reward_eligible)
-    return alert_count
+    """Silver to alerts, BI metrics and reward eligibility; return the alert count.
+
+    With ``covered``, the days from its first on are computed anew, since a customer's
+    next row has another predecessor. One pass flags the rows; alerts and eligible
+    transactions are its two parts.
+    """
+    since = _first(covered)
+    rows = _from(read_table(spark, layout.silver), since).withColumn("_earlier", F.lit(False))
+    if since is not None:
+        state = read_table(spark, layout.customer_state).filter(F.col(DAY) < F.lit(since))
+        last = silver.latest_per_key(state, ["customer_id"], _latest())
+        rows = rows.unionByName(last.withColumn("_earlier", F.lit(True)))
+    flagged = fraud.flag(fraud.travel_metrics(rows, policy), preset)
+    flagged = stored(flagged.filter(~F.col("_earlier")), "flagged")
+    found = fraud.alerts(flagged)
+    _replace_from(found, layout.fraud_alerts, "dt_particao", since)
+    metrics = fraud.bi_metrics(found, keep=["dt_particao"])
+    _replace_from(metrics, layout.bi_metrics, "dt_particao", since)
+    eligible = fraud.reward_eligible(flagged).select(*schemas.SILVER.fieldNames(), DAY)
+    _replace_from(eligible, layout.reward_eligible, DAY, since)
+    return found.count()
 
 
 def build_kpis(spark: SparkSession, layout: Layout, as_of: datetime | None = None) -> None:
@@ -181,22 +315,30 @@ def build_device_alerts(
     spark: SparkSession,
     layout: Layout,
     profiles: str,
-    rows: DataFrame | None = None,
     as_of: datetime | None = None,
     policy: SkewPolicy = DEFAULT_SKEW,
+    covered: set[date | None] | None = None,
+    profile_lines: bool = False,
 ) -> None:
-    """Bronze rows and profiles to the device, IP and city rules' alerts."""
-    bronze = read_table(spark, layout.bronze) if rows is None else rows
-    write_flat(silver.refine_enriched(bronze, as_of), layout.silver_enriched)
-    enriched = read_table(spark, layout.silver_enriched)
-    known = read_profiles(spark, profiles)
+    """Silver and profiles to the device, IP and city rules' alerts.
+
+    A covered day can change the day before it, whose last minutes it may share a
+    device with; these rules look back one day at most, so that day's own is read too.
+    """
+    files = land_profiles(spark, profiles, layout.profiles, as_of, not profile_lines)
+    known = read_table(spark, layout.profiles).join(files, "source_file", "left_semi")
+    first = _first(covered)
+    since = None if first is None else first - timedelta(days=1)
+    read_from = None if first is None else first - timedelta(days=2)
+    enriched = _from(read_table(spark, layout.silver), read_from)
     for rule, hits in {
         "unknown_device": devices.device_mismatch(enriched, known),
         "shared_device": devices.shared_key_events(enriched, "device_id", policy=policy),
         "shared_ip": devices.shared_key_events(enriched, "ip_address", policy=policy),
         "city_change": fraud.physical_city_changes(enriched, policy=policy),
     }.items():
-        write_flat(hits, layout.device_alerts(rule))
+        hits = stored(_from(hits, since), rule)
+        _replace_from(hits, layout.device_alerts(rule), DAY, since)
 
 
 def run(
@@ -210,28 +352,30 @@ def run(
     preset: str = "strict",
     as_of: datetime | None = None,
     hold_bad_rows: bool = False,
+    profile_lines: bool = False,
     policy: SkewPolicy = DEFAULT_SKEW,
 ) -> RunSummary:
     """Run every layer over the transaction files, stopping at the first failed gate.
 
-    Bronze and the alert days of earlier runs are kept. Silver and the other
-    outputs hold what this run was given: pass a folder with all files to rebuild
-    the whole history.
+    Earlier deliveries are kept: the result is the same as if all files had come at
+    once, in any order of deliveries. A file delivered again replaces its rows, and a
+    day that loses its last row or alert becomes empty in every table.
 
     A failed gate keeps its results and the offending rows under ``quality/`` and
     raises ``QualityGateError``; nothing after it is written. ``hold_bad_rows``
     holds those rows back instead and goes on with the others. With ``profiles``,
-    the device and IP rules run too.
+    JSON arrays or with ``profile_lines`` a profile in each line, the device and IP
+    rules run too.
     """
     layout = Layout(out)
-    rows, bronze_results = land_and_gate(
+    rows, bronze_results, delivery = land_and_gate(
         spark, transactions, layout, bronze_rules, as_of, policy, hold_bad_rows
     )
-    silver_results = build_silver(
-        spark, layout, rows, silver_rules, as_of, policy, hold_bad_rows
+    silver_results, covered = build_silver(
+        spark, layout, rows, delivery, silver_rules, as_of, policy, hold_bad_rows
     )
-    alert_count = build_fraud(spark, layout, preset, policy)
+    alert_count = build_fraud(spark, layout, preset, policy, covered)
     build_kpis(spark, layout, as_of)
     if profiles is not None:
-        build_device_alerts(spark, layout, profiles, rows, as_of, policy)
+        build_device_alerts(spark, layout, profiles, as_of, policy, covered, profile_lines)
     return RunSummary(layout, alert_count, {"bronze": bronze_results, "silver": silver_results})

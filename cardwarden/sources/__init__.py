@@ -1,6 +1,6 @@
 """Reading raw and refined tables, landing raw files, writing outputs."""
 
-from cardwarden.sources.landing import land_profiles, land_transactions
+from cardwarden.sources.landing import delivered_files, land_profiles, land_transactions
 from cardwarden.sources.readers import (
     path_view,
     preview,
@@ -9,9 +9,20 @@ from cardwarden.sources.readers import (
     read_table,
     read_transactions_csv,
 )
-from cardwarden.sources.sinks import write_daily, write_flat
+from cardwarden.sources.sinks import (
+    days_of,
+    existing,
+    replace_days,
+    replace_files,
+    write_daily,
+    write_flat,
+    write_partitions,
+)
 
 __all__ = [
+    "days_of",
+    "delivered_files",
+    "existing",
     "land_profiles",
     "land_transactions",
     "path_view",
@@ -20,6 +31,9 @@ __all__ = [
     "read_profiles",
     "read_table",
     "read_transactions_csv",
+    "replace_days",
+    "replace_files",
     "write_daily",
     "write_flat",
+    "write_partitions",
 ]

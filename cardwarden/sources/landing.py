@@ -2,36 +2,55 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
-from pathlib import PurePosixPath
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cardwarden.session import stored
 from cardwarden.sources.readers import read_profiles, read_transactions_csv
-from cardwarden.sources.sinks import write_partitions
+from cardwarden.sources.sinks import replace_files
 
 
-def _land(raw: DataFrame, path: str, ingested_at: datetime | None) -> list[str]:
-    # One partition per delivered file: delivering a file again replaces its
-    # rows and no others. Scan tasks write their own split, without a shuffle.
+def _file_key() -> Column:
+    # A letter in front, so that no key can be read as a number.
+    return F.concat(F.lit("f"), F.md5("_metadata.file_path")).alias("source_file")
+
+
+def delivered_files(spark: SparkSession, source: str) -> DataFrame:
+    """The key of every delivered file, with or without rows: column source_file."""
+    listed = spark.read.format("binaryFile").load(source).select(_file_key())
+    return stored(listed.distinct(), "delivered")
+
+
+def _land(
+    raw: DataFrame, delivered: DataFrame, path: str, ingested_at: datetime | None
+) -> DataFrame:
+    # One partition per delivered file, named by its whole path: delivering a file
+    # again replaces its rows and no others, and equal names in two folders are two
+    # files. Scan tasks write their own split, without a shuffle.
     stamp: Column = F.lit(ingested_at) if ingested_at else F.current_timestamp()
     landed = raw.select(
         "*",
         F.col("_metadata.file_path").alias("source_path"),
         stamp.cast("timestamp").alias("ingested_at"),
-        F.col("_metadata.file_name").alias("source_file"),
+        _file_key(),
     )
-    write_partitions(landed, path, ["source_file"])
-    # Both sides spell a name the same way: as the last part of the file's URI.
-    return sorted({PurePosixPath(uri).name for uri in raw.inputFiles()})
+    replace_files(landed, path, delivered, uuid.uuid4().hex)
+    return delivered
 
 
 def land_transactions(
-    spark: SparkSession, source: str, bronze: str, ingested_at: datetime | None = None
-) -> list[str]:
-    """Land raw transaction CSV files as all-text parquet; return the file names."""
-    return _land(read_transactions_csv(spark, source), bronze, ingested_at)
+    spark: SparkSession,
+    source: str,
+    bronze: str,
+    ingested_at: datetime | None = None,
+    delivered: DataFrame | None = None,
+) -> DataFrame:
+    """Land raw transaction CSV files as all-text parquet; return the files' keys."""
+    delivered = delivered or delivered_files(spark, source)
+    return _land(read_transactions_csv(spark, source), delivered, bronze, ingested_at)
 
 
 def land_profiles(
@@ -40,6 +59,7 @@ def land_profiles(
     bronze: str,
     ingested_at: datetime | None = None,
     multi_line: bool = True,
-) -> list[str]:
-    """Land customer profile JSON files; return the file names."""
-    return _land(read_profiles(spark, source, multi_line), bronze, ingested_at)
+) -> DataFrame:
+    """Land customer profile JSON files; return the files' keys."""
+    delivered = delivered_files(spark, source)
+    return _land(read_profiles(spark, source, multi_line), delivered, bronze, ingested_at)

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardwarden import schemas
@@ -40,8 +41,13 @@ def read_profiles(spark: SparkSession, path: str, multi_line: bool = True) -> Da
     """Customer profiles, by default files that each hold one JSON array.
 
     An array file cannot be split, so parallelism is one task per file. Deliver
-    large snapshots as many files, or as JSON lines with ``multi_line=False``.
+    large snapshots as many files, or as JSON lines with ``multi_line=False``. A file
+    of JSON lines read as an array would lose all rows but its first, so it is an error.
     """
+    if multi_line:
+        files = spark.read.text(path, wholetext=True)
+        if files.filter(F.col("value").rlike(r"(?s)^\s*\{.*\}\s*\n\s*\{")).head(1):
+            raise ValueError(f"{path} holds JSON lines; read it with multi_line=False")
     return spark.read.schema(schemas.PROFILE).option("multiLine", multi_line).json(path)
 
 

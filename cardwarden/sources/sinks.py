@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from datetime import date
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -35,3 +37,51 @@ def write_daily(df: DataFrame, path: str, day: str = "dt_particao") -> int:
     balanced = df.hint("rebalance", day).observe(counted, F.count(F.lit(1)).alias("n"))
     write_partitions(balanced, path, [day])
     return counted.get["n"]
+
+
+def existing(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table, or None if nothing has been written to it yet."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
+def drop_partitions(spark: SparkSession, path: str, by: str, values: Iterable) -> None:
+    """Delete whole partitions, on any file system that Spark can reach."""
+    jvm = spark.sparkContext._jvm
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    for value in values:
+        name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{by}={name}")
+        folder.getFileSystem(configuration).delete(folder, True)
+
+
+def days_of(rows: DataFrame | None, day: str) -> set[date | None]:
+    """The distinct days of a table, one value each."""
+    return set() if rows is None else {r[0] for r in rows.select(day).distinct().collect()}
+
+
+def replace_days(df: DataFrame, path: str, day: str, covered: Iterable[date | None]) -> None:
+    """Replace the covered days, and empty those that ``df`` has no rows of.
+
+    ``df`` must be a stored table: its days are listed after it is written.
+    """
+    write_partitions(df.hint("rebalance", day), path, [day])
+    gone = set(covered) - days_of(df, day)
+    if existing(df.sparkSession, path) is not None:
+        drop_partitions(df.sparkSession, path, day, gone)
+
+
+def replace_files(df: DataFrame | None, path: str, delivered: DataFrame, delivery: str) -> None:
+    """Replace what the table has of the delivered source files, the emptied ones too."""
+    if df is not None:
+        write_partitions(df.withColumn("delivery", F.lit(delivery)), path, ["source_file"])
+    table = existing(delivered.sparkSession, path)
+    if table is not None:
+        stale = table.filter(F.col("delivery") != delivery)
+        stale = stale.join(delivered, "source_file", "left_semi")
+        gone = days_of(stale, "source_file")
+        drop_partitions(delivered.sparkSession, path, "source_file", gone)

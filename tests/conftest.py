@@ -22,7 +22,7 @@ def spark():
 @pytest.fixture(scope="session")
 def all_hot():
     """A policy under which every key with 3 rows takes the way of large keys."""
-    return SkewPolicy(hot_rows=3, sample_fraction=1.0, small_input_bytes=0)
+    return SkewPolicy(hot_rows=3, sample_fraction=1.0)
 
 
 def plan_of(df) -> str:

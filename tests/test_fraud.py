@@ -119,7 +119,7 @@ def test_large_customers_get_the_same_alerts(spark, all_hot):
 def test_alerts_and_eligible_partition_the_transactions(spark):
     silver = silver_rows(spark, tied_rows())
     found = fraud.fraud_alerts(silver, "strict")
-    eligible = fraud.reward_eligible(silver, found)
+    eligible = fraud.reward_eligible(fraud.flag(fraud.travel_metrics(silver), "strict"))
     assert 0 < found.count() < silver.count()
     assert sorted(ids(found) + ids(eligible)) == ids(silver)
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cardwarden import schemas, sources
+from cardwarden.session import scratch_path
 from conftest import plan_of
 from frames import ids, silver_rows
 
@@ -80,7 +81,7 @@ def test_landing_replaces_a_redelivered_file_only(spark, tmp_path):
     sources.land_transactions(spark, again, bronze, datetime(2026, 4, 2))
     landed = sources.read_table(spark, bronze)
     assert ids(landed, "tx_id") == ["a1", "a2", "b2", "b3"]
-    assert {r[0] for r in landed.select("source_file").collect()} == {
+    assert {r[0].rpartition("/")[2] for r in landed.select("source_path").collect()} == {
         "transactions_20260330.csv",
         "transactions_20260331.csv",
     }
@@ -91,7 +92,57 @@ def test_landing_profiles(spark, tmp_path):
     (tmp_path / "p.json").write_text('[{"cust_id": 1, "name": "A"}]')
     sources.land_profiles(spark, str(tmp_path / "p.json"), str(tmp_path / "bronze"))
     row = sources.read_table(spark, str(tmp_path / "bronze")).first()
-    assert (row["cust_id"], row["source_file"]) == (1, "p.json")
+    assert row["cust_id"] == 1 and row["source_path"].endswith("/p.json")
+
+
+def test_landing_keeps_files_of_one_name_in_two_folders(spark, tmp_path):
+    bronze = str(tmp_path / "bronze")
+    for day, key in (("d1", "a1"), ("d2", "b1")):
+        (tmp_path / day).mkdir()
+        write_lines(tmp_path / day / "transactions.csv", "tx_id,cust_id", f"{key},1")
+        sources.land_transactions(spark, str(tmp_path / day), bronze)
+    assert ids(sources.read_table(spark, bronze), "tx_id") == ["a1", "b1"]
+
+
+def test_landing_an_emptied_file_removes_its_rows(spark, tmp_path):
+    source, bronze = tmp_path / "in", str(tmp_path / "bronze")
+    source.mkdir()
+    write_lines(source / "a.csv", "tx_id,cust_id", "a1,1")
+    write_lines(source / "b.csv", "tx_id,cust_id", "b1,1")
+    sources.land_transactions(spark, str(source), bronze)
+    write_lines(source / "a.csv", "tx_id,cust_id")
+    sources.land_transactions(spark, str(source / "a.csv"), bronze)
+    assert ids(sources.read_table(spark, bronze), "tx_id") == ["b1"]
+
+
+def test_json_lines_read_as_an_array_are_an_error(spark, tmp_path):
+    lines = tmp_path / "p.json"
+    lines.write_text('{"cust_id": 1}\n{"cust_id": 2}\n')
+    with pytest.raises(ValueError, match="JSON lines"):
+        sources.read_profiles(spark, str(lines))
+    lines.write_text('{\n "cust_id": 1\n}\n')
+    assert sources.read_profiles(spark, str(lines)).count() == 1
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    class Session:
+        def __init__(self, **settings):
+            self.conf = settings
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(Session(**{"spark.master": "spark://host:7077"}), "x")
+    shared = Session(**{"spark.checkpoint.dir": "file:///mnt/shared/"})
+    assert scratch_path(shared, "x").startswith("file:///mnt/shared/cardwarden-")
+
+
+def test_replaced_days_become_empty(spark, tmp_path):
+    path = str(tmp_path / "daily")
+    silver = silver_rows(spark, [("a", "1", 0, None, None), ("b", "1", 86400, None, None)])
+    daily = silver.withColumn("dt", F.to_date("transaction_date"))
+    first, second = (date(2026, 3, 31), date(2026, 4, 1))
+    sources.replace_days(daily, path, "dt", {first, second})
+    sources.replace_days(daily.filter("transaction_id = 'z'"), path, "dt", {second})
+    assert ids(sources.read_table(spark, path)) == ["a"]
 
 
 def test_daily_sink_keeps_other_days(spark, tmp_path):
