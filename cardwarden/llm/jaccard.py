@@ -13,8 +13,9 @@ changing the answer:
   pivot's: the overlap of the pivots and the two differences bound the pair's overlap
   from both sides, and only pairs between the bounds are compared.
 
-A group of thousands of near copies is linked through its pivots, one comparison for
-each set and pivot. Its remaining pairs are never made.
+A group of thousands of near copies is linked by one comparison of each set with its
+pivot, then by a few rounds of one comparison for each group that they have formed. Its
+remaining pairs are never made; the pairs that are still open are then decided exactly.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardwarden.llm import words as W
@@ -35,6 +36,10 @@ from cardwarden.session import stored
 
 #: Counters of the frequency sketch; it has this size for any input.
 SKETCH = 1 << 20
+#: Rounds in which each group is compared once with another before all open pairs are.
+MERGES = 3
+#: Pivots that a set is compared with at first, and pairs of a group in each round.
+PIVOTS, TRIES = 1, 4
 #: Bits of the filter that finds the texts of wanted sets; it has this size as well.
 FILTER = 1 << 24
 _SALT = W.randoms(2, 9)
@@ -212,28 +217,71 @@ def _members(named: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame
     return stored(found.select("nid", "pivot", "shingles"), "members")
 
 
+def _most_often(pairs: DataFrame, key: str, few: int) -> DataFrame:
+    """Of each key's pairs (a, b), the few that most lists propose."""
+    counted = pairs.groupBy(key, "a", "b").agg(F.count(F.lit(1)).alias("lists"))
+    order = Window.partitionBy(key).orderBy(F.desc("lists"), "a", "b")
+    ranked = counted.withColumn("rank", F.row_number().over(order))
+    return ranked.where(F.col("rank") <= few).select("a", "b").distinct()
+
+
+def _room(n1: Column, p1: Column, n2: Column, p2: Column) -> Column:
+    """Whether sets that first meet at these positions can still be similar."""
+    small, large = F.least(n1, n2), F.greatest(n1, n2)
+    return _similar_size(small, large) & (
+        F.least(n1 - p1, n2 - p2) >= _least_overlap(n1, n2)
+    )
+
+
 def _pivot_pairs(index: DataFrame) -> DataFrame:
-    """Of each list, its smallest set with every other one of similar size."""
-    pivots = index.groupBy("token").agg(F.min(F.struct("n", "nid")).alias("p"))
-    return (
-        index.join(pivots, "token")
-        .where((F.col("nid") != F.col("p.nid")) & _similar_size(F.col("p.n"), F.col("n")))
-        .select(F.col("p.nid").alias("a"), F.col("nid").alias("b"))
-        .distinct()
+    """Each set with its pivots: of the heads of its lists, the most frequent.
+
+    A list's head is the set with the fewest rarer shingles before the list's own. Of
+    many near copies it is the one that differs least from the others.
+    """
+    heads = index.groupBy("token").agg(F.min(F.struct("pos", "n", "nid")).alias("p"))
+    pairs = index.join(heads, "token").where(
+        (F.col("nid") != F.col("p.nid"))
+        & _room(F.col("p.n"), F.col("p.pos"), F.col("n"), F.col("pos"))
     )
+    pairs = pairs.select(F.col("nid").alias("key"), F.col("p.nid").alias("a"), F.col("nid").alias("b"))
+    return _most_often(pairs, "key", PIVOTS)
 
 
-def _open_pairs(index: DataFrame, groups: DataFrame) -> DataFrame:
-    """Pairs of unconnected sets that size and position allow, by blocks."""
+def _labelled(index: DataFrame, groups: DataFrame) -> DataFrame:
+    """The lists that hold sets of more than one group, with each set's component."""
     known = groups.select(F.col("node").alias("nid"), "component")
-    grouped = index.join(known, "nid", "left").withColumn(
+    labelled = index.join(known, "nid", "left").withColumn(
         "component", F.coalesce("component", "nid")
     )
-    mixed = grouped.groupBy("token").agg(
+    mixed = labelled.groupBy("token").agg(
         F.min("component").alias("lo"), F.max("component").alias("hi")
     )
     mixed = mixed.where(F.col("lo") != F.col("hi")).select("token")
-    grouped = stored(grouped.join(mixed, "token", "left_semi"), "index")
+    return stored(labelled.join(mixed, "token", "left_semi"), "index")
+
+
+def _group_pairs(labelled: DataFrame, tested: DataFrame, turn: int) -> DataFrame:
+    """A few untested pairs of each group: its set and another group's in the same lists.
+
+    At first the heads of groups and lists meet. Then what stands for them changes with
+    each turn, so that a group meets ever more of its neighbours.
+    """
+    shuffle = F.lit(0) if not turn else F.xxhash64("nid", F.lit(turn))
+    entry = F.struct(shuffle.alias("order"), "pos", "n", "nid")
+    of_group = labelled.groupBy("token", "component").agg(F.min(entry).alias("e"))
+    of_list = of_group.groupBy("token").agg(F.min(F.struct("e", "component")).alias("p"))
+    pairs = of_group.join(of_list, "token").where(
+        (F.col("component") != F.col("p.component"))
+        & _room(F.col("p.e.n"), F.col("p.e.pos"), F.col("e.n"), F.col("e.pos"))
+    )
+    a, b = F.least("p.e.nid", "e.nid"), F.greatest("p.e.nid", "e.nid")
+    pairs = pairs.select(F.col("component").alias("key"), a.alias("a"), b.alias("b"))
+    return _most_often(pairs.join(tested, ["a", "b"], "left_anti"), "key", TRIES)
+
+
+def _open_pairs(grouped: DataFrame) -> DataFrame:
+    """Pairs of unconnected sets that size and position allow, by blocks."""
     blocks = grouped.groupBy("token", "n", "pos").agg(
         F.min("component").alias("lo"), F.max("component").alias("hi")
     )
@@ -246,9 +294,8 @@ def _open_pairs(index: DataFrame, groups: DataFrame) -> DataFrame:
         & (F.col("lo1") == F.col("lo2"))
     )
     indexed = p1 < n1 - F.ceil(8 * n1 / 9) + 1
-    room = F.least(n1 - p1, n2 - p2) >= _least_overlap(n1, n2)
     allowed = one.join(two, "token").where(
-        (n1 <= n2) & _similar_size(n1, n2) & indexed & room & ~connected
+        (n1 <= n2) & indexed & _room(n1, p1, n2, p2) & ~connected
     )
     left = grouped.select(
         "token", F.col("n").alias("n1"), F.col("pos").alias("pos1"),
@@ -348,18 +395,34 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Links:
     nodes = stored(nodes, "nodes")
     rows = nodes.select("nid", "n", F.posexplode("prefix").alias("pos", "token"))
     index = stored(_shared(rows.select("token", "nid", "n", "pos")), "index")
-    pairs = stored(_pivot_pairs(index), "pairs")
-    wanted = pairs.select(F.col("a").alias("nid"), F.lit(True).alias("pivot")).union(
-        pairs.select("b", F.lit(False))
-    )
-    members = _members(named, nodes, wanted.groupBy("nid").agg(F.max("pivot").alias("pivot")))
-    near = stored(_overlaps(pairs, members.where("pivot"), members), "near")
-    near = near.where(F.col("both") >= _least_overlap(F.col("na"), F.col("nb")))
-    links = near.select("a", "b")
-    groups = components(links)
-    rest = stored(_open_pairs(index, groups), "open")
-    if rest.head(1):
-        more = _derived(rest, near, nodes, named)
+    def verified(pairs: DataFrame) -> DataFrame:
+        wanted = pairs.select(F.col("a").alias("nid"), F.lit(True).alias("pivot")).union(
+            pairs.select("b", F.lit(False))
+        )
+        wanted = wanted.groupBy("nid").agg(F.max("pivot").alias("pivot"))
+        members = _members(named, nodes, wanted)
+        return stored(_overlaps(pairs, members.where("pivot"), members), "compared")
+
+    linked = F.col("both") >= _least_overlap(F.col("na"), F.col("nb"))
+    compared = verified(stored(_pivot_pairs(index), "pairs"))
+    groups = components(compared.where(linked).select("a", "b"))
+    labelled = _labelled(index, groups)
+    for turn in range(MERGES):
+        ends = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+        pairs = stored(_group_pairs(labelled, compared.select(*ends), turn), "pairs")
+        if pairs.isEmpty():
+            break
+        more = verified(pairs)
+        compared = stored(compared.union(more), "compared")
+        if not more.where(linked).isEmpty():
+            groups = components(compared.where(linked).select("a", "b"))
+            labelled = _labelled(labelled.drop("component"), groups)
+    links = compared.where(linked).select("a", "b")
+    tested = compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = _open_pairs(labelled).join(tested, ["a", "b"], "left_anti")
+    rest = stored(rest, "open")
+    if not rest.isEmpty():
+        more = _derived(rest, compared.where(linked), nodes, named)
         links = stored(links.union(more), "links")
         groups = components(links)
     return Links(documents.drop("prefix"), nodes.drop("prefix"), links, groups)
