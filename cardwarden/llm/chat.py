@@ -97,7 +97,7 @@ def render(
 
     Of equal conversations the smallest conv_id stays; ``n_logged`` counts them. Turns
     are in order of their number, counted from the conversation's first; several at one
-    number come in order of role and text. Repeated rows count once. Rows without a
+    number come in order of role and text, and a snapshot has all of them. Repeated rows count once. Rows without a
     conversation or number are no turns. A null role is ``unknown``, a null text empty.
     Markers inside texts are broken up. A conversation is rendered in parts of
     ``PART`` turn numbers, so that its length needs no more memory. Only the four named

@@ -21,8 +21,12 @@ from cardwarden.llm.components import components
 from cardwarden.session import stored
 
 THRESHOLD = 0.93
-#: Values of the sample that the rotation is learned from; it bounds the driver's share.
-SAMPLE_VALUES = 1 << 20
+#: Values and vectors of the sample that the rotation is learned from; they bound the
+#: driver's share.
+SAMPLE_VALUES, SAMPLE_ROWS = 1 << 20, 8192
+#: Vectors of the sample this close to an earlier one are left out of the fit. Else a
+#: large group of near copies would draw the cuts of the codes through itself.
+APART = 0.8
 ROUNDS = 40
 #: Chance that a pair right at the threshold meets nowhere, if its bits flip at random.
 MISSED = 0.02
@@ -54,6 +58,16 @@ def shape_of(largest: int, threshold: float = THRESHOLD) -> tuple[int, int]:
     return bits, math.ceil(math.log(MISSED) / math.log(1 - meet))
 
 
+def _spread(sample: np.ndarray) -> np.ndarray:
+    """Unit vectors without those close to an earlier one."""
+    keep = np.ones(len(sample), bool)
+    for at in range(0, len(sample), 1024):
+        rows = np.arange(at, min(at + 1024, len(sample)))
+        near = sample[rows] @ sample[: rows[-1] + 1].T >= APART
+        keep[rows] = ~(near & (np.arange(rows[-1] + 1) < rows[:, None])).any(axis=1)
+    return sample[keep]
+
+
 def learn(sample: np.ndarray, bits: int, tables: int) -> Tables:
     """Rotations by iterative quantisation: as many as the code has blocks of dimensions.
 
@@ -61,6 +75,7 @@ def learn(sample: np.ndarray, bits: int, tables: int) -> Tables:
     nearest binary code and the rotation that fits it best.
     """
     size = sample.shape[1]
+    sample = _spread(sample)
     mean = sample.mean(axis=0)
     centred = sample - mean
     random = np.random.default_rng(20)
@@ -272,7 +287,7 @@ def near_duplicates(
     usual = nodes.groupBy("size").count().orderBy(F.desc("count"), "size").first()
     bits, tables = shape_of(largest, threshold)
     size = usual["size"] if usual else 1
-    take = max(2, SAMPLE_VALUES // size)
+    take = max(2, min(SAMPLE_ROWS, SAMPLE_VALUES // size))
     sample = nodes.where(F.col("size") == size).orderBy(F.xxhash64("h1"), "h1").limit(take)
     values = np.array([r.vector for r in sample.select("vector").collect()], np.float64)
     values = _units(values.reshape(-1, size)) if len(values) else np.zeros((1, size))
