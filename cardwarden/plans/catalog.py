@@ -284,6 +284,125 @@ def profile_json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query(
+    f"""WITH {_PROFILES} SELECT cust_id, name, loyalty_tier, home_city,
+    array_to_string(active_products, ',') AS active_products,
+    array_to_string(known_devices, ',') AS known_devices FROM profiles"""
+)
+def profile_json_lines_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "profiles_lines")
+    adapters.profiles(spark, sf_dir).write.json(path)
+    read = sources.read_profiles(spark, path, multi_line=False)
+    return read.withColumns(
+        {c: F.array_join(c, ",") for c in ("active_products", "known_devices")}
+    )
+
+
+def _delivered(rows: DataFrame, folder: str) -> str:
+    """Rows as files part-0.csv, part-1.csv, ...: the same names in every folder.
+
+    Delivering to a folder again replaces its files.
+    """
+    spark = rows.sparkSession
+    written = f"{folder}-written"
+    spread = rows.repartition(4, "tx_id")
+    spread.write.mode("overwrite").option("header", True).csv(written)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    system = path(written).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in system.listStatus(path(written))]
+    system.mkdirs(path(folder))
+    names = sorted(n for n in names if n.startswith("part-"))
+    for i in range(4):
+        target = path(f"{folder}/part-{i}.csv")
+        system.delete(target, False)
+        if i < len(names):
+            system.rename(path(f"{written}/{names[i]}"), target)
+        else:  # Spark writes no file without rows but the first
+            system.create(target).close()
+    return folder
+
+
+_LATER = "2024-01-15"
+
+
+def _split(rows: DataFrame, column: str = "tx_datetime") -> tuple[DataFrame, DataFrame]:
+    later = F.col(column) >= _LATER
+    return rows.filter(~later), rows.filter(later)
+
+
+@_query(f"WITH {_BRONZE} SELECT {_BRONZE_COLUMNS} FROM bronze")
+def landing_same_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two folders with files of the same names: all rows are kept."""
+    root, landed = scratch_path(spark, "incoming"), scratch_path(spark, "bronze")
+    rows = adapters.bronze(spark, sf_dir)
+    even = F.pmod(F.xxhash64("tx_id"), F.lit(2)) == 0
+    for name, part in (("a", rows.filter(even)), ("b", rows.filter(~even))):
+        sources.land_transactions(spark, _delivered(part, f"{root}/{name}"), landed, AS_OF)
+    return sources.read_table(spark, landed).select(*schemas.BRONZE.fieldNames())
+
+
+def _both_deliveries(spark: SparkSession, sf_dir: str, repeat: bool = False) -> tuple[str, str]:
+    """A lake after the earlier and the later days came one after the other."""
+    root, lake = scratch_path(spark, "incoming"), scratch_path(spark, "lake")
+    earlier, later = _split(adapters.bronze_located(spark, sf_dir))
+    medallion.run(spark, _delivered(earlier, f"{root}/a"), lake, as_of=AS_OF)
+    if repeat:
+        later = later.union(earlier.filter(F.col("tx_category") == "error"))
+    medallion.run(spark, _delivered(later, f"{root}/b"), lake, as_of=AS_OF)
+    return root, lake
+
+
+_ALERT_KEYS = "transaction_id, customer_id, fraud_reason, dt_particao"
+
+
+@_query(f"WITH {_alerts('strict', _TX_TO_SECOND)} SELECT {_ALERT_KEYS} FROM alerts")
+def medallion_two_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The alerts of two deliveries are those of one."""
+    layout = medallion.Layout(_both_deliveries(spark, sf_dir)[1])
+    return sources.read_table(spark, layout.fraud_alerts).select(*_ALERT_KEYS.split(", "))
+
+
+@_query(f"WITH {_TX_TO_SECOND} SELECT transaction_id, customer_id, amount, category FROM tx")
+def silver_two_deliveries_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the first delivery come again in the second and count once."""
+    layout = medallion.Layout(_both_deliveries(spark, sf_dir, repeat=True)[1])
+    silver_rows = sources.read_table(spark, layout.silver)
+    return silver_rows.select("transaction_id", "customer_id", "amount", "category")
+
+
+@_query(
+    f"""WITH {_alerts('strict', _TX_TO_SECOND)}, kept AS (
+  SELECT transaction_id FROM alerts WHERE dt_particao < DATE '{_LATER}'
+)
+SELECT 'alert' AS output, transaction_id FROM kept
+UNION ALL SELECT 'eligible', transaction_id FROM tx
+  WHERE transaction_id NOT IN (SELECT transaction_id FROM kept)"""
+)
+def alerts_corrected_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Later files come again without positions: their days lose every alert."""
+    root, lake = _both_deliveries(spark, sf_dir)
+    _, later = _split(adapters.bronze_located(spark, sf_dir))
+    unknown = F.lit(None).cast("string")
+    corrected = later.withColumns({"latitude": unknown, "longitude": unknown})
+    medallion.run(spark, _delivered(corrected, f"{root}/b"), lake, as_of=AS_OF)
+    layout = medallion.Layout(lake)
+    parts = [
+        sources.read_table(spark, path).select(F.lit(output).alias("output"), "transaction_id")
+        for output, path in (("alert", layout.fraud_alerts), ("eligible", layout.reward_eligible))
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+@_query(f"WITH {_BRONZE} SELECT {_BRONZE_COLUMNS} FROM bronze WHERE tx_datetime < '{_LATER}'")
+def landing_emptied_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that come again without rows take their rows away."""
+    root, landed = scratch_path(spark, "incoming"), scratch_path(spark, "bronze")
+    earlier, later = _split(adapters.bronze(spark, sf_dir))
+    for name, part in (("a", earlier), ("b", later), ("b", later.filter(F.lit(False)))):
+        sources.land_transactions(spark, _delivered(part, f"{root}/{name}"), landed, AS_OF)
+    return sources.read_table(spark, landed).select(*schemas.BRONZE.fieldNames())
+
+
 @_query(f"WITH {_BRONZE} SELECT {_BRONZE_COLUMNS} FROM bronze")
 def bronze_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same files delivered twice leave one copy of every row."""

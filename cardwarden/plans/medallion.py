@@ -197,11 +197,11 @@ def land_and_gate(
 
     A file without one of the contract's columns is an error before anything is landed.
     """
-    files = delivered_files(spark, transactions)
     raw = read_transactions_csv(spark, transactions)
     missing = [c for c in schemas.BRONZE.fieldNames() if c not in raw.columns]
     if missing:
         raise ValueError(f"{transactions} has no column {', '.join(missing)}")
+    files = delivered_files(raw)
     before = existing(spark, layout.bronze)
     if before is not None:
         before = before.join(files, "source_file", "left_semi")

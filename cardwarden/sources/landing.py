@@ -13,15 +13,21 @@ from cardwarden.sources.readers import read_profiles, read_transactions_csv
 from cardwarden.sources.sinks import replace_files
 
 
-def _file_key() -> Column:
-    # A letter in front, so that no key can be read as a number.
-    return F.concat(F.lit("f"), F.md5("_metadata.file_path")).alias("source_file")
+def _file_key(uri: str) -> Column:
+    # Spark writes a URI without authority with one slash or three. A letter stands in
+    # front, so that no key can be read as a number.
+    path = F.regexp_replace(uri, r"^([A-Za-z][\w+.-]*):/+", "$1:/")
+    return F.concat(F.lit("f"), F.md5(path)).alias("source_file")
 
 
-def delivered_files(spark: SparkSession, source: str) -> DataFrame:
-    """The key of every delivered file, with or without rows: column source_file."""
-    listed = spark.read.format("binaryFile").load(source).select(_file_key())
-    return stored(listed.distinct(), "delivered")
+def delivered_files(raw: DataFrame) -> DataFrame:
+    """The key of every file of a scan, with or without rows: column source_file.
+
+    The scan's own file listing has them, files of no bytes too; they go on as a table.
+    """
+    spark = raw.sparkSession
+    paths = spark.createDataFrame([(uri,) for uri in raw.inputFiles()], "path string")
+    return stored(paths.select(_file_key("path")).distinct(), "delivered")
 
 
 def _land(
@@ -35,7 +41,7 @@ def _land(
         "*",
         F.col("_metadata.file_path").alias("source_path"),
         stamp.cast("timestamp").alias("ingested_at"),
-        _file_key(),
+        _file_key("_metadata.file_path"),
     )
     replace_files(landed, path, delivered, uuid.uuid4().hex)
     return delivered
@@ -49,8 +55,8 @@ def land_transactions(
     delivered: DataFrame | None = None,
 ) -> DataFrame:
     """Land raw transaction CSV files as all-text parquet; return the files' keys."""
-    delivered = delivered or delivered_files(spark, source)
-    return _land(read_transactions_csv(spark, source), delivered, bronze, ingested_at)
+    raw = read_transactions_csv(spark, source)
+    return _land(raw, delivered or delivered_files(raw), bronze, ingested_at)
 
 
 def land_profiles(
@@ -61,5 +67,5 @@ def land_profiles(
     multi_line: bool = True,
 ) -> DataFrame:
     """Land customer profile JSON files; return the files' keys."""
-    delivered = delivered_files(spark, source)
-    return _land(read_profiles(spark, source, multi_line), delivered, bronze, ingested_at)
+    raw = read_profiles(spark, source, multi_line)
+    return _land(raw, delivered_files(raw), bronze, ingested_at)
