@@ -58,7 +58,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._stored_at = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Delete the files of a table from ``stored`` that nothing will read again."""
+    spark = table.sparkSession
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table._stored_at).getParent()
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def ship_package(spark: SparkSession) -> None:
