@@ -29,10 +29,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardwarden.llm import words as W
-from cardwarden.llm.columns import apart, keyed
+from cardwarden.llm.columns import apart, keyed, keys
 from cardwarden.llm.components import components
 from cardwarden.llm.tables import gathered
-from cardwarden.session import stored
+from cardwarden.session import discard, stored
 
 #: Counters of the frequency sketch; it has this size for any input.
 SKETCH = 1 << 20
@@ -380,9 +380,9 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Links:
     """
     named = keyed(docs, doc_id, text)
     counts = frequencies(named)
-    documents = stored(sets(named, counts), "sets")
-    nodes = (
-        documents.where(F.col("n") > 0)
+    whole = stored(sets(named, counts), "sets")
+    full = (
+        whole.where(F.col("n") > 0)
         .groupBy("f1", "f2")
         .agg(
             F.first("n").alias("n"),
@@ -392,9 +392,14 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Links:
         )
         .withColumn("nid", F.monotonically_increasing_id())
     )
-    nodes = stored(nodes, "nodes")
-    rows = nodes.select("nid", "n", F.posexplode("prefix").alias("pos", "token"))
+    full = stored(full, "nodes")
+    rows = full.select("nid", "n", F.posexplode("prefix").alias("pos", "token"))
     index = stored(_shared(rows.select("token", "nid", "n", "pos")), "index")
+    # The prefixes have done their work; what stays is thin.
+    documents = stored(whole.drop("prefix"), "documents")
+    nodes = stored(full.drop("prefix"), "nodes")
+    discard(whole)
+    discard(full)
     def verified(pairs: DataFrame) -> DataFrame:
         wanted = pairs.select(F.col("a").alias("nid"), F.lit(True).alias("pivot")).union(
             pairs.select("b", F.lit(False))
@@ -425,7 +430,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Links:
         more = _derived(rest, compared.where(linked), nodes, named)
         links = stored(links.union(more), "links")
         groups = components(links)
-    return Links(documents.drop("prefix"), nodes.drop("prefix"), links, groups)
+    return Links(documents, nodes, links, groups)
 
 
 def grouped(found: Links) -> DataFrame:
@@ -444,6 +449,7 @@ def grouped(found: Links) -> DataFrame:
     none = F.col("n") == 0
     return found.documents.join(labels, ["f1", "f2"], "left").select(
         "doc_id",
+        "k0",
         "k1",
         "k2",
         F.col("n").alias("n_shingles"),
@@ -460,17 +466,14 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     columns are kept as they are, whatever their names.
     """
     rows = stored(grouped(join(docs, doc_id, text)), "grouped")
-    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "k1", "k2")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "k0", "k1", "k2")
+    key = ["k0", "k1", "k2"]
     kept = rows.where(F.col("node").isNotNull()).groupBy("node").agg(F.min(order).alias("r"))
-    kept = kept.select("r.doc_id", "r.k1", "r.k2").union(
-        rows.where(F.col("node").isNull()).select("doc_id", "k1", "k2").distinct()
+    kept = kept.select(*(f"r.{c}" for c in key)).union(
+        rows.where(F.col("node").isNull()).select(*key).distinct()
     )
     own, name = apart(docs)
-    key = F.col(name[text])
-    own = own.withColumns(
-        {"t1": F.xxhash64(key), "t2": F.xxhash64(F.lit(1), key), "id": F.col(name[doc_id])}
-    )
-    at = F.col("id").eqNullSafe(F.col("doc_id"))
-    at = at & (F.col("t1") == F.col("k1")) & (F.col("t2") == F.col("k2"))
-    once = own.join(kept, at, "left_semi").dropDuplicates(["id", "t1", "t2"])
+    own = own.withColumns(keys(name[doc_id], name[text]))
+    # Rows of one key meet in the join already, so the texts move once.
+    once = own.join(kept, key, "left_semi").dropDuplicates(key)
     return once.select(*name.values()).toDF(*docs.columns)
