@@ -30,16 +30,15 @@ def device_mismatch(
     """Digital transactions from a device their customer's profile does not list.
 
     Every one is of high criticality. A customer without profile is reported as
-    such, and so is a transaction without a device. Of a profile that was delivered
-    more than once the largest list of devices counts. Pass ``channels=None`` to check all channels. The join carries no
+    such, and so is a transaction without a device. ``profiles`` has one row for each
+    customer (``gold.one_profile_each``). Pass ``channels=None`` to check all channels. The join carries no
     broadcast hint: profiles grow with the customer base, so Spark decides by
     their measured size, and splits skewed customers if it has to sort-merge.
     """
     checked = enriched if channels is None else enriched.filter(F.col("channel").isin(*channels))
-    trusted = profiles.groupBy(F.col("cust_id").cast("string").alias("customer_id")).agg(
-        F.max(F.struct(F.size("known_devices"), "known_devices"))
-        .getField("known_devices")
-        .alias("known_devices"),
+    trusted = profiles.select(
+        F.col("cust_id").cast("string").alias("customer_id"),
+        "known_devices",
         F.lit(True).alias("has_profile"),
     )
     known = F.coalesce(F.array_contains("known_devices", F.col("device_id")), F.lit(False))

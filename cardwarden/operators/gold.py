@@ -97,17 +97,29 @@ def alerts_daily_change(alert_rows: DataFrame) -> DataFrame:
     )
 
 
+def one_profile_each(profiles: DataFrame) -> DataFrame:
+    """One row for each customer: of several the one with most devices, then the largest.
+
+    Store it before a join with transactions: above an aggregate Spark could not split
+    a customer's rows among tasks.
+    """
+    others = [c for c in profiles.columns if c != "cust_id"]
+    ranked = F.struct(F.size("known_devices").alias("devices"), *others)
+    best = profiles.groupBy("cust_id").agg(F.max(ranked).alias("p"))
+    return best.select("cust_id", *(F.col("p")[c].alias(c) for c in others))
+
+
 def enrich_with_profiles(silver: DataFrame, profiles: DataFrame) -> DataFrame:
     """Add tier, home city and products; transactions without profile get NULLs.
 
-    A profile that was delivered more than once counts once. No broadcast hint, for
-    the reason given at ``device_mismatch``.
+    ``profiles`` has one row for each customer. No broadcast hint, for the reason given
+    at ``device_mismatch``.
     """
-    names = ("loyalty_tier", "home_city", "active_products")
-    dimension = (
-        profiles.groupBy(F.col("cust_id").cast("string").alias("customer_id"))
-        .agg(F.max(F.struct(*names)).alias("p"))
-        .select("customer_id", *(f"p.{c}" for c in names))
+    dimension = profiles.select(
+        F.col("cust_id").cast("string").alias("customer_id"),
+        "loyalty_tier",
+        "home_city",
+        "active_products",
     )
     return silver.join(dimension, "customer_id", "left")
 

@@ -326,7 +326,9 @@ def build_device_alerts(
     device with; these rules look back one day at most, so that day's own is read too.
     """
     files = land_profiles(spark, profiles, layout.profiles, as_of, not profile_lines)
-    known = read_table(spark, layout.profiles).join(files, "source_file", "left_semi")
+    landed = read_table(spark, layout.profiles).join(files, "source_file", "left_semi")
+    known = gold.one_profile_each(landed.select(*schemas.PROFILE.fieldNames()))
+    known = stored(known, "profiles")
     first = _first(covered)
     since = None if first is None else first - timedelta(days=1)
     read_from = None if first is None else first - timedelta(days=2)

@@ -25,7 +25,7 @@ def test_device_mismatch(spark):
     out = devices.device_mismatch(rows, known)
     assert {r["transaction_id"]: (r["device_status"], r["criticality"]) for r in out.collect()} == {
         "unknown": (devices.UNKNOWN_DEVICE, "high"),
-        "no_device": (devices.UNKNOWN_DEVICE, "high"),
+        "no_device": (devices.NO_DEVICE, "high"),
         "no_profile": (devices.NO_PROFILE, "high"),
     }
     assert "in_store" in ids(devices.device_mismatch(rows, known, channels=None))
