@@ -1,9 +1,9 @@
 """Main text of web pages by consensus of each host's container paths.
 
-First every page is scored by itself: its blocks of text are weighed, and the deepest
-container that holds most of the weight gets the page's vote, as a path of tags and
-classes with numbers generalised. Votes are counted for each host in Spark, and the
-pages are read again with the host's winning paths.
+First every page is scored by itself: its blocks of text are weighed, and the highest
+container that has nothing but furniture beside it gets the page's vote, as a path of
+tags and classes with numbers generalised. Votes are counted for each host in Spark, and
+the pages are read again with the host's winning paths.
 """
 
 from __future__ import annotations
@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 
 from cardwarden.session import stored
 
-#: Share of a page's weight that its voted container holds, and of a host's votes that a
-#: path needs to win; so a host has at most ten winning paths.
-HOLDS, WINS = 0.6, 0.1
+#: Share of a page's weight that may stand in other containers beside the voted one, and
+#: of a host's votes that a path needs to win; so a host has at most ten winning paths.
+BESIDE, WINS = 0.05, 0.1
 #: Weight of text inside article and main.
 MEANT = 3
 
@@ -44,6 +44,7 @@ _NAMES_OUT = set(
     " sponsored subscribe subscription toolbar widget widgets".split()
 )
 _HEADERS = {"header", "topbar"}
+_HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 _CONTENT = set("article body container content layout main page post story wrap wrapper".split())
 
 _TOKEN = re.compile(
@@ -81,14 +82,14 @@ def _name(tag: str, have: dict[str, str]) -> str:
     return ".".join([tag, *sorted(kinds)])
 
 
-def blocks(html: str) -> list[tuple[str, str, int]]:
-    """Path, text and characters inside links of each block that is no furniture.
+def blocks(html: str) -> list[tuple[str, str, int, str]]:
+    """Path, text, characters inside links and tag of each block that is no furniture.
 
     A container's path is its own and its parents' names. Unclosed and misnested tags
     are taken as browsers do in broad terms: an end tag closes what is open inside, and
     one without a start counts for nothing.
     """
-    out: list[tuple[str, str, int]] = []
+    out: list[tuple[str, str, int, str]] = []
     stack: list[tuple[str, str, bool]] = [("", "", False)]  # tag, path, furniture
     held: list[str] = []
     linked, in_link, at = 0, False, 0
@@ -98,7 +99,7 @@ def blocks(html: str) -> list[tuple[str, str, int]]:
         if held:
             text = " ".join(unescape("".join(held)).split())
             if text:
-                out.append((stack[-1][1], text, min(linked, len(text))))
+                out.append((stack[-1][1], text, min(linked, len(text)), stack[-1][0]))
             held.clear()
         linked = 0
 
@@ -144,30 +145,55 @@ def blocks(html: str) -> list[tuple[str, str, int]]:
     return out
 
 
-def vote(found: list[tuple[str, str, int]]) -> str:
-    """The deepest path that holds most of the page's weight; of none, the whole page."""
-    weight: dict[str, int] = {}
-    total = 0
-    for path, text, linked in found:
+def _under(path: str, container: str) -> bool:
+    return path == container or path.startswith(f"{container}/")
+
+
+def vote(found: list[tuple[str, str, int, str]]) -> str:
+    """The highest path that has only furniture beside it; of none, the whole page.
+
+    From the whole page down, a container is entered as long as what stays outside is
+    mostly links, or little text in other containers. Nothing is entered past an h1, a
+    heading or text of the parent's own, and an article is taken whole.
+    """
+    worth: list[tuple[str, int, str]] = []
+    for path, text, linked, tag in found:
         value = max(0, len(text) - 2 * linked)
         value *= MEANT if "/article" in path or "/main" in path else 1
-        total += value
-        while path:
-            weight[path] = weight.get(path, 0) + value
-            path = path.rpartition("/")[0]
-    holding = [p for p, v in weight.items() if v and v >= HOLDS * total]
-    return max(holding, key=lambda p: (p.count("/"), weight[p], p), default="")
+        worth.append((path, value, tag))
+    least = (1 - BESIDE) * sum(value for _, value, _ in worth)
+    at = ""
+    while at.rpartition("/")[2].partition(".")[0] != "article":
+        weight: dict[str, int] = {}
+        for path, value, tag in worth:
+            if path != at:
+                inner = f"{at}/{path[len(at) + 1 :].partition('/')[0]}"
+                weight[inner] = weight.get(inner, 0) + value
+            elif value or tag in _HEADINGS:
+                return at
+        into = max(weight, key=lambda p: (weight[p], p), default="")
+        if not weight.get(into) or weight[into] < least:
+            return at
+        if any(tag == "h1" and not _under(path, into) for path, _, tag in worth):
+            return at
+        worth = [x for x in worth if _under(x[0], into)]
+        at = into
+    return at
 
 
 def read_main(html: str, winners: list[str]) -> tuple[str, str]:
-    """Text by the first winning path that the page has, or by its own vote; the path."""
+    """Text by the first winning path that the page has, or by its own vote; the path.
+
+    A page whose own vote is a container around the winning path is read by its own, as
+    there is more than furniture beside the winner.
+    """
     found = blocks(html)
-    for path in winners:
-        inside = [t for p, t, _ in found if p == path or p.startswith(f"{path}/")]
-        if inside:
-            return "\n".join(inside), path
     own = vote(found)
-    return "\n".join(t for p, t, _ in found if p == own or p.startswith(f"{own}/")), own
+    for path in winners:
+        if any(_under(p, path) for p, *_ in found):
+            own = own if _under(path, own) else path
+            break
+    return "\n".join(t for p, t, *_ in found if _under(p, own)), own
 
 
 def extract(pages: DataFrame, keys: list[str], url: str = "url", html: str = "html") -> DataFrame:

@@ -238,6 +238,22 @@ def test_a_host_outvotes_a_page_whose_own_best_is_elsewhere(spark):
     assert found[9].text == "the short text" and found[10].text == prose(99, 80)
 
 
+@pytest.mark.parametrize("part", ["div class='body'", "section", "ul", "table", "ol"])
+@pytest.mark.parametrize("around", ["article", "div class='post'"])
+def test_a_title_and_lead_beside_most_of_the_text_stay(spark, part, around):
+    """Also on a host whose other pages have nothing beside the inner container."""
+    inner = f"<{part}>{{}}</{part.split()[0]}></{around.split()[0]}><div class='links'><a href='/'>{prose(7, 30)}</a></div>"
+    head = f"<body><{around}><h1>T</h1><p>lead {prose(2, 20)}</p>"
+    html = head + inner.format(prose(1, 60))
+    bare = f"<body><{around}>" + inner.format(prose(3, 60))
+    rows = [(i, "http://a.example.com/", html) for i in range(3)]
+    rows += [(3 + i, "http://b.example.com/", bare) for i in range(4)] + [(7, "http://b.example.com/", html)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = "\n".join(["T", f"lead {prose(2, 20)}", prose(1, 60)])
+    found = {r.page_id: r.text for r in pages.extract(df, ["page_id"]).collect()}
+    assert all(found[i] == (prose(3, 60) if 2 < i < 7 else want) for i in range(8))
+
+
 def test_pages_of_nothing(spark):
     rows = [(1, "u", None), (2, "", ""), (3, None, "plain words"), (4, "http://x/", "<nav>only</nav>"),
             (5, "http://x/", "<p>open <b>and <i>broken</p></div></x> end"), (None, "http://x/", "<p>a"),
