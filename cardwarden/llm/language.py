@@ -8,6 +8,7 @@ grouped sums. All evidence is added up as logarithms.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,13 +19,17 @@ from pyspark.sql import functions as F
 
 from cardwarden.llm import words as W
 from cardwarden.llm.columns import apart
-from cardwarden.llm.tables import gathered
 from cardwarden.session import stored
 
 BUCKETS = 1 << 16
-#: A declared tag is a language of the model from this share of the rows that declare
-#: one; so there are at most 100 languages.
-LEAST_SHARE = 0.01
+#: A declared tag is a language of the model from this many trigrams, however small its
+#: share; in a small table also from this share of the rows that declare one.
+LEAST_TRIGRAMS, LEAST_SHARE = 2000, 0.01
+#: Languages that a task counts at once; more are handed on in between.
+HELD = 256
+#: A text fits a language if its mean log-likelihood is no further below that of the
+#: language's own texts than this, and so many standard errors.
+MARGIN, ERRORS = 1.5, 2.0
 #: Trigrams overlap, so the text's evidence counts by this factor.
 TEMPER = 1 / 3
 #: Rows' worth of trust in the level above: the domain for a host, all for a domain.
@@ -56,10 +61,15 @@ def _trigrams(w: W.Words) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class TextModel:
-    """Log-likelihoods of the buckets, a row for each language, in order of tags."""
+    """Log-likelihoods of the buckets, a row for each language, in order of tags.
+
+    ``usual`` and ``spread`` are their mean and variance over a language's own trigrams.
+    """
 
     languages: list[str]
     log: np.ndarray
+    usual: np.ndarray
+    spread: np.ndarray
 
 
 def tag(declared: Column) -> Column:
@@ -68,40 +78,86 @@ def tag(declared: Column) -> Column:
     return F.when(first != "", first)
 
 
+_SCHEMA = "declared string, part binary"
+
+
+def _counted(counts: dict[str, np.ndarray]) -> pa.RecordBatch:
+    packed = [zlib.compress(x.tobytes(), 1) for x in counts.values()]
+    columns = [pa.array(list(counts), pa.string()), pa.array(packed, pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, names=["declared", "part"])
+
+
 def fit(rows: DataFrame) -> TextModel:
-    """Trigram counts of every language over all ``rows`` (text, declared).
+    """Trigram counts of every declared language over all ``rows`` (text, declared).
 
-    Each task sums up its own; what meets is one table of fixed size per language.
+    Each task sums up its own; what meets is one table of fixed size per language with
+    enough letters to learn from.
     """
     declared = rows.where(F.col("declared").isNotNull()).groupBy("declared").count()
+    declared = stored(declared, "declared")
     of = declared.agg(F.sum("count")).first()[0] or 0
-    known = declared.where(F.col("count") >= LEAST_SHARE * of)
-    languages = sorted(r.declared for r in known.collect())
-    number = {x: i for i, x in enumerate(languages)}
-
-    def count(total: np.ndarray, batch: pa.RecordBatch) -> None:
-        which = np.array([number.get(x, -1) for x in batch.column(1).to_pylist()], np.int64)
-        for w in W.slices(batch.column(0)):
-            doc, bucket = _trigrams(w)
-            tongue = which[w.first : w.last][doc]
-            known = tongue >= 0
-            cell = tongue[known] * BUCKETS + bucket[known]
-            total += np.bincount(cell, minlength=len(total))
-
-    size = len(languages) * BUCKETS
-    counts = gathered(rows.select("text", "declared"), count, size, np.int64).astype(np.float64)
-    counts = counts.reshape(len(languages), BUCKETS)
-    counts += SMOOTHING
-    return TextModel(languages, np.log(counts / counts.sum(axis=1, keepdims=True)))
+    often = {r.declared for r in declared.where(F.col("count") >= LEAST_SHARE * of).collect()}
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, np.ndarray] = {}
+        for batch in batches:
+            tags = batch.column(1).dictionary_encode()
+            names = tags.dictionary.to_pylist()
+            which = tags.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            for w in W.slices(batch.column(0)):
+                doc, bucket = _trigrams(w)
+                tongue = which[w.first : w.last][doc]
+                order = np.argsort(tongue, kind="stable")
+                at = np.flatnonzero(np.diff(tongue[order], prepend=-1))
+                for own in np.split(order, at)[1:]:
+                    name = names[tongue[own[0]]]
+                    if name not in held:
+                        if len(held) == HELD:
+                            yield _counted(held)
+                            held.clear()
+                        held[name] = np.zeros(BUCKETS, np.int64)
+                    held[name] += np.bincount(bucket[own], minlength=BUCKETS)
+        yield _counted(held)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, total = None, np.zeros(BUCKETS, np.int64)
+
+        def learned() -> bool:
+            return name is not None and (total.sum() >= LEAST_TRIGRAMS or name in often)
+
+        for batch in batches:
+            for own, part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if own != name:
+                    if learned():
+                        yield _counted({name: total})
+                    name, total = own, np.zeros(BUCKETS, np.int64)
+                total += np.frombuffer(zlib.decompress(part), np.int64)
+        if learned():
+            yield _counted({name: total})
+
+    parts = rows.where(F.col("declared").isNotNull()).select("text", "declared")
+    parts = parts.mapInArrow(count, _SCHEMA).repartition("declared").sortWithinPartitions("declared")
+    found = {r.declared: r.part for r in parts.mapInArrow(merge, _SCHEMA).collect()}
+    # A tag in many rows without a letter is a language, too.
+    languages = sorted(often | found.keys())
+    counts = np.full((len(languages), BUCKETS), SMOOTHING)
+    for own, name in zip(counts, languages, strict=True):
+        if name in found:
+            own += np.frombuffer(zlib.decompress(bytes(found[name])), np.int64)
+    share = counts / counts.sum(axis=1, keepdims=True)
+    log = np.log(share)
+    usual = (share * log).sum(axis=1)
+    return TextModel(languages, log, usual, (share * log * log).sum(axis=1) - usual * usual)
 
 
 def read_texts(rows: DataFrame, model: TextModel, carry: list[str]) -> DataFrame:
-    """``carry`` and, of each text, trigrams and the log-likelihood of each language."""
-    shared = rows.sparkSession.sparkContext.broadcast(model.log)
+    """``carry`` and, of each text, trigrams, and for each language log-likelihood and fit."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
     n = len(model.languages)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        log = shared.value
+        m = shared.value
+        log = m.log
         for batch in batches:
             for w in W.slices(batch.column(len(carry))):
                 doc, bucket = _trigrams(w)
@@ -112,14 +168,20 @@ def read_texts(rows: DataFrame, model: TextModel, carry: list[str]) -> DataFrame
                 head = (np.cumsum(trigrams) - trigrams)[some]
                 for i in range(n if len(some) else 0):
                     value[some, i] = np.add.reduceat(log[i][bucket], head)
+                # Trigrams overlap, so a text has fewer independent ones than it has.
+                number = np.maximum(1, trigrams)[:, None]
+                allowed = MARGIN + ERRORS * np.sqrt(m.spread / (TEMPER * number))
+                fits = value / number >= m.usual - allowed
                 at = pa.array(np.arange(size + 1, dtype=np.int32) * n)
                 columns = [x.slice(w.first, size) for x in batch.columns[: len(carry)]]
                 columns.append(pa.array(trigrams, pa.int64()))
                 columns.append(pa.ListArray.from_arrays(at, pa.array(value.reshape(-1))))
-                yield pa.RecordBatch.from_arrays(columns, names=[*carry, "trigrams", "log"])
+                columns.append(pa.ListArray.from_arrays(at, pa.array(fits.reshape(-1))))
+                names = [*carry, "trigrams", "log", "fits"]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     kept = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in carry)
-    schema = f"{kept}, trigrams long, log array<double>"
+    schema = f"{kept}, trigrams long, log array<double>, fits array<boolean>"
     return rows.select(*carry, "text").mapInArrow(run, schema)
 
 
@@ -155,9 +217,11 @@ def identify(
     text never counts as evidence for its own markup, address or host.
 
     A text without letters, null or empty, has no language and is rejected, as is a
-    document of which no language reaches ``keep_from``. Repeated rows get equal
-    results. With no declared language in the whole table nothing can be learned and
-    all are rejected. Work is by row and by grouped sums; a host with a third of all
+    document of which no language reaches ``keep_from``. A text that does not fit the
+    language found, or whose declared one has too few letters in the whole table to be
+    learned, keeps its declared language, without a posterior; with none declared it is
+    undetermined and rejected. Repeated rows get equal results. With no declared language
+    in the whole table nothing can be learned and all are rejected. Work is by row and by grouped sums; a host with a third of all
     rows is summed before the shuffle.
     """
     carry = [*(f"k{i}" for i in range(len(keys))), "declared", "suffix", "host", "domain"]
@@ -178,12 +242,12 @@ def identify(
     if not n:
         return read.select(
             *(F.col(f"k{i}").alias(c) for i, c in enumerate(keys)),
-            F.lit(None).cast("string").alias("language"),
+            F.when(F.col("trigrams") > 0, F.col("declared")).alias("language"),
             F.lit(None).cast("double").alias("posterior"),
             F.lit(None).cast("string").alias("text_language"),
             "declared",
             "trigrams",
-            F.lit(False).alias("kept"),
+            ((F.col("trigrams") > 0) & F.col("declared").isNotNull()).alias("kept"),
         )
     told = read.where(F.col("trigrams") > 0)
     whole = told.agg(F.array(*(F.sum(F.col("p")[i]) for i in range(n))).alias("s")).first()
@@ -227,17 +291,20 @@ def identify(
         evidence = F.zip_with(evidence, say, lambda a, b: a + b)
     joined = joined.withColumn("_fused", _posterior(evidence))
     best = F.array_max("_fused")
-    language = F.element_at(names, F.array_position("_fused", best).cast("int"))
+    which = F.array_position("_fused", best).cast("int")
+    unknown = F.col("declared").isNotNull() & ~F.array_contains(names, F.col("declared"))
+    found = F.element_at("fits", which) & ~unknown
+    language = F.when(found, F.element_at(names, which)).otherwise(F.col("declared"))
     by_text = F.element_at(names, F.array_position("p", F.array_max("p")).cast("int"))
     some = F.col("trigrams") > 0
     return joined.select(
         *(F.col(f"k{i}").alias(c) for i, c in enumerate(keys)),
         F.when(some, language).alias("language"),
-        F.when(some, best).alias("posterior"),
+        F.when(some & found, best).alias("posterior"),
         F.when(some, by_text).alias("text_language"),
         "declared",
         "trigrams",
-        (some & (best >= keep_from)).alias("kept"),
+        (some & F.when(found, best >= keep_from).otherwise(F.col("declared").isNotNull())).alias("kept"),
     )
 
 

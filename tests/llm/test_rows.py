@@ -172,6 +172,27 @@ def test_languages_by_all_evidence(documents):
     assert (found[204].language, found[205].language) == ("en", "fr")
 
 
+FI = "hän että mutta joka sitten kuin myös vielä koska niin ovat heidän täällä yhtään"
+
+
+@pytest.mark.parametrize("n", [3, 9])
+def test_a_rare_language_keeps_its_name(documents, n):
+    """Below the share of 1%, with too few letters to be learned and with enough."""
+    rnd = random.Random(4)
+    rows = spoken_rows() * 14
+    rows = [(i, *r[1:]) for i, r in enumerate(rows)]
+    finnish = lambda: " ".join(rnd.choice(FI.split()) for _ in range(100))
+    rows += [(2000 + i, finnish(), "fi", "a.example.com") for i in range(n)]
+    rows += [(2100, finnish(), None, "a.example.com"), (2101, finnish(), "en", "a.example.com")]
+    docs = documents(rows)
+    lang = {r.doc_id: r.lang for r in language.spoken(docs).collect()}
+    assert all(lang[2000 + i] == "fi" for i in range(n))
+    assert (lang.get(2100), lang[2101]) == (("fi", "fi") if n == 9 else (None, "en"))
+    assert all(lang[i] == ("en" if r[2] == "en" else "fr") for i, r in enumerate(rows[:1120]))
+    model = language.fit(docs.select("text", language.tag(F.col("lang")).alias("declared")))
+    assert model.languages == (["en", "fi", "fr"] if n == 9 else ["en", "fr"])
+
+
 def test_language_posterior_equals_bayes_by_hand(documents):
     """One row's fusion, recomputed from the stored text likelihoods."""
     rows = spoken_rows()
