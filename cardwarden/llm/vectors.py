@@ -27,9 +27,15 @@ SAMPLE_VALUES, SAMPLE_ROWS = 1 << 20, 8192
 #: Vectors of the sample this close to an earlier one are left out of the fit. Else a
 #: large group of near copies would draw the cuts of the codes through itself.
 APART = 0.8
+#: Tried in turn where the vectors are so close together that too few would be left.
+CLOSER = (0.93, 0.98)
 ROUNDS = 40
-#: Chance that a pair right at the threshold meets nowhere, if its bits flip at random.
+#: Share of the pairs right at the threshold that may meet nowhere.
 MISSED = 0.02
+#: Pairs made at the threshold to measure it, of each of two kinds.
+TRIED = 2048
+#: Work of comparing two vectors, in rows of a table.
+COMPARED = 0.02
 #: Vectors of a bucket that are compared as one block.
 BLOCK = 1024
 
@@ -53,17 +59,41 @@ def shape_of(largest: int, threshold: float = THRESHOLD) -> tuple[int, int]:
     at any size; tables are added until a pair at the threshold is missed rarely.
     """
     bits = min(30, max(12, math.ceil(math.log2(max(2, largest))) + 2))
-    flip = math.acos(threshold) / math.pi
+    return bits, _tables(bits, math.acos(threshold) / math.pi)
+
+
+def _tables(bits: int, flip: float) -> int:
+    """Tables for bits that flip at random."""
     meet = (1 - flip) ** bits + bits * flip * (1 - flip) ** (bits - 1)
-    return bits, math.ceil(math.log(MISSED) / math.log(1 - meet))
+    return 1 if meet >= 1 - MISSED else math.ceil(math.log(MISSED) / math.log(1 - meet))
+
+
+def _cheapest(most: int, flip: float, largest: int) -> int:
+    """Bits, ``most`` at most, with the least work: rows of tables and comparisons."""
+
+    def work(bits: int) -> float:
+        return _tables(bits, flip) * bits * (1 + COMPARED * largest / 2 ** (bits - 1))
+
+    return min(range(1, most + 1), key=work)
 
 
 def _spread(sample: np.ndarray) -> np.ndarray:
-    """Unit vectors without those close to an earlier one."""
+    """Unit vectors without those close to an earlier one, if that leaves enough to learn."""
+    first = _apart(sample, APART)
+    for limit in CLOSER:
+        if len(first) >= min(len(sample) / 2, 8 * sample.shape[1]):
+            return first
+        more = _apart(sample, limit)
+        if len(more) >= 8 * sample.shape[1]:
+            return more
+    return first
+
+
+def _apart(sample: np.ndarray, limit: float) -> np.ndarray:
     keep = np.ones(len(sample), bool)
     for at in range(0, len(sample), 1024):
         rows = np.arange(at, min(at + 1024, len(sample)))
-        near = sample[rows] @ sample[: rows[-1] + 1].T >= APART
+        near = sample[rows] @ sample[: rows[-1] + 1].T >= limit
         keep[rows] = ~(near & (np.arange(rows[-1] + 1) < rows[:, None])).any(axis=1)
     return sample[keep]
 
@@ -91,6 +121,54 @@ def learn(sample: np.ndarray, bits: int, tables: int) -> Tables:
     return Tables(size, bits, tables, mean, rotation, np.median(centred @ rotation, axis=0))
 
 
+def _partners(sample: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of unit vectors at the threshold, of two kinds: towards any side, and towards
+    where vectors of the sample differ."""
+    random = np.random.default_rng(21)
+    x = sample[random.permutation(len(sample))[:TRIED]]
+    other = sample[random.integers(len(sample), size=(2, len(x)))]
+    sides = (random.standard_normal(x.shape), other[0] - other[1])
+    near = []
+    for side in sides:
+        side = side - (side * x).sum(axis=1)[:, None] * x
+        size = np.sqrt((side * side).sum(axis=1))[:, None]
+        side = side / np.where(size > 1e-9, size, np.inf)
+        near.append(_units(threshold * x + math.sqrt(max(0.0, 1 - threshold**2)) * side))
+    return x, np.stack(near)
+
+
+def _flips(model: Tables, x: np.ndarray, near: np.ndarray) -> np.ndarray:
+    """Which bits differ, by kind, pair, table and bit."""
+    bit = [(y - model.mean) @ model.rotation > model.middle for y in (x, *near)]
+    shape = (len(near), len(x), model.tables, model.bits)
+    return np.stack([b != bit[0] for b in bit[1:]]).reshape(shape)
+
+
+def fitted(sample: np.ndarray, largest: int, threshold: float = THRESHOLD) -> Tables:
+    """Tables in which pairs at the threshold meet, as measured with the fitted codes.
+
+    Angles about the mean are larger than cosines say where vectors have a common
+    direction, and bits flip more often. Tables are then added, and substrings cut shorter
+    where that is less work, until no more pairs than ``MISSED`` meet nowhere.
+    """
+    x, near = _partners(sample, threshold)
+    bits, tables = shape_of(largest, threshold)
+    first = True
+    while True:
+        model = learn(sample, bits, tables)
+        flips = _flips(model, x, near)
+        met = (flips.sum(axis=3) <= 1).any(axis=2).mean(axis=1).min()
+        if met >= 1 - MISSED or bits == 1:
+            return model
+        flip = min(0.5, flips.mean(axis=(1, 2, 3)).max())
+        if first or tables > 4 * _tables(bits, flip):
+            bits = _cheapest(bits if first else bits - 1, flip, largest)
+            tables = _tables(bits, flip)
+            first = False
+        else:
+            tables = math.ceil(1.25 * tables)
+
+
 def _units(x: np.ndarray) -> np.ndarray:
     """Rows of length 1; scaled first, so that no square overflows or vanishes."""
     x = x / np.abs(x).max(axis=1)[:, None]
@@ -285,13 +363,16 @@ def near_duplicates(
     labels = nodes.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
     largest = labels.agg(F.max("n")).first()[0] or 1
     usual = nodes.groupBy("size").count().orderBy(F.desc("count"), "size").first()
-    bits, tables = shape_of(largest, threshold)
     size = usual["size"] if usual else 1
     take = max(2, min(SAMPLE_ROWS, SAMPLE_VALUES // size))
     sample = nodes.where(F.col("size") == size).orderBy(F.xxhash64("h1"), "h1").limit(take)
     values = np.array([r.vector for r in sample.select("vector").collect()], np.float64)
-    values = _units(values.reshape(-1, size)) if len(values) else np.zeros((1, size))
-    coded = stored(_codes(nodes, learn(values, bits, tables)), "codes")
+    if len(values):
+        model = fitted(_units(values.reshape(-1, size)), largest, threshold)
+    else:
+        model = learn(np.zeros((1, size)), *shape_of(largest, threshold))
+    bits, tables = model.bits, model.tables
+    coded = stored(_codes(nodes, model), "codes")
 
     # One row for each table and bit left free.
     place = F.explode(F.array([F.lit(t * 64 + j) for t in range(tables) for j in range(bits)]))

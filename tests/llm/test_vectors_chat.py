@@ -94,6 +94,38 @@ def test_recall_near_the_threshold(found):
     assert all(h[1] <= w[1] for h, w in zip(have, sorted(want), strict=True))
 
 
+def shifted(norm, n, seed=5, dims=64):
+    """Unit vectors about a common direction, and a partner of each just above 0.93."""
+    rnd = np.random.default_rng(seed)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    x = unit(norm * unit(rnd.standard_normal(dims)) + (1 - norm**2) ** 0.5 * unit(rnd.standard_normal((n, dims))))
+    side = rnd.standard_normal((n, dims))
+    side = unit(side - (side * x).sum(axis=1)[:, None] * x)
+    return x, 0.931 * x + (1 - 0.931**2) ** 0.5 * side
+
+
+@pytest.mark.parametrize("norm", [0.0, 0.71, 0.83, 0.9])
+@pytest.mark.parametrize("largest", [1000, 100_000])
+def test_tables_suit_vectors_with_a_common_mean(norm, largest):
+    x, near = shifted(norm, 2000)
+    model = vectors.fitted(x, largest)
+    bits = [(v - model.mean) @ model.rotation > model.middle for v in (x, near)]
+    apart = (bits[0] != bits[1]).reshape(len(x), model.tables, model.bits).sum(axis=2)
+    assert (apart.min(axis=1) <= 1).mean() >= 0.95
+    if not norm:
+        assert (model.bits, model.tables) == vectors.shape_of(largest)
+
+
+def test_recall_with_a_common_mean(found):
+    x, near = shifted(0.83, 500)
+    both = np.concatenate((x, near)).astype(np.float32)
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(both)]
+    want, have = brute(rows), found(rows)
+    total = sum(n for _, n, _ in want)
+    assert total >= 900 and sum(n for _, n, _ in have) / total >= 0.9
+    assert all(h[1] <= w[1] for h, w in zip(have, sorted(want), strict=True))
+
+
 def test_no_vectors(found):
     assert found([]) == []
     assert found([(5, None, None)]) == [(5, 0, 5)]
