@@ -369,7 +369,7 @@ def _derived(pairs: DataFrame, near: DataFrame, nodes: DataFrame, named: DataFra
 
 
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Links:
-    """All links between documents whose five-word shingles have a Jaccard of 0.8 or more.
+    """Groups of documents linked by a Jaccard of 0.8 or more of five-word shingles.
 
     Words are lower-cased in A-Z. A null or empty text has no shingles and no links; a
     text of fewer than five words has one shingle. Equal sets are one node, so copies
