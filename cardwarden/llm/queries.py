@@ -17,6 +17,7 @@ from cardwarden.llm import (
     packing,
     pages,
     quality,
+    repair,
     repeats,
     vectors,
 )
@@ -229,3 +230,9 @@ def op3_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query()
 def op4_consensus_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.extract(_table(spark, sf_dir, "pages"), ["page_id", "url"])
+
+
+@_query()
+def op13_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _table(spark, sf_dir, "conversations")
+    return repair.digests(repair.damage(table), table)
