@@ -38,9 +38,17 @@ NONE, BLANK, DUPLICATE, TRUNCATED = range(4)
 #: The pattern's states: at the start, after s, after u, after a. It accepts at 0 and 3.
 ACCEPTED = -1
 _STEP = {(0, "s"): 1, (0, "u"): 2, (1, "u"): 2, (2, "a"): 3, (3, "u"): 2}
+_LETTER = {1: "s", 2: "u", 3: "a"}
+_PAIRS = ("su", "ua", "au")
+_LEADS_TO = {
+    0: (ACCEPTED, 0, 1, 2, 3),
+    1: (ACCEPTED, 1, 2, 3),
+    2: (ACCEPTED, 2, 3),
+    3: (ACCEPTED, 2, 3),
+}
 _WANTED = {0: ("user", 2), 1: ("user", 2), 2: ("assistant", 3), 3: ("user", 2)}
 #: Rows of one search.
-PIECE = 32
+PIECE = 16
 #: Characters of a text that the range of a task is cut by.
 _HEAD = 64
 
@@ -132,14 +140,30 @@ def cheapest(items: list[Item], start: int, goal: int) -> tuple[int, str] | None
     last edit is that of the last row.
     """
     n = len(items)
-    least = [0] * (n + 1)
+    # What is surely still to pay from a row on. Each pair of neighbours that the pattern
+    # does not allow, the end being one, costs one at least: an insertion mends one such
+    # pair for 2, another role two for 2, and a deletion two for 3.
+    ends = {ACCEPTED: ("a", "")}.get(goal, (_LETTER.get(goal, ""),))
+    least, following = [0] * (n + 1), [None] * (n + 1)
     for i in range(n - 1, -1, -1):
-        gone, _, short = items[i]
-        least[i] = least[i + 1] + (DELETE * gone if gone else CUT_SHORT * short)
+        gone, initial, short = items[i]
+        if gone:
+            least[i], following[i] = least[i + 1] + DELETE * gone, following[i + 1]
+            continue
+        after = following[i + 1]
+        fits = initial in ends if after is None else initial + after in _PAIRS
+        least[i], following[i] = least[i + 1] + CUT_SHORT * short + (not fits), initial
+
+    def still(i: int, q: int) -> int:
+        if following[i] is None:
+            fits = q in (0, 3) if goal == ACCEPTED else q == goal
+            return least[i] + (0 if fits else INSERT)
+        return least[i] + ((q, following[i]) not in _STEP)
+
     most = sum(DELETE * max(gone, 1) for gone, _, _ in items) + 2 * INSERT
     if goal == ACCEPTED:
         most += INSERT
-    bound = least[0]
+    bound = still(0, start)
     while bound <= most:
         failed: dict[tuple[int, int], int] = {}
         beyond = math.inf
@@ -147,8 +171,11 @@ def cheapest(items: list[Item], start: int, goal: int) -> tuple[int, str] | None
 
         def reach(i: int, q: int, left: int) -> bool:
             nonlocal beyond
-            if least[i] > left:
-                beyond = min(beyond, bound - left + least[i])
+            if goal not in _LEADS_TO[q]:
+                return False
+            need = still(i, q)
+            if need > left:
+                beyond = min(beyond, bound - left + need)
                 return False
             if i == n and (q in (0, 3) if goal == ACCEPTED else q == goal):
                 return True
@@ -404,7 +431,7 @@ class _Digest:
         if old is not None:
             self.faults[fault] += 1
             if self.before is not None:
-                self.illegal += self.before + old[:1] not in ("su", "ua", "au")
+                self.illegal += self.before + old[:1] not in _PAIRS
             self.before = old[:1]
             if turn is not None and turn != self.high:
                 self.turns, self.high = self.turns + 1, turn
