@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardwarden.llm import (
+    bitsliced,
     chat,
     compression,
     jaccard,
@@ -236,3 +237,24 @@ def op4_consensus_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _table(spark, sf_dir, "conversations")
     return repair.digests(repair.damage(table), table)
+
+
+@_query(
+    """WITH usable AS (
+  SELECT row_number() OVER () AS rid, vec_id,
+    [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+  FROM embeddings WHERE len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+  SELECT q.rid AS query_rid, q.vec_id AS query_id, c.vec_id, c.rid,
+    CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM usable q JOIN usable c ON len(q.v) = len(c.v) AND q.rid <> c.rid WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_rid ORDER BY score DESC, vec_id NULLS LAST, rid) AS rank
+  FROM scored
+)
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM ranked WHERE rank <= 5"""
+)
+def op12_top_k_bit_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = bitsliced.quantised(_table(spark, sf_dir, "embeddings"))
+    return bitsliced.search(vectors, vectors.where(F.col("vec_id") % 50 == 0))
