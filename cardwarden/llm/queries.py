@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from cardwarden.llm import (
     bitsliced,
     chat,
+    collocations,
     compression,
     jaccard,
     language,
@@ -258,3 +259,46 @@ SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM ranked WHERE rank
 def op12_top_k_bit_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = bitsliced.quantised(_table(spark, sf_dir, "embeddings"))
     return bitsliced.search(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
+@_query(
+    f"""WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM worded GROUP BY lang),
+grams AS (
+  SELECT lang, k.k AS words,
+    unnest([array_to_string(w[i : i + k.k - 1], ' ') FOR i IN range(1, len(w) - k.k + 2)]) AS phrase
+  FROM worded, range(1, 6) AS k(k)
+), f AS MATERIALIZED (
+  SELECT lang, phrase, words, count(*) AS f FROM grams GROUP BY lang, phrase, words
+  HAVING count(*) >= 100
+), listed AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE words > 1),
+inside AS (
+  SELECT lang, f, unnest(flatten([[array_to_string(w[i : i + k - 1], ' ')
+    FOR i IN range(1, words - k + 2)] FOR k IN range(2, words)])) AS phrase
+  FROM listed WHERE words > 2
+), own AS (
+  SELECT * FROM listed c WHERE NOT EXISTS (
+    SELECT 1 FROM inside i WHERE i.lang = c.lang AND i.phrase = c.phrase AND 100 * i.f >= 100 * c.f)
+), cuts AS (
+  SELECT c.lang, c.phrase, c.f AS a, k.k, array_to_string(w[1 : k.k], ' ') AS head,
+    array_to_string(w[k.k + 1 :], ' ') AS tail
+  FROM own c, range(1, 5) AS k(k) WHERE k.k < c.words
+), scored AS (
+  SELECT cuts.*, x.f AS l, y.f AS r, n,
+    (1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f) AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = head
+  JOIN f y ON y.lang = cuts.lang AND y.phrase = tail JOIN total ON total.lang = cuts.lang
+), least AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS nth FROM scored
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM least WHERE nth = 1
+)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 2000"""
+)
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(_table(spark, sf_dir, "documents"))
