@@ -31,6 +31,31 @@ def category_kpis(
     )
 
 
+#: Digits and places of the sums that are kept by day.
+_SUM = "decimal(28,6)"
+
+
+def daily_category_sums(silver: DataFrame, day: str) -> DataFrame:
+    """Revenue and number of transactions by day and category, to be summed further."""
+    return silver.groupBy(day, "category").agg(
+        F.sum(F.col("amount").try_cast(_SUM)).alias("revenue"),
+        F.count("transaction_id").alias("transactions"),
+    )
+
+
+def kpis_from_sums(sums: DataFrame, as_of: date | None = None) -> DataFrame:
+    """The KPIs of ``category_kpis``, from sums over any days."""
+    return (
+        sums.groupBy("category")
+        .agg(
+            F.round(F.sum("revenue"), 2).cast("double").alias("total_revenue"),
+            F.sum("transactions").alias("transaction_volume"),
+        )
+        .withColumn("calculation_date", F.lit(as_of) if as_of else F.current_date())
+        .orderBy(F.desc("total_revenue"), "category")
+    )
+
+
 def kpis_for_categories(kpis: DataFrame, categories: Sequence[str] | None = None) -> DataFrame:
     """The KPI rows of the chosen categories; all of them by default."""
     return kpis if categories is None else kpis.filter(F.col("category").isin(*categories))

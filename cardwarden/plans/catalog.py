@@ -352,6 +352,79 @@ def _both_deliveries(spark: SparkSession, sf_dir: str, repeat: bool = False) ->
     return root, lake
 
 
+_SILVER_ROWS = "transaction_id, customer_id, amount, category, latitude, longitude"
+
+
+@_query(
+    f"""WITH {_TX_TO_SECOND}
+SELECT way, transaction_id, customer_id, amount, category,
+  CASE WHEN transaction_date >= DATE '{_LATER}' THEN latitude END AS latitude,
+  CASE WHEN transaction_date >= DATE '{_LATER}' THEN longitude END AS longitude
+FROM tx, (VALUES ('forward'), ('backward'), ('mixed')) AS ways(way)"""
+)
+def landing_two_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Earlier files have no coordinates, later ones do: in both orders and in one folder."""
+    bare, placed = _split(adapters.bronze_located(spark, sf_dir))
+    bare = bare.drop("latitude", "longitude")
+    found = None
+    for way in ("forward", "backward", "mixed"):
+        root, lake = scratch_path(spark, "incoming"), scratch_path(spark, "lake")
+        layout = medallion.Layout(lake)
+        a, b = _delivered(bare, f"{root}/in/a"), _delivered(placed, f"{root}/in/b")
+        sources_of = {"forward": [a, b], "backward": [b, a], "mixed": [f"{root}/in/*"]}
+        for folder in sources_of[way]:
+            rows, _, delivery = medallion.land_and_gate(spark, folder, layout, as_of=AS_OF)
+            medallion.build_silver(spark, layout, rows, delivery, as_of=AS_OF)
+        table = sources.read_table(spark, layout.silver)
+        table = table.select(F.lit(way).alias("way"), *_SILVER_ROWS.split(", "))
+        found = table if found is None else found.unionByName(table)
+    return found
+
+
+@_query(
+    f"""WITH {_alerts('strict', _TX_TO_SECOND.replace("FROM ev\n", "FROM ev WHERE event_id % 3 <> 0\n"))}
+SELECT 'alert' AS output, transaction_id FROM alerts
+UNION ALL SELECT 'silver', transaction_id FROM tx"""
+)
+def medallion_after_failed_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A delivery fails its gate and comes again with fewer rows: only these stay."""
+    root, lake = scratch_path(spark, "incoming"), scratch_path(spark, "lake")
+    rows = adapters.bronze_located(spark, sf_dir)
+    medallion.run(spark, _delivered(rows, f"{root}/a"), lake, as_of=AS_OF)
+    twice = rows.union(rows.filter(F.col("tx_category") == "error"))
+    try:
+        medallion.run(spark, _delivered(twice, f"{root}/a"), lake, as_of=AS_OF)
+        raise AssertionError("the gate let repeated ids pass")
+    except quality.QualityGateError:
+        pass
+    fewer = rows.filter(F.col("tx_id").cast("long") % 3 != 0)
+    medallion.run(spark, _delivered(fewer, f"{root}/a"), lake, as_of=AS_OF)
+    layout = medallion.Layout(lake)
+    parts = [
+        sources.read_table(spark, path).select(F.lit(output).alias("output"), "transaction_id")
+        for output, path in (("alert", layout.fraud_alerts), ("silver", layout.silver))
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+@_query(
+    f"""WITH {_TX_TO_SECOND}
+SELECT transaction_id, CASE WHEN category = 'error' AND transaction_date < DATE '{_LATER}'
+  THEN DATE '2024-03-01' ELSE CAST(transaction_date AS DATE) END AS day FROM tx"""
+)
+def silver_id_moved_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Another file moves ids to a day that no delivery has touched: each stays once."""
+    root, lake = scratch_path(spark, "incoming"), scratch_path(spark, "lake")
+    rows = adapters.bronze_located(spark, sf_dir)
+    medallion.run(spark, _delivered(rows, f"{root}/a"), lake, as_of=AS_OF)
+    moved = _split(rows)[0].filter(F.col("tx_category") == "error")
+    moved = moved.withColumn("tx_datetime", F.lit("2024-03-01 12:00:00"))
+    later = datetime(2024, 3, 2)
+    medallion.run(spark, _delivered(moved, f"{root}/b"), lake, as_of=later)
+    table = sources.read_table(spark, medallion.Layout(lake).silver)
+    return table.select("transaction_id", F.to_date("transaction_date").alias("day"))
+
+
 _ALERT_KEYS = "transaction_id, customer_id, fraud_reason, dt_particao"
 
 

@@ -5,10 +5,15 @@ is run twice and a lost executor repeats at most one layer's tasks. Running the
 same input again gives the same tables.
 
 The lake lives through many deliveries. Silver and everything after it is kept by day.
-A delivery covers the days of its rows and of the rows that its files held before; it
-replaces those days, the emptied ones too. Rules that look back read the days from the
-first covered one on, and before them the last row of each customer, which a small
-table keeps by day.
+A delivery covers the days of its rows, the days that Silver has of its files, and the
+days where its transaction ids lie now; it replaces those days, the emptied ones too, and
+reads no others. What is derived from a customer's sequence changes on the covered days
+and in that customer's next row after them, so beyond the covered days only the days of
+such rows are rewritten.
+
+A run may fail anywhere and be repeated. The days that Silver has of a file are noted before
+they change, and so are the customers and days that a delivery touches; the second note
+is kept until everything that depends on it has been written.
 """
 
 from __future__ import annotations
@@ -18,7 +23,7 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cardwarden import schemas
@@ -28,12 +33,14 @@ from cardwarden.operators.skew import DEFAULT_SKEW, SkewPolicy
 from cardwarden.session import stored
 from cardwarden.sources import (
     days_of,
-    delivered_files,
+    drop_table,
     existing,
     land_profiles,
     land_transactions,
+    partition_days,
+    read_or_empty,
+    read_partitions,
     read_table,
-    read_transactions_csv,
     replace_days,
     replace_files,
     write_flat,
@@ -72,6 +79,31 @@ class Layout:
         """Each customer's last row of each day."""
         return self._at("silver", "customer_state")
 
+    @property
+    def customer_recent(self) -> str:
+        """Each customer's last row of each of their latest days, in one compact table."""
+        return self._at("silver", "customer_recent")
+
+    @property
+    def file_days(self) -> str:
+        """The days that Silver has, or has had, of each delivered file."""
+        return self._at("silver", "file_days")
+
+    @property
+    def id_days(self) -> str:
+        """The day of each transaction id."""
+        return self._at("silver", "id_days")
+
+    @property
+    def changes(self) -> str:
+        """Customers and days that were touched and not yet carried through."""
+        return self._at("silver", "changes")
+
+    @property
+    def kpi_daily(self) -> str:
+        """Sums and counts by day and category, of which the KPIs are sums."""
+        return self._at("gold", "kpi_daily")
+
     @property
     def fraud_alerts(self) -> str:
         return self._at("gold", "fraud_alerts")
@@ -107,15 +139,17 @@ class RunSummary:
 
 @dataclass(frozen=True)
 class Delivery:
-    """Files that came together, and the days that they held before, if they did."""
+    """Files that came together, by their keys."""
 
     id: str
-    files: DataFrame
-    days_before: frozenset
+    files: tuple[str, ...]
 
 
 DAY = "dt"
 _LANDING = ("source_path", "ingested_at", "source_file", "delivery", "failed_rules", DAY)
+#: Latest days of a customer whose last rows the compact table keeps.
+RECENT_DAYS = 4
+_BUCKETS = 64
 
 
 def _gate(
@@ -147,12 +181,12 @@ def _gate(
         screened = stored(quality.screened(rows, rules, as_of, policy), "screened")
         outcome = F.col("outcome")
         held = screened.filter(outcome == quality.HELD).drop("outcome")
-        replace_files(held, layout.quarantine(layer), delivery.files, delivery.id)
+        replace_files(spark, held, layout.quarantine(layer), delivery.files, delivery.id)
         if not hold:
             raise
         passed = screened.filter(outcome == quality.ACCEPTED).select(*rows.columns)
         return passed, failure.results
-    replace_files(None, layout.quarantine(layer), delivery.files, delivery.id)
+    replace_files(spark, None, layout.quarantine(layer), delivery.files, delivery.id)
     return rows, found
 
 
@@ -171,19 +205,6 @@ def _not_held(spark: SparkSession, layout: Layout, rows: DataFrame) -> DataFrame
     return _content(rows).join(keys, ["source_file", "_content"], "left_anti").drop("_content")
 
 
-def _days(bronze: DataFrame | None) -> set[date | None]:
-    if bronze is None:
-        return set()
-    parsed = F.to_date(parse_timestamp(F.col("tx_datetime"), None))
-    return days_of(bronze.filter(F.col("tx_id").isNotNull()).select(parsed.alias(DAY)), DAY)
-
-
-def _within(days: Iterable[date | None]) -> Column:
-    days = set(days)
-    known = F.col(DAY).isin(*[F.lit(d) for d in days if d is not None])
-    return known | F.col(DAY).isNull() if None in days else known
-
-
 def land_and_gate(
     spark: SparkSession,
     transactions: str,
@@ -195,28 +216,61 @@ def land_and_gate(
 ) -> tuple[DataFrame, list, Delivery]:
     """Raw files to Bronze; return the delivered rows that may go on, and the results.
 
-    A file without one of the contract's columns is an error before anything is landed.
+    Files may differ in their headers, but one without a column of the contract is an
+    error before anything is landed. Only the delivered files' partitions are read back.
     """
-    raw = read_transactions_csv(spark, transactions)
-    missing = [c for c in schemas.BRONZE.fieldNames() if c not in raw.columns]
-    if missing:
-        raise ValueError(f"{transactions} has no column {', '.join(missing)}")
-    files = delivered_files(raw)
-    before = existing(spark, layout.bronze)
-    if before is not None:
-        before = before.join(files, "source_file", "left_semi")
-    delivery = Delivery(uuid.uuid4().hex, files, frozenset(_days(before)))
-    land_transactions(spark, transactions, layout.bronze, as_of, files)
-    landed = existing(spark, layout.bronze)
-    if landed is None:  # nothing but empty files
-        landed = spark.createDataFrame([], raw.schema).withColumn("source_file", F.lit(""))
-    rows = landed.join(files, "source_file", "left_semi")
+    required = schemas.BRONZE.fieldNames()
+    files = land_transactions(spark, transactions, layout.bronze, as_of, required)
+    delivery = Delivery(uuid.uuid4().hex, tuple(files))
+    rows = read_partitions(spark, layout.bronze, "source_file", files)
+    if rows is None:  # nothing but empty files
+        text = [*required, schemas.CORRUPT_RECORD, "source_file"]
+        names = ", ".join(f"{name} string" for name in text)
+        rows = spark.createDataFrame([], names)
     passed, results = _gate(
         spark, rows, rules, "bronze", layout, as_of, policy, hold, delivery
     )
     return passed, results, delivery
 
 
+def _days_of_files(spark: SparkSession, layout: Layout, delivery: Delivery) -> set[date | None]:
+    return days_of(read_partitions(spark, layout.file_days, "source_file", delivery.files), DAY)
+
+
+def _note_files(spark: SparkSession, layout: Layout, rows: DataFrame, files: Iterable[str]) -> None:
+    """Replace what is noted of the days that Silver has of these files."""
+    noted = stored(rows.select("source_file", DAY).distinct(), "file_days")
+    write_partitions(noted, layout.file_days, ["source_file"])
+    gone = set(files) - days_of(noted, "source_file")
+    replace_days(noted.filter(F.lit(False)), layout.file_days, "source_file", gone)
+
+
+def _days_of_ids(
+    spark: SparkSession, layout: Layout, rows: DataFrame, covered: set[date | None]
+) -> set[date | None]:
+    """The other days where the rows' transaction ids lie now.
+
+    Of the index only the ids of days that are not covered are read.
+    """
+    index = existing(spark, layout.id_days)
+    if index is None:
+        return set()
+    elsewhere = index.filter(~_within(covered)).join(
+        rows.select("transaction_id").distinct(), "transaction_id", "left_semi"
+    )
+    return days_of(elsewhere, DAY)
+
+
+def _within(days: Iterable[date | None]) -> Column:
+    days = set(days)
+    known = F.coalesce(F.col(DAY).isin(*[F.lit(d) for d in days if d is not None]), F.lit(False))
+    return known | F.col(DAY).isNull() if None in days else known
+
+
+def _by_day(spark: SparkSession, path: str, days: Iterable[date | None], name: str = DAY):
+    return read_partitions(spark, path, name, days, "date")
+
+
 def build_silver(
     spark: SparkSession,
     layout: Layout,
@@ -232,26 +286,40 @@ def build_silver(
     Returns the gate's results and the covered days. Of rows with one id on these days
     the newest stays.
     """
-    if rows is None or delivery is None:
-        rows = _not_held(spark, layout, read_table(spark, layout.bronze))
-        files = rows.select("source_file").distinct()
-        days = days_of(existing(spark, layout.silver), DAY)
-        delivery = Delivery(uuid.uuid4().hex, files, frozenset(days))
+    everything = rows is None or delivery is None
+    if everything:
+        rows = _not_held(spark, layout, read_table(spark, layout.bronze, merge=True))
+        files = days_of(rows, "source_file")
+        delivery = Delivery(uuid.uuid4().hex, tuple(sorted(files)))
     refined = silver.refine_enriched(rows, as_of, keep=["source_file"])
     refined = stored(refined.withColumn(DAY, F.to_date("transaction_date")), "refined")
     passed, results = _gate(
         spark, refined, rules, "silver", layout, as_of, policy, hold, delivery
     )
-    covered = days_of(passed, DAY) | delivery.days_before
-    have = existing(spark, layout.silver)
+    if everything:
+        before = partition_days(spark, layout.silver, DAY)
+        covered = days_of(passed, DAY) | before
+        noted = passed
+    else:
+        of_files = _days_of_files(spark, layout, delivery)
+        covered = days_of(passed, DAY) | of_files
+        covered |= _days_of_ids(spark, layout, passed, covered)
+        # Until Silver has changed, what the files had before counts too.
+        noted = passed.select("source_file", DAY)
+        had = read_partitions(spark, layout.file_days, "source_file", delivery.files)
+        noted = noted if had is None else noted.union(had.select("source_file", DAY))
+    _note_files(spark, layout, noted, delivery.files)
+    have = None if everything else _by_day(spark, layout.silver, covered)
     if have is not None:
-        others = have.filter(_within(covered)).join(delivery.files, "source_file", "left_anti")
+        others = have.filter(~F.col("source_file").isin(*delivery.files))
         passed = passed.unionByName(others.select(*passed.columns))
     newest = [F.desc("ingested_at"), F.desc("transaction_date"), F.desc("source_file")]
     merged = stored(silver.latest_per_key(passed, ["transaction_id"], newest), "merged")
-    replace_days(merged, layout.silver, DAY, covered)
     last = silver.latest_per_key(merged, ["customer_id", DAY], _latest())
     last = stored(last.filter(F.col("customer_id").isNotNull()), "last")
+    _note_changes(spark, layout, last, covered, delivery)
+    replace_days(merged, layout.silver, DAY, covered)
+    replace_days(merged.select("transaction_id", DAY), layout.id_days, DAY, covered)
     replace_days(last, layout.customer_state, DAY, covered)
     return results, covered
 
@@ -260,19 +328,121 @@ def _latest() -> list[Column]:
     return [F.desc("transaction_date"), F.desc("transaction_id")]
 
 
-def _first(covered: set[date | None] | None) -> date | None:
-    """From where on results may change; None means everywhere."""
-    return None if not covered or None in covered else min(covered)
+_CHANGE = "customer_id string, dt date"
+
+
+def _note_changes(
+    spark: SparkSession, layout: Layout, last: DataFrame, covered: set[date | None], delivery: Delivery
+) -> None:
+    """Note the covered days, and the customers who have or had rows on them."""
+    touched = last.select("customer_id", DAY)
+    before = _by_day(spark, layout.customer_state, covered)
+    if before is not None:
+        touched = touched.union(before.select("customer_id", DAY))
+    days = spark.createDataFrame([(None, d) for d in covered], _CHANGE)
+    noted = touched.union(days).distinct().withColumn("delivery", F.lit(delivery.id))
+    write_partitions(noted, layout.changes, ["delivery"])
+
+
+@dataclass(frozen=True)
+class Affected:
+    """What a delivery changes in what is derived from a customer's sequence."""
+
+    days: frozenset  # covered, in full
+    later: DataFrame  # customer_id, dt: the customers' next days after them
+    later_days: frozenset
+    earlier: DataFrame | None  # the customers' last rows before all these
+
+
+@dataclass(frozen=True)
+class Changed:
+    """The notes of deliveries that are not yet carried through: customer_id, dt."""
 
+    rows: DataFrame
+    days: frozenset
 
-def _from(rows: DataFrame, day: date | None, name: str = DAY) -> DataFrame:
-    return rows if day is None else rows.filter(F.col(name) >= F.lit(day))
 
+def changes(spark: SparkSession, layout: Layout) -> Changed:
+    """The noted customers and days, of this delivery and of any that failed before."""
+    noted = read_or_empty(spark, layout.changes, _CHANGE)
+    rows = stored(noted.select("customer_id", DAY).distinct(), "changed")
+    return Changed(rows, frozenset(days_of(rows, DAY)))
 
-def _replace_from(rows: DataFrame, path: str, name: str, day: date | None) -> None:
-    """Replace a table's days from ``day`` on."""
-    have = existing(rows.sparkSession, path)
-    replace_days(rows, path, name, set() if have is None else days_of(_from(have, day, name), name))
+
+def affected(spark: SparkSession, layout: Layout, changed: Changed) -> Affected:
+    """Follow the noted changes to each touched customer's next and last rows.
+
+    Days before the first covered one are read only for customers whose changes lie
+    before what the compact table keeps of them.
+    """
+    days = changed.days
+    known = [d for d in days if d is not None]
+    if not known or not partition_days(spark, layout.customer_state, DAY) - days:
+        none = spark.createDataFrame([], _CHANGE)
+        return Affected(days, none, frozenset(), None)
+    dated = changed.rows.filter(F.col("customer_id").isNotNull() & F.col(DAY).isNotNull())
+    touched = dated.groupBy("customer_id").agg(F.min(DAY).alias("start"))
+    touched = stored(touched, "touched")
+    state = read_table(spark, layout.customer_state)
+    unchanged = state.filter(F.col(DAY).isNotNull() & ~_within(days))
+    active = unchanged.filter(F.col(DAY) > F.lit(min(known))).select("customer_id", DAY)
+    active = active.join(touched.select("customer_id"), "customer_id", "left_semi")
+    marks = dated.withColumn("active", F.lit(None).cast("date")).union(
+        active.withColumn("active", F.col(DAY))
+    )
+    # From the last day backward, the least active day so far is the next one.
+    after = Window.partitionBy("customer_id").orderBy(F.desc(DAY))
+    following = F.min("active").over(after.rowsBetween(Window.unboundedPreceding, -1))
+    later = marks.withColumn("next", following).filter(
+        F.col("active").isNull() & F.col("next").isNotNull()
+    )
+    later = later.select("customer_id", F.col("next").alias(DAY)).distinct()
+    later = stored(later, "later")
+    names = state.columns
+    recent = existing(spark, layout.customer_recent)
+    if recent is None:
+        earlier = unchanged.join(touched.select("customer_id"), "customer_id", "left_semi")
+    else:
+        mine = stored(recent.join(touched, "customer_id"), "recent")
+        kept = mine.filter(F.col(DAY).isNotNull() & ~_within(days))
+        beyond = (
+            mine.groupBy("customer_id", "start")
+            .agg(
+                F.max("from_dt").alias("from_dt"),
+                F.min(F.when(~_within(days), F.col(DAY))).alias("first"),
+            )
+            .filter(
+                F.col("from_dt").isNotNull()
+                & F.coalesce(F.col("first") >= F.col("start"), F.lit(True))
+            )
+        )
+        beyond = stored(beyond.select("customer_id"), "beyond")
+        earlier = kept.select(*names)
+        if not beyond.isEmpty():
+            earlier = earlier.join(beyond, "customer_id", "left_anti").unionByName(
+                unchanged.join(beyond, "customer_id", "left_semi")
+            )
+    earlier = earlier.join(later, ["customer_id", DAY], "left_anti").select(*names)
+    return Affected(days, later, frozenset(days_of(later, DAY)), earlier)
+
+
+def _rewrite(
+    spark: SparkSession, rows: DataFrame, path: str, name: str, change: Affected | None
+) -> None:
+    """Replace the covered days, and on later ones the rows of the customers affected.
+
+    Without a change everything is replaced.
+    """
+    if change is None:
+        replace_days(rows, path, name, partition_days(spark, path, name))
+        return
+    have = _by_day(spark, path, change.later_days, name)
+    if have is not None:
+        pairs = change.later.withColumnRenamed(DAY, name)
+        have = have.join(pairs, ["customer_id", name], "left_anti")
+        rows = rows.unionByName(have.select(*rows.columns))
+    rows = stored(rows, "rewritten")
+    replace_days(rows, path, name, change.days | change.later_days)
 
 
 def build_fraud(
@@ -280,67 +450,164 @@ def build_fraud(
     layout: Layout,
     preset: str = "strict",
     policy: SkewPolicy = DEFAULT_SKEW,
-    covered: set[date | None] | None = None,
+    changed: Changed | None = None,
 ) -> int:
     """Silver to alerts, BI metrics and reward eligibility; return the alert count.
 
-    With ``covered``, the days from its first on are computed anew, since a customer's
-    next row has another predecessor. One pass flags the rows; alerts and eligible
-    transactions are its two parts.
+    With ``changed``, only these notes are followed: the covered days, each touched
+    customer's next day after them, and the last rows before. The count is that of
+    the alerts among these. One pass flags the rows; alerts and eligible transactions
+    are its two parts.
     """
-    since = _first(covered)
-    rows = _from(read_table(spark, layout.silver), since).withColumn("_earlier", F.lit(False))
-    if since is not None:
-        state = read_table(spark, layout.customer_state).filter(F.col(DAY) < F.lit(since))
-        last = silver.latest_per_key(state, ["customer_id"], _latest())
-        rows = rows.unionByName(last.withColumn("_earlier", F.lit(True)))
+    change = None if changed is None else affected(spark, layout, changed)
+    if change is None:
+        rows = read_table(spark, layout.silver).withColumn("_earlier", F.lit(False))
+    else:
+        table = read_table(spark, layout.silver)
+        parts = [(table.filter(F.lit(False)), False)]
+        parts.append((_by_day(spark, layout.silver, change.days), False))
+        later = _by_day(spark, layout.silver, change.later_days)
+        if later is not None:
+            parts.append((later.join(change.later, ["customer_id", DAY], "left_semi"), False))
+        parts.append((change.earlier, True))
+        rows = None
+        for part, earlier in parts:
+            if part is not None:
+                part = part.select(*table.columns).withColumn("_earlier", F.lit(earlier))
+                rows = part if rows is None else rows.unionByName(part)
+        # Finding large keys and ordering both read it.
+        rows = stored(rows, "sequence")
     flagged = fraud.flag(fraud.travel_metrics(rows, policy), preset)
     flagged = stored(flagged.filter(~F.col("_earlier")), "flagged")
     found = fraud.alerts(flagged)
-    _replace_from(found, layout.fraud_alerts, "dt_particao", since)
+    _rewrite(spark, found, layout.fraud_alerts, "dt_particao", change)
     metrics = fraud.bi_metrics(found, keep=["dt_particao"])
-    _replace_from(metrics, layout.bi_metrics, "dt_particao", since)
+    _rewrite(spark, metrics, layout.bi_metrics, "dt_particao", change)
     eligible = fraud.reward_eligible(flagged).select(*schemas.SILVER.fieldNames(), DAY)
-    _replace_from(eligible, layout.reward_eligible, DAY, since)
+    _rewrite(spark, eligible, layout.reward_eligible, DAY, change)
     return found.count()
 
 
-def build_kpis(spark: SparkSession, layout: Layout, as_of: datetime | None = None) -> None:
-    """Silver to category KPIs, one small file."""
-    kpis = gold.category_kpis(read_table(spark, layout.silver), as_of.date() if as_of else None)
+def build_kpis(
+    spark: SparkSession,
+    layout: Layout,
+    as_of: datetime | None = None,
+    changed: Changed | None = None,
+) -> None:
+    """Category KPIs, one small file, as sums over a table by day and category.
+
+    With ``changed`` only the days of these notes are aggregated anew; Silver is
+    not read beyond them. Sums are decimals, so their order does not matter.
+    """
+    if changed is None:
+        days = partition_days(spark, layout.kpi_daily, DAY)
+        rows = read_table(spark, layout.silver)
+    else:
+        days = changed.days
+        rows = _by_day(spark, layout.silver, days)
+    if rows is None:
+        rows = read_table(spark, layout.silver).filter(F.lit(False))
+    daily = stored(gold.daily_category_sums(rows, DAY), "kpi_daily")
+    replace_days(daily, layout.kpi_daily, DAY, days)
+    sums = existing(spark, layout.kpi_daily)
+    kpis = gold.kpis_from_sums(daily if sums is None else sums, as_of.date() if as_of else None)
     write_flat(kpis.coalesce(1), layout.category_kpis)
 
 
+def _around(days: Iterable[date | None], reach: int) -> set[date | None]:
+    """The days and those up to ``reach`` days from them."""
+    near = {d + timedelta(days=i) for d in days if d for i in range(-reach, reach + 1)}
+    return near | ({None} if None in days else set())
+
+
 def build_device_alerts(
     spark: SparkSession,
     layout: Layout,
     profiles: str,
     as_of: datetime | None = None,
     policy: SkewPolicy = DEFAULT_SKEW,
-    covered: set[date | None] | None = None,
+    changed: Changed | None = None,
     profile_lines: bool = False,
 ) -> None:
     """Silver and profiles to the device, IP and city rules' alerts.
 
-    A covered day can change the day before it, whose last minutes it may share a
-    device with; these rules look back one day at most, so that day's own is read too.
+    A covered day can change the days beside it, with whose rows it may share a device
+    or whose rows it may precede; these rules look at most one day away, so one day
+    more is read and the covered days with those beside them are replaced.
     """
     files = land_profiles(spark, profiles, layout.profiles, as_of, not profile_lines)
-    landed = read_table(spark, layout.profiles).join(files, "source_file", "left_semi")
+    landed = read_partitions(spark, layout.profiles, "source_file", files)
+    if landed is None:
+        landed = spark.createDataFrame([], schemas.PROFILE)
     known = gold.one_profile_each(landed.select(*schemas.PROFILE.fieldNames()))
     known = stored(known, "profiles")
-    first = _first(covered)
-    since = None if first is None else first - timedelta(days=1)
-    read_from = None if first is None else first - timedelta(days=2)
-    enriched = _from(read_table(spark, layout.silver), read_from)
+    enriched = read_table(spark, layout.silver)
+    if changed is not None:
+        replaced = _around(changed.days, 1)
+        near = _by_day(spark, layout.silver, _around(changed.days, 2))
+        enriched = enriched.filter(F.lit(False)) if near is None else near
+        enriched = stored(enriched, "near")
     for rule, hits in {
         "unknown_device": devices.device_mismatch(enriched, known),
         "shared_device": devices.shared_key_events(enriched, "device_id", policy=policy),
         "shared_ip": devices.shared_key_events(enriched, "ip_address", policy=policy),
         "city_change": fraud.physical_city_changes(enriched, policy=policy),
     }.items():
-        hits = stored(_from(hits, since), rule)
-        _replace_from(hits, layout.device_alerts(rule), DAY, since)
+        path = layout.device_alerts(rule)
+        if changed is None:
+            replaced = partition_days(spark, path, DAY)
+        else:
+            hits = hits.filter(_within(replaced))
+        replace_days(stored(hits, rule), path, DAY, replaced)
+
+
+def finish(spark: SparkSession, layout: Layout, changed: Changed) -> None:
+    """Bring the compact table up to date and close the notes of a run that went through.
+
+    The compact table has the last row of each of a customer's latest days, up to
+    ``RECENT_DAYS``; nothing is left out from ``from_dt`` on, which is null for customers
+    whose days are all there. Doing it again changes nothing.
+    """
+    days = changed.days
+    dated = changed.rows.filter(F.col("customer_id").isNotNull() & F.col(DAY).isNotNull())
+    touched = dated.select("customer_id").distinct()
+    state = existing(spark, layout.customer_state)
+    recent = existing(spark, layout.customer_recent)
+    bucket = F.pmod(F.xxhash64("customer_id"), F.lit(_BUCKETS)).cast("int").alias("bucket")
+    if state is not None:
+        names = state.columns
+        no_day = F.lit(None).cast("date")
+        if recent is None:
+            rows = state.filter(F.col(DAY).isNotNull()).withColumn("from_dt", no_day)
+            buckets: set = set()
+        else:
+            buckets = days_of(touched.select(bucket), "bucket")
+            recent = read_partitions(spark, layout.customer_recent, "bucket", buckets, "int")
+            fresh = _by_day(spark, layout.customer_state, [d for d in days if d is not None])
+            fresh = state.filter(F.lit(False)) if fresh is None else fresh
+            fresh = fresh.select(*names)
+            if recent is None:
+                rows = fresh.withColumn("from_dt", no_day)
+            else:
+                bounds = recent.groupBy("customer_id").agg(F.max("from_dt").alias("from_dt"))
+                fresh = fresh.join(bounds, "customer_id", "left").filter(
+                    F.col("from_dt").isNull() | (F.col(DAY) >= F.col("from_dt"))
+                )
+                rows = fresh.select(*names, "from_dt")
+                # A row without a day remembers the bound of a customer who has no day left.
+                rows = rows.unionByName(recent.filter(~_within(days)).select(*rows.columns))
+                bare = bounds.filter(F.col("from_dt").isNotNull())
+                rows = rows.unionByName(bare, allowMissingColumns=True)
+        newest = Window.partitionBy("customer_id").orderBy(F.desc_nulls_last(DAY))
+        every = Window.partitionBy("customer_id")
+        ranked = rows.withColumns(
+            {"n": F.row_number().over(newest), "all": F.count(DAY).over(every)}
+        ).filter((F.col("n") <= RECENT_DAYS) & (F.col(DAY).isNotNull() | (F.col("n") == 1)))
+        least = F.when(F.col("all") > RECENT_DAYS, F.min(DAY).over(every))
+        ranked = ranked.withColumn("from_dt", F.coalesce(least, F.max("from_dt").over(every)))
+        ranked = stored(ranked.select(*names, "from_dt", bucket), "recent")
+        replace_days(ranked, layout.customer_recent, "bucket", buckets)
+    drop_table(spark, layout.changes)
 
 
 def run(
@@ -361,7 +628,10 @@ def run(
 
     Earlier deliveries are kept: the result is the same as if all files had come at
     once, in any order of deliveries. A file delivered again replaces its rows, and a
-    day that loses its last row or alert becomes empty in every table.
+    day that loses its last row or alert becomes empty in every table. A run that failed
+    is made good by running it again. Where two files hold the same id, the one that
+    came last wins; if it then comes again without the id, the other file's row is back
+    only when that file comes again or all of Bronze is refined.
 
     A failed gate keeps its results and the offending rows under ``quality/`` and
     raises ``QualityGateError``; nothing after it is written. ``hold_bad_rows``
@@ -373,11 +643,13 @@ def run(
     rows, bronze_results, delivery = land_and_gate(
         spark, transactions, layout, bronze_rules, as_of, policy, hold_bad_rows
     )
-    silver_results, covered = build_silver(
+    silver_results, _ = build_silver(
         spark, layout, rows, delivery, silver_rules, as_of, policy, hold_bad_rows
     )
-    alert_count = build_fraud(spark, layout, preset, policy, covered)
-    build_kpis(spark, layout, as_of)
+    changed = changes(spark, layout)
+    alert_count = build_fraud(spark, layout, preset, policy, changed)
+    build_kpis(spark, layout, as_of, changed)
     if profiles is not None:
-        build_device_alerts(spark, layout, profiles, as_of, policy, covered, profile_lines)
+        build_device_alerts(spark, layout, profiles, as_of, policy, changed, profile_lines)
+    finish(spark, layout, changed)
     return RunSummary(layout, alert_count, {"bronze": bronze_results, "silver": silver_results})

@@ -2,49 +2,45 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 import uuid
+from collections.abc import Iterable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwarden.session import stored
-from cardwarden.sources.readers import read_profiles, read_transactions_csv
+from cardwarden.sources.readers import read_profiles, read_transactions_by_header
 from cardwarden.sources.sinks import replace_files
 
 
+# Spark writes a URI without authority with one slash or three. A letter stands in
+# front, so that no key can be read as a number.
+_SLASHES = r"^([A-Za-z][\w+.-]*):/+"
+
+
 def _file_key(uri: str) -> Column:
-    # Spark writes a URI without authority with one slash or three. A letter stands in
-    # front, so that no key can be read as a number.
-    path = F.regexp_replace(uri, r"^([A-Za-z][\w+.-]*):/+", "$1:/")
+    path = F.regexp_replace(uri, _SLASHES, "$1:/")
     return F.concat(F.lit("f"), F.md5(path)).alias("source_file")
 
 
-def delivered_files(raw: DataFrame) -> DataFrame:
-    """The key of every file of a scan, with or without rows: column source_file.
-
-    The scan's own file listing has them, files of no bytes too; they go on as a table.
-    """
-    spark = raw.sparkSession
-    paths = spark.createDataFrame([(uri,) for uri in raw.inputFiles()], "path string")
-    return stored(paths.select(_file_key("path")).distinct(), "delivered")
+def file_keys(uris: Iterable[str]) -> list[str]:
+    """The keys of files, as the rows of theirs carry them in source_file."""
+    paths = (re.sub(_SLASHES, r"\1:/", uri, flags=re.ASCII) for uri in uris)
+    return sorted({"f" + hashlib.md5(p.encode()).hexdigest() for p in paths})
 
 
-def _land(
-    raw: DataFrame, delivered: DataFrame, path: str, ingested_at: datetime | None
-) -> DataFrame:
+def _land(raw: DataFrame, files: list[str], path: str, ingested_at: datetime | None) -> list[str]:
     # One partition per delivered file, named by its whole path: delivering a file
     # again replaces its rows and no others, and equal names in two folders are two
     # files. Scan tasks write their own split, without a shuffle.
     stamp: Column = F.lit(ingested_at) if ingested_at else F.current_timestamp()
     landed = raw.select(
-        "*",
-        F.col("_metadata.file_path").alias("source_path"),
-        stamp.cast("timestamp").alias("ingested_at"),
-        _file_key("_metadata.file_path"),
+        "*", stamp.cast("timestamp").alias("ingested_at"), _file_key("source_path")
     )
-    replace_files(landed, path, delivered, uuid.uuid4().hex)
-    return delivered
+    replace_files(raw.sparkSession, landed, path, files, uuid.uuid4().hex)
+    return files
 
 
 def land_transactions(
@@ -52,11 +48,15 @@ def land_transactions(
     source: str,
     bronze: str,
     ingested_at: datetime | None = None,
-    delivered: DataFrame | None = None,
-) -> DataFrame:
-    """Land raw transaction CSV files as all-text parquet; return the files' keys."""
-    raw = read_transactions_csv(spark, source)
-    return _land(raw, delivered or delivered_files(raw), bronze, ingested_at)
+    required: Iterable[str] = (),
+) -> list[str]:
+    """Land raw transaction CSV files as all-text parquet; return the files' keys.
+
+    The files may have different headers. With ``required`` a file without one of
+    these columns is an error, before anything is landed.
+    """
+    raw, uris = read_transactions_by_header(spark, source, list(required))
+    return _land(raw, file_keys(uris), bronze, ingested_at)
 
 
 def land_profiles(
@@ -65,7 +65,9 @@ def land_profiles(
     bronze: str,
     ingested_at: datetime | None = None,
     multi_line: bool = True,
-) -> DataFrame:
+) -> list[str]:
     """Land customer profile JSON files; return the files' keys."""
     raw = read_profiles(spark, source, multi_line)
-    return _land(raw, delivered_files(raw), bronze, ingested_at)
+    files = file_keys(raw.inputFiles())
+    raw = raw.select("*", F.col("_metadata.file_path").alias("source_path"))
+    return _land(raw, files, bronze, ingested_at)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -12,7 +13,7 @@ from pyspark.sql import types as T
 from cardwarden import schemas
 
 
-def read_transactions_csv(spark: SparkSession, path: str, infer: bool = False) -> DataFrame:
+def read_transactions_csv(spark: SparkSession, path: str | Sequence[str], infer: bool = False) -> DataFrame:
     """Raw transaction files: header row, one column per header name.
 
     Columns are text. Names come from the first file's header, so columns may
@@ -37,6 +38,55 @@ def read_transactions_csv(spark: SparkSession, path: str, infer: bool = False) -
     )
 
 
+def _first_lines(spark: SparkSession, uris: Sequence[str]) -> dict[str | None, list[str]]:
+    """The files' paths by their first line, which is all that is read of them."""
+    jvm = spark.sparkContext._jvm
+    hadoop = jvm.org.apache.hadoop
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    codecs = hadoop.io.compress.CompressionCodecFactory(configuration)
+    found: dict[str | None, list[str]] = {}
+    for uri in uris:
+        path = hadoop.fs.Path(jvm.java.net.URI(uri))
+        stream = path.getFileSystem(configuration).open(path)
+        try:
+            codec = codecs.getCodec(path)
+            text = stream if codec is None else codec.createInputStream(stream)
+            line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(text, "UTF-8")).readLine()
+        finally:
+            stream.close()
+        plain = re.sub(r"([\\\[\]{}*?])", r"\\\1", path.toString())
+        found.setdefault(line or None, []).append(plain)
+    return found
+
+
+def read_transactions_by_header(
+    spark: SparkSession, path: str, required: Sequence[str] = ()
+) -> tuple[DataFrame, list[str]]:
+    """Raw transaction files whose headers may differ, and the files' URIs.
+
+    Files with one header are one scan, and the scans are united by column name: a
+    column that a file does not have is NULL in its rows. ``source_path`` names each
+    row's file. Empty files have no rows. The driver reads every file's first line and
+    nothing more; a file without one of the ``required`` columns is an error.
+    """
+    uris = list(spark.read.text(path).inputFiles())
+    groups = _first_lines(spark, uris)
+    groups.pop(None, None)
+    whole = None
+    for files in groups.values():
+        rows = read_transactions_csv(spark, path if len(files) == len(uris) else files)
+        missing = [c for c in required if c not in rows.columns]
+        if missing:
+            raise ValueError(f"{files[0]} has no column {', '.join(missing)}")
+        rows = rows.select("*", F.col("_metadata.file_path").alias("source_path"))
+        whole = rows if whole is None else whole.unionByName(rows, allowMissingColumns=True)
+    if whole is None:
+        names = [*schemas.BRONZE.fieldNames(), schemas.CORRUPT_RECORD, "source_path"]
+        fields = [T.StructField(name, T.StringType(), True) for name in names]
+        whole = spark.createDataFrame([], T.StructType(fields))
+    return whole, uris
+
+
 def read_profiles(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Customer profiles, by default files that each hold one JSON array.
 
@@ -51,8 +101,9 @@ def read_profiles(spark: SparkSession, path: str, multi_line: bool = True) -> Da
     return spark.read.schema(schemas.PROFILE).option("multiLine", multi_line).json(path)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_table(spark: SparkSession, path: str, merge: bool = False) -> DataFrame:
+    """A parquet table; with ``merge`` it has the columns of all its files."""
+    return spark.read.option("mergeSchema", merge).parquet(path)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

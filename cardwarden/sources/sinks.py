@@ -49,14 +49,50 @@ def existing(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def _partition(path: str, by: str, value: object) -> str:
+    name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
+    return f"{path.rstrip('/')}/{by}={name}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return location, location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def drop_partitions(spark: SparkSession, path: str, by: str, values: Iterable) -> None:
     """Delete whole partitions, on any file system that Spark can reach."""
-    jvm = spark.sparkContext._jvm
-    configuration = spark.sparkContext._jsc.hadoopConfiguration()
     for value in values:
-        name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{by}={name}")
-        folder.getFileSystem(configuration).delete(folder, True)
+        folder, system = _file_system(spark, _partition(path, by, value))
+        system.delete(folder, True)
+
+
+def drop_table(spark: SparkSession, path: str) -> None:
+    folder, system = _file_system(spark, path)
+    system.delete(folder, True)
+
+
+def read_partitions(
+    spark: SparkSession, path: str, by: str, values: Iterable, kind: str = "string"
+) -> DataFrame | None:
+    """The rows of some partitions, or None if there is none of them.
+
+    Only these partitions are listed and read, whatever else the table holds; their
+    columns are those of all their files.
+    """
+    found = []
+    for value in values:
+        folder, system = _file_system(spark, _partition(path, by, value))
+        if system.exists(folder):
+            found.append(folder.toString())
+    if not found:
+        return None
+    reader = spark.read.option("basePath", path).option("mergeSchema", True)
+    try:
+        return reader.parquet(*found).withColumn(by, F.col(by).cast(kind))
+    except AnalysisException as error:
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return None
 
 
 def days_of(rows: DataFrame | None, day: str) -> set[date | None]:
@@ -64,24 +100,36 @@ def days_of(rows: DataFrame | None, day: str) -> set[date | None]:
     return set() if rows is None else {r[0] for r in rows.select(day).distinct().collect()}
 
 
+def partition_days(spark: SparkSession, path: str, day: str) -> set[date | None]:
+    """The days that a table has partitions of, from its folders' names alone."""
+    folder, system = _file_system(spark, path)
+    if not system.exists(folder):
+        return set()
+    names = [f.getPath().getName() for f in system.listStatus(folder)]
+    values = [n.removeprefix(f"{day}=") for n in names if n.startswith(f"{day}=")]
+    return {None if v.startswith("__HIVE") else date.fromisoformat(v) for v in values}
+
+
 def replace_days(df: DataFrame, path: str, day: str, covered: Iterable[date | None]) -> None:
     """Replace the covered days, and empty those that ``df`` has no rows of.
 
     ``df`` must be a stored table: its days are listed after it is written.
     """
     write_partitions(df.hint("rebalance", day), path, [day])
-    gone = set(covered) - days_of(df, day)
-    if existing(df.sparkSession, path) is not None:
-        drop_partitions(df.sparkSession, path, day, gone)
+    drop_partitions(df.sparkSession, path, day, set(covered) - days_of(df, day))
 
 
-def replace_files(df: DataFrame | None, path: str, delivered: DataFrame, delivery: str) -> None:
-    """Replace what the table has of the delivered source files, the emptied ones too."""
+def replace_files(
+    spark: SparkSession, df: DataFrame | None, path: str, files: Iterable[str], delivery: str
+) -> None:
+    """Replace what the table has of the delivered source files, the emptied ones too.
+
+    Nothing is read but what has been written.
+    """
+    gone = set(files)
     if df is not None:
         write_partitions(df.withColumn("delivery", F.lit(delivery)), path, ["source_file"])
-    table = existing(delivered.sparkSession, path)
-    if table is not None:
-        stale = table.filter(F.col("delivery") != delivery)
-        stale = stale.join(delivered, "source_file", "left_semi")
-        gone = days_of(stale, "source_file")
-        drop_partitions(delivered.sparkSession, path, "source_file", gone)
+        now = read_partitions(spark, path, "source_file", gone)
+        if now is not None:
+            gone -= days_of(now.filter(F.col("delivery") == delivery), "source_file")
+    drop_partitions(spark, path, "source_file", gone)
