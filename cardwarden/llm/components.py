@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardwarden.session import stored
+from cardwarden.session import discard, stored
 
 
 def _both(edges: DataFrame) -> DataFrame:
@@ -31,6 +31,7 @@ def components(links: DataFrame) -> DataFrame:
     edges = stored(edges, "links")
     state = None
     while True:
+        before = edges
         near = _both(edges)
         least = near.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = (
@@ -56,6 +57,7 @@ def components(links: DataFrame) -> DataFrame:
             .distinct()
         )
         edges = stored(edges, "links")
+        discard(before)
         now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
         if now == state:
             break

@@ -25,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,6 +43,8 @@ MERGES = 3
 PIVOTS, TRIES = 1, 4
 #: Bits of the filter that finds the texts of wanted sets; it has this size as well.
 FILTER = 1 << 24
+#: Bytes of text whose words are in memory at once.
+SLICE_BYTES = 1 << 18
 _SALT = W.randoms(2, 9)
 
 
@@ -52,7 +55,7 @@ def frequencies(docs: DataFrame) -> np.ndarray:
     """
 
     def count(total: np.ndarray, batch: pa.RecordBatch) -> None:
-        for w in W.slices(batch.column(0), lower=True):
+        for w in W.slices(batch.column(0), lower=True, limit=SLICE_BYTES):
             _, value = W.shingles(w)
             at = (value & np.uint64(SKETCH - 1)).astype(np.int64)
             total += np.bincount(at, minlength=SKETCH).astype(np.uint32)
@@ -89,13 +92,15 @@ def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
-def sets(docs: DataFrame, counts: np.ndarray) -> DataFrame:
-    """Of each keyed document: n distinct shingles, set fingerprint f1 f2, prefix."""
-    shared = docs.sparkSession.sparkContext.broadcast(counts)
+def sets(docs: DataFrame, shared: Broadcast) -> DataFrame:
+    """Of each keyed document: n distinct shingles, set fingerprint f1 f2, prefix.
+
+    ``shared`` has the counters of ``frequencies``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for w in W.slices(batch.column(4), lower=True):
+            for w in W.slices(batch.column(4), lower=True, limit=SLICE_BYTES):
                 doc, value, n = _sorted_sets(w, shared.value)
                 place = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)
                 probe = n - (4 * n + 4) // 5 + 1
@@ -205,7 +210,7 @@ def _members(named: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame
             at = batch.column(1).to_numpy() & (FILTER - 1)
             hit = (shared.value[at >> 3] << (at & 7).astype(np.uint8)) & 128 > 0
             batch = batch.filter(pa.array(hit))
-            for w in W.slices(batch.column(3), lower=True):
+            for w in W.slices(batch.column(3), lower=True, limit=SLICE_BYTES):
                 _, value, n = _sorted_sets(w, None)
                 columns = [x.slice(w.first, w.last - w.first) for x in batch.columns[:3]]
                 columns.append(_lists(value, n))
@@ -214,7 +219,10 @@ def _members(named: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame
     schema = "k0 long, k1 long, k2 long, shingles array<long>"
     found = named.select(*key, "text").mapInArrow(run, schema)
     found = found.join(needed, key).dropDuplicates(key)
-    return stored(found.select("nid", "pivot", "shingles"), "members")
+    found = stored(found.select("nid", "pivot", "shingles"), "members")
+    shared.destroy()
+    discard(needed)
+    return found
 
 
 def _most_often(pairs: DataFrame, key: str, few: int) -> DataFrame:
@@ -365,7 +373,11 @@ def _derived(pairs: DataFrame, near: DataFrame, nodes: DataFrame, named: DataFra
     unsure = bounded.where(~F.col("sure")).select("a", "b")
     compared = _overlaps(unsure, members, members)
     linked = F.col("both") >= _least_overlap(F.col("na"), F.col("nb"))
-    return bounded.where("sure").select("a", "b").union(compared.where(linked).select("a", "b"))
+    found = bounded.where("sure").select("a", "b").union(compared.where(linked).select("a", "b"))
+    found = stored(found, "derived")
+    for table in (pairs, members, bounded):
+        discard(table)
+    return found
 
 
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Links:
@@ -379,8 +391,9 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Links:
     already connected are left out.
     """
     named = keyed(docs, doc_id, text)
-    counts = frequencies(named)
-    whole = stored(sets(named, counts), "sets")
+    shared = docs.sparkSession.sparkContext.broadcast(frequencies(named))
+    whole = stored(sets(named, shared), "sets")
+    shared.destroy()
     full = (
         whole.where(F.col("n") > 0)
         .groupBy("f1", "f2")
@@ -406,26 +419,36 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Links:
         )
         wanted = wanted.groupBy("nid").agg(F.max("pivot").alias("pivot"))
         members = _members(named, nodes, wanted)
-        return stored(_overlaps(pairs, members.where("pivot"), members), "compared")
+        found = stored(_overlaps(pairs, members.where("pivot"), members), "compared")
+        discard(members)
+        discard(pairs)
+        return found
 
     linked = F.col("both") >= _least_overlap(F.col("na"), F.col("nb"))
     compared = verified(stored(_pivot_pairs(index), "pairs"))
     groups = components(compared.where(linked).select("a", "b"))
     labelled = _labelled(index, groups)
+    discard(index)
     for turn in range(MERGES):
         ends = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
         pairs = stored(_group_pairs(labelled, compared.select(*ends), turn), "pairs")
         if pairs.isEmpty():
             break
         more = verified(pairs)
-        compared = stored(compared.union(more), "compared")
+        grown = stored(compared.union(more), "compared")
+        discard(compared)
+        compared = grown
         if not more.where(linked).isEmpty():
             groups = components(compared.where(linked).select("a", "b"))
-            labelled = _labelled(labelled.drop("component"), groups)
+            older = labelled
+            labelled = _labelled(older.drop("component"), groups)
+            discard(older)
+        discard(more)
     links = compared.where(linked).select("a", "b")
     tested = compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = _open_pairs(labelled).join(tested, ["a", "b"], "left_anti")
     rest = stored(rest, "open")
+    discard(labelled)
     if not rest.isEmpty():
         more = _derived(rest, compared.where(linked), nodes, named)
         links = stored(links.union(more), "links")
