@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardwarden.operators.fraud import DAY_SECONDS
+from cardwarden.operators.history import profiles_as_of
 from cardwarden.operators.sequence import with_previous
 from cardwarden.operators.skew import DEFAULT_SKEW, SkewPolicy, hot_keys, split_hot
 
@@ -41,18 +42,39 @@ def device_mismatch(
         "known_devices",
         F.lit(True).alias("has_profile"),
     )
+    return _untrusted(checked.join(trusted, "customer_id", "left")).drop(
+        "known_devices", "has_profile"
+    )
+
+
+def _untrusted(checked: DataFrame) -> DataFrame:
+    """Rows whose device is not among their ``known_devices``, with the reason."""
     known = F.coalesce(F.array_contains("known_devices", F.col("device_id")), F.lit(False))
     status = (
         F.when(F.col("device_id").isNull(), NO_DEVICE)
         .when(F.col("has_profile"), UNKNOWN_DEVICE)
         .otherwise(NO_PROFILE)
     )
-    return (
-        checked.join(trusted, "customer_id", "left")
-        .filter(~known)
-        .withColumns({"device_status": status, "criticality": F.lit("high")})
-        .drop("known_devices", "has_profile")
+    return checked.filter(~known).withColumns(
+        {"device_status": status, "criticality": F.lit("high")}
+    )
+
+
+def device_mismatch_as_of(
+    enriched: DataFrame,
+    snapshots: DataFrame,
+    channels: Sequence[str] | None = DIGITAL_CHANNELS,
+) -> DataFrame:
+    """``device_mismatch`` against the profile that held on the day of the transaction.
+
+    ``snapshots`` are dated profiles (``history.profiles_as_of``): a later one changes no
+    earlier alert, and before a customer's first one there is no profile.
+    """
+    checked = enriched if channels is None else enriched.filter(F.col("channel").isin(*channels))
+    dated = profiles_as_of(checked, snapshots, ["known_devices"]).withColumn(
+        "has_profile", F.col("snapshot_date").isNotNull()
     )
+    return _untrusted(dated).drop("known_devices", "has_profile", "snapshot_date")
 
 
 def _near_other_customer(
@@ -194,3 +216,80 @@ def shared_key_pairs(
             "gap_seconds",
         )
     )
+
+
+def shared_key_counts(
+    enriched: DataFrame,
+    key: str,
+    within_seconds: int = SHORT_TIME_SECONDS,
+    slice_seconds: int = DAY_SECONDS,
+) -> DataFrame:
+    """Each use of a key with the number of other customers who used it within the time.
+
+    A customer is near a second if one of their uses is within the time of it. Their uses
+    thus make spans, which are merged where they meet; a span's start adds one customer
+    to those near, its end takes one away, and the running sum over a key's seconds is
+    the count. No pairs of uses are made, so the work is linear in the input.
+
+    Spans are cut at the borders of time slices and every slice is counted alone. A group
+    has a row for each second of a slice at most, however many uses the key or the customer
+    has. The counts then go back to the transactions by key and second.
+
+    Returns the rows that have the key, a customer and a time, and ``other_customers``.
+    Several uses by one customer count once; a transaction listed twice stays twice.
+    """
+    if slice_seconds < 1 or within_seconds < 0:
+        raise ValueError("slice_seconds must be positive and within_seconds not negative")
+    second = F.unix_timestamp("transaction_date")
+    used = F.col(key).isNotNull() & F.col("customer_id").isNotNull() & second.isNotNull()
+    timed = enriched.filter(used).withColumn("_second", second)
+
+    def slice_of(seconds: Column) -> Column:
+        return F.floor(seconds / slice_seconds)
+
+    at, begins = F.col("_second"), F.col("_slice") * slice_seconds
+    near = F.sequence(slice_of(at - within_seconds), slice_of(at + within_seconds))
+    spans = (
+        timed.select(F.col(key).alias("_key"), "customer_id", "_second")
+        .distinct()
+        .select("*", F.explode(near).alias("_slice"))
+        .select(
+            "*",
+            F.greatest(at - within_seconds, begins).alias("_start"),
+            F.least(at + within_seconds, begins + (slice_seconds - 1)).alias("_stop"),
+        )
+    )
+    by_customer = Window.partitionBy("_key", "_slice", "customer_id").orderBy("_second")
+    spans = spans.withColumns(
+        {
+            "_before": F.lag("_stop").over(by_customer),
+            "_after": F.lead("_start").over(by_customer),
+        }
+    )
+    before, after = F.col("_before"), F.col("_after")
+
+    def change(when: Column, by: int, use: bool = False) -> Column:
+        return F.struct(when.alias("_at"), F.lit(by).alias("_by"), F.lit(use).alias("_use"))
+
+    start, stop = F.col("_start"), F.col("_stop")
+    changes = F.array(
+        F.when(before.isNull() | (before < start), change(start, 1)),
+        F.when(after.isNull() | (after > stop), change(stop + 1, -1)),
+        F.when(F.col("_slice") == slice_of(at), change(at, 0, use=True)),
+    )
+    running = Window.partitionBy("_key", "_slice").orderBy("_at")
+    counted = (
+        spans.select("_key", "_slice", F.explode(changes).alias("_change"))
+        .filter(F.col("_change").isNotNull())
+        .select("_key", "_slice", "_change.*")
+        .groupBy("_key", "_slice", "_at")
+        .agg(F.sum("_by").alias("_by"), F.max("_use").alias("_use"))
+        .withColumn("_near", F.sum("_by").over(running))
+        .filter("_use")
+        .select(
+            F.col("_key").alias(key),
+            F.col("_at").alias("_second"),
+            (F.col("_near") - 1).alias("other_customers"),
+        )
+    )
+    return timed.join(counted, [key, "_second"]).select(*enriched.columns, "other_customers")

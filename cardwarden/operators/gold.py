@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -86,6 +86,28 @@ def active_customers(silver: DataFrame, approximate: bool = False) -> DataFrame:
     return silver.agg(counted("customer_id").alias("active_customers"))
 
 
+#: Registers of a customer sketch, as a power of two, and the relative error that its
+#: estimates keep: five standard errors of such a sketch, 1.04 / sqrt(2 ** 14).
+SKETCH_BITS, SKETCH_ERROR = 14, 0.041
+
+
+def customer_sketches(silver: DataFrame, day: str) -> DataFrame:
+    """One sketch of the customers of each day, of some 16 KB whatever their number.
+
+    Sketches of any days can be merged: replace a day's sketch with the day, and never
+    read Silver for a distinct count over a span. Rows without a customer are not counted.
+    """
+    sketch = F.hll_sketch_agg("customer_id", SKETCH_BITS).alias("customers")
+    return silver.filter(F.col("customer_id").isNotNull()).groupBy(day).agg(sketch)
+
+
+def customers_from_sketches(sketches: DataFrame, *by: Column | str) -> DataFrame:
+    """Estimated distinct customers over all the sketches, or for each group of them."""
+    merged = F.hll_union_agg("customers", F.lit(False))
+    estimate = F.coalesce(F.hll_sketch_estimate(merged), F.lit(0))
+    return sketches.groupBy(*by).agg(estimate.alias("active_customers"))
+
+
 def alert_count(alert_rows: DataFrame) -> DataFrame:
     return alert_rows.agg(F.count("*").alias("alert_count"))
 

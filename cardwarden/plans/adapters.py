@@ -143,6 +143,23 @@ def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def profile_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dated profile for each customer and week of ``events``, on the Monday after it.
+
+    Trusted devices are the customer's ``k`` of that week, the tier follows their number.
+    """
+    rows = table(spark, sf_dir, "events").withColumn("k", _k())
+    devices = F.sort_array(F.collect_set(F.col("k").cast("string")))
+    return (
+        rows.groupBy(
+            F.col("user_id").alias("cust_id"),
+            F.date_add(F.trunc("ts", "week"), 7).alias("snapshot_date"),
+        )
+        .agg(devices.alias("known_devices"))
+        .withColumn("loyalty_tier", F.when(F.size("known_devices") > 1, "Gold").otherwise("Silver"))
+    )
+
+
 def with_repeats(rows: DataFrame) -> DataFrame:
     """Transactions plus a second, later copy of every one of kind ``error``."""
     first = rows.withColumn("version", F.lit(1))

@@ -21,7 +21,7 @@ from cardwarden.functions import (
     sentinel_to_null,
     speed_kmh,
 )
-from cardwarden.operators import devices, fraud, gold, quality, silver
+from cardwarden.operators import devices, fraud, gold, history, quality, silver
 from cardwarden.operators.sequence import with_previous
 from cardwarden.plans import adapters, medallion
 from cardwarden.session import scratch_path
@@ -808,6 +808,68 @@ def shared_device_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return devices.shared_key_pairs(adapters.transactions(spark, sf_dir), "device_id")
 
 
+@_query(
+    f"""WITH {_TX}, uses AS (SELECT DISTINCT device_id, customer_id, sec FROM tx), near AS (
+  SELECT a.device_id, a.customer_id, a.sec, count(DISTINCT b.customer_id) AS n
+  FROM uses a JOIN uses b ON b.device_id = a.device_id AND b.customer_id <> a.customer_id
+   AND b.sec BETWEEN a.sec - 600 AND a.sec + 600
+  GROUP BY a.device_id, a.customer_id, a.sec)
+SELECT transaction_id, device_id, coalesce(n, 0) AS other_customers
+FROM tx LEFT JOIN near USING (device_id, customer_id, sec)"""
+)
+def shared_device_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = adapters.transactions(spark, sf_dir)
+    return devices.shared_key_counts(rows, "device_id").select(
+        "transaction_id", "device_id", "other_customers"
+    )
+
+
+_SNAPSHOTS = """snapshots AS (
+  SELECT CAST(user_id AS VARCHAR) AS cust_id,
+         CAST(date_trunc('week', ts) AS DATE) + 7 AS snapshot_date,
+         list_sort(list(DISTINCT CAST(k AS VARCHAR))) AS known_devices,
+         CASE WHEN count(DISTINCT k) > 1 THEN 'Gold' ELSE 'Silver' END AS loyalty_tier
+  FROM ev GROUP BY ALL
+), dated AS (
+  SELECT t.*, s.snapshot_date, s.known_devices, s.loyalty_tier
+  FROM tx t ASOF LEFT JOIN snapshots s
+  ON s.cust_id = t.customer_id AND CAST(t.transaction_date AS DATE) >= s.snapshot_date
+)"""
+
+
+@_query(
+    f"""WITH {_TX}, {_SNAPSHOTS}
+SELECT transaction_id, customer_id, snapshot_date, loyalty_tier,
+       array_to_string(known_devices, ',') AS known_devices FROM dated"""
+)
+def profile_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = adapters.transactions(spark, sf_dir)
+    dated = adapters.profile_snapshots(spark, sf_dir)
+    return history.profiles_as_of(rows, dated, ["loyalty_tier", "known_devices"]).select(
+        "transaction_id",
+        "customer_id",
+        "snapshot_date",
+        "loyalty_tier",
+        F.array_join("known_devices", ",").alias("known_devices"),
+    )
+
+
+@_query(
+    f"""WITH {_TX}, {_SNAPSHOTS}
+SELECT transaction_id, customer_id, device_id,
+       CASE WHEN device_id IS NULL THEN 'NO_DEVICE' WHEN snapshot_date IS NULL THEN 'NO_PROFILE'
+            ELSE 'UNKNOWN_DEVICE' END AS device_status, 'high' AS criticality
+FROM dated WHERE channel IN ('Online', 'App')
+  AND NOT coalesce(list_contains(known_devices, device_id), FALSE)"""
+)
+def device_mismatch_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = adapters.transactions(spark, sf_dir)
+    dated = adapters.profile_snapshots(spark, sf_dir)
+    return devices.device_mismatch_as_of(rows, dated).select(
+        "transaction_id", "customer_id", "device_id", "device_status", "criticality"
+    )
+
+
 # --- Aggregates and serving queries ------------------------------------------
 
 
@@ -854,6 +916,21 @@ def active_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.active_customers(adapters.transactions(spark, sf_dir))
 
 
+@_query(
+    """SELECT CAST(date_trunc('week', ts) AS DATE) AS week,
+       count(DISTINCT user_id) AS exact_customers, TRUE AS within_error
+FROM events GROUP BY 1"""
+)
+def active_customers_by_week(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = adapters.transactions(spark, sf_dir).withColumn("day", F.to_date("transaction_date"))
+    week = F.trunc("day", "week").cast("date").alias("week")
+    merged = gold.customers_from_sketches(gold.customer_sketches(rows, "day"), week)
+    exact = rows.groupBy(week).agg(F.count_distinct("customer_id").alias("exact_customers"))
+    error = F.abs(F.col("active_customers") - F.col("exact_customers"))
+    within = error <= F.ceil(gold.SKETCH_ERROR * F.col("exact_customers"))
+    return exact.join(merged, "week").select("week", "exact_customers", within.alias("within_error"))
+
+
 @_query(f"WITH {_alerts('strict')} SELECT count(*) AS alert_count FROM alerts")
 def alert_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.alert_count(fraud.fraud_alerts(adapters.transactions(spark, sf_dir), "strict"))
