@@ -64,7 +64,8 @@ class _Encoder:
 
     The tokenizer's own pattern never joins a letter, digit or sign with white space
     that follows it, so a text may be cut before every single space and line end and
-    its parts encoded apart. Texts with longer runs of white space are encoded whole.
+    its parts encoded apart. Texts with longer runs of white space, or with a mark of the
+    tokenizer such as its end mark, are encoded whole.
     """
 
     _open: dict[str, _Encoder] = {}
@@ -80,7 +81,9 @@ class _Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        marks = [re.escape(k.content) for k in self.tokenizer.get_added_tokens_decoder().values()]
+        # Marks are found in whole texts, as the tokenizer does it.
+        self.whole = re.compile("|".join([_RUNS.pattern, *marks]))
         self.forget()
 
     def forget(self) -> None:
@@ -155,7 +158,7 @@ class _Encoder:
             self.forget()
         look, which = self.parts.__getitem__, []
         for text in texts:
-            if _RUNS.search(text):
+            if self.whole.search(text):
                 which.append(np.array([self.parts.add(text)], np.int64))
             else:
                 text = text.replace(" ", _MARK + " ").replace("\n", _MARK + "\n")
