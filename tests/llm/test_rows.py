@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import re
 import zlib
+from html.parser import HTMLParser
 
 import numpy as np
 import pytest
@@ -63,13 +64,11 @@ def test_bands_reject_repetition_and_noise_and_keep_prose(documents):
 def tokenizer():
     from tokenizers import Tokenizer
 
-    found = Tokenizer.from_file(tokenizer_path())
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(tokenizer_path())
 
 
 def test_pack_is_an_exact_round_trip(documents, tokenizer):
-    texts = EDGES + ["it's  two spaces \n here", "<|endoftext|> ok", "a\x00b c", "Wörter, ñandú... (x) 12.5%\nNext"]
+    texts = EDGES + ["it's  two spaces \n here", "<|endoftext|> ok", "x <|endoftext|>. y<|endoftext|>z", "a\x00b c", "Wörter, ñandú... (x) 12.5%\nNext"]
     rows = list(enumerate(texts)) + [(None, "a"), (0, None)]
     found = packing.pack(documents(rows, "start ids bucket"), tokenizer_path(), ["doc_id"]).collect()
     assert len({r.sequence_id for r in found}) == len(found)
@@ -249,14 +248,93 @@ def test_main_text_of_a_page(spark, tag):
     assert [r.text for r in found] == [MAIN] * 4 and all(r.n_chars == len(MAIN) for r in found)
 
 
-def test_a_host_outvotes_a_page_whose_own_best_is_elsewhere(spark):
+def test_a_hosts_path_is_taken_where_it_holds_most_of_the_page(spark):
     usual = "<body><div class='text'><p>%s</p></div><div class='more'><p>%s</p></div></body>"
-    rows = [(i, "http://one.example.com/", usual % (prose(i, 60), "few words")) for i in range(9)]
+    link = "<a href='/'>more of this</a>"
+    rows = [(i, "http://one.example.com/", usual % (prose(i, 60), link)) for i in range(9)]
     rows.append((9, "HTTP://one.Example.com:80/q", usual % ("the short text", prose(99, 80))))
     rows.append((10, None, usual % ("the short text", prose(99, 80))))
+    rows.append((11, "http://one.example.com/x", usual % (prose(98, 60), "few words")))
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
-    found = {r.page_id: r for r in pages.extract(df, ["page_id"]).collect()}
-    assert found[9].text == "the short text" and found[10].text == prose(99, 80)
+    found = {r.page_id: r.text for r in pages.extract(df, ["page_id"]).collect()}
+    assert found[0] == prose(0, 60)
+    assert found[9] == found[10] == "the short text\n" + prose(99, 80)
+    assert found[11] == prose(98, 60) + "\nfew words"
+
+
+FEW, MANY = "few words of it", "<p>" + " ".join(f"word{i}" for i in range(80)) + "</p>"
+
+
+@pytest.mark.parametrize(
+    ("body", "want"),
+    [
+        (f"<form action=x><input name=a><h1>T</h1>{MANY}<button>Go</button></form>", f"T\n{MANY[3:-4]}"),
+        (f"<div class='legal-text'><article><h1>T</h1>{MANY}</article></div>", f"T\n{MANY[3:-4]}"),
+        (f"<section class='entry share'>{MANY}</section><nav>Menu</nav>", MANY[3:-4]),
+        (f"<div class='lead'><p>{FEW}</p></div><div class='text'>{MANY}</div>", f"{FEW}\n{MANY[3:-4]}"),
+        (f"<div class='text'>{MANY}</div><ul><li>one<li>two</ul>", f"{MANY[3:-4]}\none\ntwo"),
+        (f"<article><p>{FEW}</p></article><div class='comments'><article>{MANY}</article></div>", FEW),
+        (f"<div><p>{FEW}</p></div><div class='cookie-notice'>{MANY}</div>", FEW),
+        (f"<header><h1>Site</h1></header><div>{MANY}</div><form><label>x</label><input></form>", MANY[3:-4]),
+        (f"<div><p>{FEW}</p></div><form>{'<input><p>Your name</p>' * 9}</form>", FEW),
+        ("<p>one<span class='ad'>buy</span> two</p>", "one two"),
+        (f"<p>one<span class='widget'>never <b>closed</p><p>{FEW}</p>", f"one\n{FEW}"),
+        (f"<span class='share'><h1>T</h1>{MANY}</span><p>x</p>", f"T\n{MANY[3:-4]}\nx"),
+    ],
+)
+def test_a_name_alone_removes_no_text(spark, body, want):
+    rows = [(i, "http://a.example.com/", f"<html><body>{body}</body></html>") for i in range(2)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert [r.text for r in pages.extract(df, ["page_id"]).collect()] == [want] * 2
+
+
+def test_columns_of_the_same_names_long_pages_and_tied_votes(spark):
+    names = "html string, host string, text string, path string, winners string, k0 long, url string"
+    long = "".join(f"<p>{prose(i, 50)}</p>" for i in range(4000))
+    shell = "<body><div class='%s'>%s</div><a href='/'>menu</a></body>"
+    rows = [(shell % (c, long), "h", "t", "p", "w", i, "http://h.example.com/") for i, c in enumerate("abab")]
+    found = pages.extract(spark.createDataFrame(rows, names), ["k0", "winners"]).collect()
+    want = "\n".join(prose(i, 50) for i in range(4000))
+    assert all(r.text == want and r.winners == "w" and r.n_chars == len(want) for r in found)
+
+
+class _Article(HTMLParser):
+    """Text of a page's article, by another parser: blocks, and what stands in aside."""
+
+    def __init__(self, html: str) -> None:
+        super().__init__()
+        self.open, self.skip, self.text = 0, 0, ""
+        self.feed(html)
+        self.close()
+
+    def _edge(self, tag: str, by: int) -> None:
+        self.open += by * (tag == "article")
+        self.skip = max(0, self.skip + by * (tag in ("script", "style", "aside", "form", "nav")))
+        if tag == "br":
+            self.text += " "
+        elif tag in ("article", "p", "h1", "h2", "h3", "ul", "ol", "li", "div", "table", "tr", "td", "section"):
+            self.text += "\x00"
+
+    def handle_starttag(self, tag, attrs):
+        self._edge(tag, 1)
+
+    def handle_endtag(self, tag):
+        self._edge(tag, -1)
+
+    def handle_data(self, data):
+        self.text += data if self.open and not self.skip else ""
+
+    def blocks(self) -> str:
+        return "\n".join(" ".join(x.split()) for x in self.text.split("\x00") if x.strip())
+
+
+def test_articles_of_the_given_pages_by_another_parser(spark):
+    """Every given page with one article: the operator and a plain parser read the same."""
+    found = QUERIES["op4_consensus_extract"](spark, "/root/testdata/sf0.01").collect()
+    html = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()
+    want = {r.page_id: _Article(r.html).blocks() for r in html if r.html and r.html.count("<article") == 1}
+    same = [r.text == want[r.page_id] for r in found if r.page_id in want]
+    assert len(same) > 100 and all(same)
 
 
 @pytest.mark.parametrize("part", ["div class='body'", "section", "ul", "table", "ol"])
