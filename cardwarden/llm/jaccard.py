@@ -99,7 +99,7 @@ def sets(docs: DataFrame, shared: Broadcast) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in W.released(batches):
             for w in W.slices(batch.column(4), lower=True, limit=SLICE_BYTES):
                 doc, value, n = _sorted_sets(w, shared.value)
                 place = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)

@@ -22,6 +22,8 @@ from cardwarden.llm.columns import apart
 from cardwarden.session import stored
 
 BUCKETS = 1 << 16
+#: Text that is cut into trigrams at once.
+SLICE_BYTES = 1 << 18
 #: A declared tag is a language of the model from this many trigrams, however small its
 #: share; in a small table also from this share of the rows that declare one.
 LEAST_TRIGRAMS, LEAST_SHARE = 2000, 0.01
@@ -100,11 +102,11 @@ def fit(rows: DataFrame) -> TextModel:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in W.released(batches):
             tags = batch.column(1).dictionary_encode()
             names = tags.dictionary.to_pylist()
             which = tags.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-            for w in W.slices(batch.column(0)):
+            for w in W.slices(batch.column(0), limit=SLICE_BYTES):
                 doc, bucket = _trigrams(w)
                 tongue = which[w.first : w.last][doc]
                 order = np.argsort(tongue, kind="stable")
@@ -158,8 +160,8 @@ def read_texts(rows: DataFrame, model: TextModel, carry: list[str]) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         log = m.log
-        for batch in batches:
-            for w in W.slices(batch.column(len(carry))):
+        for batch in W.released(batches):
+            for w in W.slices(batch.column(len(carry)), limit=SLICE_BYTES):
                 doc, bucket = _trigrams(w)
                 size = w.last - w.first
                 trigrams = np.bincount(doc, minlength=size)

@@ -130,6 +130,14 @@ def slices(column: pa.Array, lower: bool = False, limit: int = SLICE_BYTES) -> I
         first = last
 
 
+def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; memory that Arrow kept of one is given back before the next is read."""
+    for batch in batches:
+        yield batch
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
 def windows(w: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     """The places of all ``k`` consecutive words of one text, and their hashes."""
     n = len(w.hash) - k + 1
