@@ -193,23 +193,22 @@ def _members(named: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame
     """Whole sets of the wanted nodes (nid, pivot), from each node's first document.
 
     A bit filter of fixed size tells which texts may be wanted, so that sets and not
-    all texts are shuffled; the join then decides.
+    all texts are shuffled, and only these texts go to Python; the join then decides.
     """
     key = ["k0", "k1", "k2"]
     needed = nodes.select("nid", *(f"rep.{k}" for k in key)).join(wanted, "nid")
     needed = stored(needed, "wanted")
-
-    def mark(bits: np.ndarray, batch: pa.RecordBatch) -> None:
-        bits[batch.column(0).to_numpy() & (FILTER - 1)] = 1
-
-    bits = gathered(needed.select("k1"), mark, FILTER, np.uint8, np.maximum)
-    shared = named.sparkSession.sparkContext.broadcast(np.packbits(bits))
+    # A row holds 256 bits of the filter, as four numbers; there are FILTER / 256 at most.
+    bit = F.col("k1").bitwiseAND(F.lit(FILTER - 1))
+    row, word, mask = F.shiftright(bit, 8), F.shiftright(bit, 6) % 4, F.expr("shiftleft(1L, cast(k1 & 63 as int))")
+    words = [F.bit_or(F.when(word == i, mask)).alias(f"w{i}") for i in range(4)]
+    bits = needed.groupBy(row.alias("row")).agg(*words)
+    held = F.element_at(F.array(*(F.coalesce(f"w{i}", F.lit(0)) for i in range(4))), (word + 1).cast("int"))
+    texts = named.select(*key, "text").join(F.broadcast(bits), row == F.col("row"))
+    texts = texts.where(held.bitwiseAND(mask) != 0).select(*key, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.column(1).to_numpy() & (FILTER - 1)
-            hit = (shared.value[at >> 3] << (at & 7).astype(np.uint8)) & 128 > 0
-            batch = batch.filter(pa.array(hit))
             for w in W.slices(batch.column(3), lower=True, limit=SLICE_BYTES):
                 _, value, n = _sorted_sets(w, None)
                 columns = [x.slice(w.first, w.last - w.first) for x in batch.columns[:3]]
@@ -217,10 +216,9 @@ def _members(named: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame
                 yield pa.RecordBatch.from_arrays(columns, names=[*key, "shingles"])
 
     schema = "k0 long, k1 long, k2 long, shingles array<long>"
-    found = named.select(*key, "text").mapInArrow(run, schema)
+    found = texts.mapInArrow(run, schema)
     found = found.join(needed, key).dropDuplicates(key)
     found = stored(found.select("nid", "pivot", "shingles"), "members")
-    shared.destroy()
     discard(needed)
     return found
 
