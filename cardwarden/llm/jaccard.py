@@ -36,7 +36,7 @@ from cardwarden.llm.tables import gathered
 from cardwarden.session import discard, stored
 
 #: Counters of the frequency sketch; it has this size for any input.
-SKETCH = 1 << 20
+SKETCH = 1 << 22
 #: Rounds in which each group is compared once with another before all open pairs are.
 MERGES = 3
 #: Pivots that a set is compared with at first, and pairs of a group in each round.
@@ -57,8 +57,7 @@ def frequencies(docs: DataFrame) -> np.ndarray:
     def count(total: np.ndarray, batch: pa.RecordBatch) -> None:
         for w in W.slices(batch.column(0), lower=True, limit=SLICE_BYTES):
             _, value = W.shingles(w)
-            at = (value & np.uint64(SKETCH - 1)).astype(np.int64)
-            total += np.bincount(at, minlength=SKETCH).astype(np.uint32)
+            np.add.at(total, (value & np.uint64(SKETCH - 1)).astype(np.int64), np.uint32(1))
 
     return gathered(docs.select("text"), count, SKETCH, np.uint32)
 
@@ -120,30 +119,48 @@ def sets(docs: DataFrame, shared: Broadcast) -> DataFrame:
 
 
 def _shared(rows: DataFrame) -> DataFrame:
-    """Rows whose token another row has too. Rows stream by in order of the token."""
+    """Rows that another row of their token can be similar to, a token for each chain.
+
+    A set of n shingles that has the token at ``pos`` is similar to no larger set than
+    (5 n - 9 pos) / 4. In order of size a token's rows are cut wherever no earlier row
+    reaches the next size: pairs across a cut cannot link. Each chain between cuts gets a
+    token of its own and rows alone in theirs go. Rows stream by in order.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: pa.RecordBatch | None = None  # one row, not yet decided
-        before = None  # the token before it
+        linked, reach, begin = False, 0, 0  # of that row and its chain
         for batch in batches:
             if not batch.num_rows:
                 continue
             if last is not None:
-                joined = pa.Table.from_batches([last, batch]).combine_chunks()
-                batch = joined.to_batches()[0]
-            token = batch.column(0).to_numpy()
-            twin = np.zeros(len(token), bool)
+                batch = pa.Table.from_batches([last, batch]).combine_chunks().to_batches()[0]
+            token, _, n, pos = (c.to_numpy() for c in batch.columns)
+            size = len(token)
             same = token[1:] == token[:-1]
-            twin[1:] |= same
-            twin[:-1] |= same
-            twin[0] |= before is not None and token[0] == before
-            done = batch.slice(0, len(token) - 1)
-            yield done.filter(pa.array(twin[:-1]))
-            last = batch.slice(len(token) - 1)
-            if len(token) > 1:
-                before = token[-2]
-        if last is not None and before is not None and last.column(0)[0].as_py() == before:
-            yield last
+            most = np.maximum((5 * n - 9 * pos) // 4, 0)
+            if last is not None:
+                most[0] = max(most[0], reach)
+            # A running maximum that begins anew with each token.
+            base = np.concatenate(([0], np.cumsum(~same))) << 40
+            furthest = np.maximum.accumulate(base + most) - base
+            link = np.concatenate(([linked], same & (furthest[:-1] >= n[1:])))
+            opens = np.where(link, 0, np.arange(size))
+            first = n[np.maximum.accumulate(opens)]
+            if linked:
+                first[np.cumsum(~link) == 0] = begin
+            keep = link.copy()
+            keep[:-1] |= link[1:]
+            chain = W.mix(token.view(np.uint64) + W.mix(first.view(np.uint64)))
+            columns = [pa.array(W.signed(chain)), *batch.columns[1:]]
+            named = pa.RecordBatch.from_arrays(columns, names=["token", "nid", "n", "pos"])
+            yield named.slice(0, size - 1).filter(pa.array(keep[:-1]))
+            last = batch.slice(size - 1)
+            linked, reach, begin = bool(link[-1]), int(furthest[-1]), int(first[-1])
+            if linked:
+                final = named.slice(size - 1)
+        if linked:
+            yield final
 
     ordered = rows.repartition("token").sortWithinPartitions("token", "n", "nid")
     return ordered.mapInArrow(run, rows.schema)
