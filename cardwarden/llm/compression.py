@@ -23,22 +23,30 @@ WINDOW = 5
 class Bands:
     """Limits of compressed size by raw size, for texts of each length.
 
-    ``whole`` has (least bytes of text, lowest ratio, highest ratio), in rising order
-    of bytes; the last line that a text reaches holds. Short texts carry a frame of a
-    fixed size and little to repeat, so their ratios lie higher. ``chunk`` limits each
-    full chunk of ``chunk_bytes``; a text is rejected when over ``chunk_share`` of its
-    full chunks are outside.
+    ``whole`` has (least bytes of text, lowest ratio, highest ratio), ``chunks`` (least
+    bytes of text, bytes of a chunk, lowest, highest), in rising order of bytes; the last
+    line that a text reaches holds. Short texts carry a frame of a fixed size and little
+    to repeat, so their ratios lie higher, and below 200 bytes prose is no more
+    compressible than noise, so there is no highest. A text is cut into full chunks; where
+    bytes are left over, its last bytes are one more chunk, which overlaps the one before.
+    It is rejected when over ``chunk_share`` of its chunks are outside.
     """
 
     whole: tuple[tuple[int, float, float], ...] = (
         (0, 0.0, 9.9),
+        (30, 0.80, 9.9),
+        (60, 0.60, 9.9),
+        (100, 0.45, 9.9),
         (200, 0.30, 0.95),
         (1_000, 0.28, 0.80),
         (4_000, 0.25, 0.70),
         (16_000, 0.22, 0.65),
     )
-    chunk_bytes: int = 2048
-    chunk: tuple[float, float] = (0.25, 0.80)
+    chunks: tuple[tuple[int, int, float, float], ...] = (
+        (200, 128, 0.40, 9.9),
+        (512, 512, 0.30, 0.80),
+        (4_096, 2_048, 0.25, 0.80),
+    )
     chunk_share: float = 0.25
     level: int = 3
 
@@ -71,20 +79,27 @@ def _per_text(mask: np.ndarray, at: np.ndarray) -> np.ndarray:
     return total[at[1:]] - total[at[:-1]]
 
 
+def _reached(lines: tuple[tuple, ...], n: int) -> tuple | None:
+    return next((x[1:] for x in reversed(lines) if n >= x[0]), None)
+
+
 def _bands(text: bytes, packer: zstandard.ZstdCompressor, bands: Bands) -> tuple[float, int, bool]:
-    """Whole ratio, full chunks outside the limits, verdict. Empty text has ratio 1."""
+    """Whole ratio, chunks outside their limits, verdict. Empty text has ratio 1."""
     n = len(text)
     if not n:
         return 1.0, 0, True
     ratio = len(packer.compress(text)) / n
-    low, high = next(x[1:] for x in reversed(bands.whole) if n >= x[0])
-    size, chunks, outside = bands.chunk_bytes, n // bands.chunk_bytes, 0
-    if chunks > 1:
-        least, most = (x * size for x in bands.chunk)
-        for i in range(chunks):
-            packed = len(packer.compress(text[i * size : (i + 1) * size]))
-            outside += not least <= packed <= most
-    return ratio, outside, low <= ratio <= high and outside <= bands.chunk_share * chunks
+    low, high = _reached(bands.whole, n) or (0.0, ratio)
+    starts, outside = [], 0
+    if chunk := _reached(bands.chunks, n):
+        size, least, most = chunk
+        starts = list(range(0, n - size + 1, size))
+        if n % size:
+            starts.append(max(0, n - size))
+        for at in starts:
+            packed = len(packer.compress(text[at : at + size]))
+            outside += not least * size <= packed <= most * size
+    return ratio, outside, low <= ratio <= high and outside <= bands.chunk_share * len(starts)
 
 
 def measure(docs: DataFrame, keys: list[str], text: str = "text", bands: Bands = Bands()) -> DataFrame:

@@ -60,6 +60,38 @@ def test_bands_reject_repetition_and_noise_and_keep_prose(documents):
     assert found[1].ratio == len(zstandard.ZstdCompressor(level=3).compress(text)) / len(text)
 
 
+def test_bands_read_short_texts_and_last_bytes(documents):
+    rnd = random.Random(3)
+    vocabulary = re.findall(r"[a-z]{3,}", random.__doc__ + zlib.__doc__ + re.__doc__)
+    plain = " ".join(rnd.choice(vocabulary) for _ in range(900))
+    # No window of five words comes twice, but there is little in it.
+    little = " ".join("a" * i for i in range(1, 90))
+    rows = [
+        (1, plain[:150]), (2, little[:150]),
+        (3, plain[:400]), (4, plain[:240] + little[-160:]),
+        (5, plain[:1500]), (6, plain[:1100] + little[-400:]),
+        (7, plain[:4096]), (8, plain[:4096] + " " + little[-1800:]),
+        (9, plain[:40]), (10, " ".join("ab" * i for i in range(1, 6))),
+    ]
+    found = {r.doc_id: r for r in compression.measure(documents(rows), ["doc_id"]).collect()}
+    # Ten words at least are a base rule, which row 9 and 10 fail.
+    assert [i for i in sorted(found) if found[i].kept] == [1, 3, 5, 7]
+    assert found[2].n_words >= 10 and not found[2].base_failed
+    assert found[8].n_chunks_outside == 1 and found[8].ratio > 0.25
+    assert found[6].n_chunks_outside == 1 and found[4].n_chunks_outside >= 1
+
+    packer, bands = zstandard.ZstdCompressor(level=3), compression.Bands()
+    for doc, text in rows:
+        raw = text.encode()
+        line = [x for x in bands.chunks if len(raw) >= x[0]][-1:]
+        want = 0
+        for _, size, low, high in line:
+            parts = [raw[i : i + size] for i in range(0, len(raw), size)]
+            parts[-1] = raw[-size:]
+            want += sum(not low <= len(packer.compress(x)) / size <= high for x in parts)
+        assert found[doc].n_chunks_outside == want
+
+
 @pytest.fixture(scope="module")
 def tokenizer():
     from tokenizers import Tokenizer
