@@ -43,6 +43,9 @@ MERGES = 3
 PIVOTS, TRIES = 1, 4
 #: Bits of the filter that finds the texts of wanted sets; it has this size as well.
 FILTER = 1 << 24
+#: A shingle is frequent from this many occurrences by the sketch, and from this many times
+#: the sketch's mean: its rows are put in order by size and not in one task.
+OFTEN, TIMES_MEAN = 4096, 8
 #: Bytes of text whose words are in memory at once.
 SLICE_BYTES = 1 << 18
 _SALT = W.randoms(2, 9)
@@ -92,12 +95,14 @@ def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def sets(docs: DataFrame, shared: Broadcast) -> DataFrame:
-    """Of each keyed document: n distinct shingles, set fingerprint f1 f2, prefix.
+    """Of each keyed document: n distinct shingles, set fingerprint f1 f2, prefix, rare.
 
-    ``shared`` has the counters of ``frequencies``.
+    ``shared`` has the counters of ``frequencies``. The first ``rare`` shingles of the
+    prefix are not frequent, those behind them are.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often = max(OFTEN, TIMES_MEAN * shared.value.mean())
         for batch in W.released(batches):
             for w in W.slices(batch.column(4), lower=True, limit=SLICE_BYTES):
                 doc, value, n = _sorted_sets(w, shared.value)
@@ -109,13 +114,16 @@ def sets(docs: DataFrame, shared: Broadcast) -> DataFrame:
                 for salt in _SALT:
                     columns.append(pa.array(W.signed(_sums(W.mix(value + salt), n))))
                 columns.append(_lists(value[first], np.where(n > 0, probe, 0)))
-                names = ["doc_id", "k0", "k1", "k2", "n", "f1", "f2", "prefix"]
+                counted = shared.value[(value[first] & np.uint64(SKETCH - 1)).astype(np.int64)]
+                rare = np.bincount(doc[first][counted < often], minlength=len(n))
+                columns.append(pa.array(rare, pa.int64()))
+                names = ["doc_id", "k0", "k1", "k2", "n", "f1", "f2", "prefix", "rare"]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, k0 long, k1 long, k2 long, n long, f1 long, f2 long"
     columns = docs.select("doc_id", "k0", "k1", "k2", "text")
-    return columns.mapInArrow(run, f"{schema}, prefix array<long>")
+    return columns.mapInArrow(run, f"{schema}, prefix array<long>, rare long")
 
 
 def _shared(rows: DataFrame) -> DataFrame:
@@ -166,6 +174,43 @@ def _shared(rows: DataFrame) -> DataFrame:
     return ordered.mapInArrow(run, rows.schema)
 
 
+def _shared_often(rows: DataFrame) -> DataFrame:
+    """The same for frequent tokens, whose rows may be a third of all.
+
+    A token's rows of one size are counted as one before the shuffle, and sizes are put
+    in order: a window holds no more rows than there are sizes. Rows then meet their size's
+    chain in a join, which adaptive execution splits.
+    """
+    reach = F.expr("greatest((5 * n - 9 * pos) div 4, 0L)")
+    sizes = rows.groupBy("token", "n").agg(F.max(reach).alias("most"), F.count(F.lit(1)).alias("rows"))
+    order = Window.partitionBy("token").orderBy("n")
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("before", F.coalesce(F.max("most").over(earlier), F.lit(0)))
+    opens = F.when(F.col("before") < F.col("n"), F.col("n"))
+    sizes = sizes.withColumn("first", F.last(opens, ignorenulls=True).over(order))
+    in_chain = F.sum("rows").over(Window.partitionBy("token", "first"))
+    sizes = sizes.withColumn("in_chain", in_chain).where(F.col("in_chain") > 1)
+    linked = rows.join(sizes.select("token", "n", "before", "first"), ["token", "n"])
+    # A row that reaches no other size and that none reaches is alone in its chain.
+    linked = linked.where((F.col("before") >= F.col("n")) | (reach >= F.col("n")))
+    return linked.select(F.xxhash64("token", "first").alias("token"), "nid", "n", "pos")
+
+
+def _index(nodes: DataFrame) -> DataFrame:
+    """token, nid, n and pos of all prefixes, as ``_shared`` leaves them."""
+    listed = nodes.select("nid", "n", "rare", F.posexplode("prefix").alias("pos", "token"))
+    columns = ["token", "nid", "n", "pos"]
+    rare = listed.where(F.col("pos") < F.col("rare")).select(*columns)
+    often = nodes.where(F.size("prefix") > F.col("rare")).select(
+        "nid", "n", "rare", F.posexplode(F.expr("slice(prefix, int(rare) + 1, size(prefix))")).alias("pos", "token")
+    )
+    often = often.withColumn("pos", F.col("pos") + F.col("rare").cast("int"))
+    often = stored(often.select(*columns), "often")
+    found = stored(_shared(rare).union(_shared_often(often)), "index")
+    discard(often)
+    return found
+
+
 def _least_overlap(a: Column, b: Column) -> Column:
     """The smallest overlap at which sets of these sizes have a Jaccard of 0.8."""
     return F.ceil(4 * (a + b) / 9)
@@ -417,15 +462,15 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Links:
             F.min("doc_id").alias("doc"),
             F.min(F.struct("doc_id", "k0", "k1", "k2")).alias("rep"),
             F.first("prefix").alias("prefix"),
+            F.first("rare").alias("rare"),
         )
         .withColumn("nid", F.monotonically_increasing_id())
     )
     full = stored(full, "nodes")
-    rows = full.select("nid", "n", F.posexplode("prefix").alias("pos", "token"))
-    index = stored(_shared(rows.select("token", "nid", "n", "pos")), "index")
+    index = _index(full)
     # The prefixes have done their work; what stays is thin.
-    documents = stored(whole.drop("prefix"), "documents")
-    nodes = stored(full.drop("prefix"), "nodes")
+    documents = stored(whole.drop("prefix", "rare"), "documents")
+    nodes = stored(full.drop("prefix", "rare"), "nodes")
     discard(whole)
     discard(full)
     def verified(pairs: DataFrame) -> DataFrame:

@@ -92,6 +92,35 @@ def test_join_of_unlinked_lookalikes_with_shared_passages(documents):
     assert all(r.component_id == r.doc_id for r in found)
 
 
+@pytest.mark.parametrize("seed", [1, 5])
+def test_frequent_shingles_are_put_in_order_by_size(documents, monkeypatch, seed):
+    """From two occurrences on a shingle counts as frequent, so most lists go that way."""
+    monkeypatch.setattr(jaccard, "OFTEN", 2)
+    monkeypatch.setattr(jaccard, "TIMES_MEAN", 0)
+    rows = near_copies(seed, families=3) + [(1000, None), (1001, "a b"), (1002, "A B")]
+    rows += [(2000 + i, prose(40, 60 + i)) for i in range(12)]
+    found = jaccard.grouped(jaccard.join(documents(rows))).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == expected_components(rows)
+
+
+def test_lists_by_size_lose_no_pair(spark):
+    """Rows of a token that can be similar share a chain, by rows and by sizes."""
+    rnd = random.Random(8)
+    rows = []
+    for nid in range(400):
+        n = rnd.choice([5, 9, 30, 31, 36, 45, 60, 200, 260])
+        rows.append((rnd.randrange(9), nid, n, rnd.randrange(n // 5 + 1)))
+    df = spark.createDataFrame(rows, "token long, nid long, n long, pos int")
+    fits = lambda a, b: 4 * (a[2] + b[2]) <= 9 * min(a[2] - a[3], b[2] - b[3])
+    for chained in (jaccard._shared(df), jaccard._shared_often(df)):
+        token = {r.nid: r.token for r in chained.collect()}
+        for a in rows:
+            for b in rows:
+                if a[1] < b[1] and a[0] == b[0] and 4 * max(a[2], b[2]) <= 5 * min(a[2], b[2]) and fits(a, b):
+                    assert token[a[1]] == token[b[1]]
+        assert len(token) <= len(rows)
+
+
 def test_a_group_of_copies_makes_few_pairs(documents):
     rows = near_copies(7, families=1, size=80, length=80)
     found = jaccard.join(documents(rows))
