@@ -238,21 +238,37 @@ def _overlaps(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
     """``pairs`` (a, b) with both sizes and the number of shingles that both have."""
     left = left.select(F.col("nid").alias("a"), F.col("shingles").alias("sa"))
     right = right.select(F.col("nid").alias("b"), F.col("shingles").alias("sb"))
-    return (
-        pairs.join(right, "b")
-        .join(left, "a")
-        .select(
-            "a",
-            "b",
-            F.size("sa").cast("long").alias("na"),
-            F.size("sb").cast("long").alias("nb"),
-            F.size(F.array_intersect("sa", "sb")).cast("long").alias("both"),
-        )
+    return _counted(pairs.join(right, "b").join(left, "a"))
+
+
+def _counted(both: DataFrame) -> DataFrame:
+    return both.select(
+        "a",
+        "b",
+        F.size("sa").cast("long").alias("na"),
+        F.size("sb").cast("long").alias("nb"),
+        F.size(F.array_intersect("sa", "sb")).cast("long").alias("both"),
     )
 
 
+def _with_pivots(pairs: DataFrame, nodes: DataFrame, named: DataFrame) -> DataFrame:
+    """``_overlaps`` of sets with their pivots: each set is read for its pivot and sent there.
+
+    A set has ``PIVOTS`` of them and so few rows; a pivot of very many sets has one.
+    """
+    own = pairs.select(F.col("a").alias("nid"), "a").distinct()
+    members = _members(named, nodes, own.union(pairs.select("b", "a")))
+    pivot = F.col("nid") == F.col("a")
+    left = members.where(pivot).select("a", F.col("shingles").alias("sa"))
+    right = members.where(~pivot).select("a", F.col("nid").alias("b"), F.col("shingles").alias("sb"))
+    found = stored(_counted(right.join(left, "a")), "compared")
+    discard(members)
+    discard(pairs)
+    return found
+
+
 def _members(named: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Whole sets of the wanted nodes (nid, pivot), from each node's first document.
+    """Whole sets of the wanted nodes (nid and another column), from each node's first document.
 
     A bit filter of fixed size tells which texts may be wanted, so that sets and not
     all texts are shuffled, and only these texts go to Python; the join then decides.
@@ -279,8 +295,9 @@ def _members(named: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame
 
     schema = "k0 long, k1 long, k2 long, shingles array<long>"
     found = texts.mapInArrow(run, schema)
-    found = found.join(needed, key).dropDuplicates(key)
-    found = stored(found.select("nid", "pivot", "shingles"), "members")
+    (other,) = [c for c in wanted.columns if c != "nid"]
+    found = found.join(needed, key).dropDuplicates([*key, other])
+    found = stored(found.select("nid", other, "shingles"), "members")
     discard(needed)
     return found
 
@@ -485,7 +502,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Links:
         return found
 
     linked = F.col("both") >= _least_overlap(F.col("na"), F.col("nb"))
-    compared = verified(stored(_pivot_pairs(index), "pairs"))
+    compared = _with_pivots(stored(_pivot_pairs(index), "pairs"), nodes, named)
     groups = components(compared.where(linked).select("a", "b"))
     labelled = _labelled(index, groups)
     discard(index)
