@@ -19,14 +19,17 @@ from pyspark.sql import functions as F
 
 from cardwarden.llm import words as W
 from cardwarden.llm.columns import apart
-from cardwarden.session import stored
+from cardwarden.session import discard, stored
 
 BUCKETS = 1 << 16
 #: Text that is cut into trigrams at once.
 SLICE_BYTES = 1 << 18
 #: A declared tag is a language of the model from this many trigrams, however small its
-#: share; in a small table also from this share of the rows that declare one.
-LEAST_TRIGRAMS, LEAST_SHARE = 2000, 0.01
+#: share of the table.
+LEAST_TRIGRAMS = 2000
+#: Languages of the model, those with the most trigrams: what is collected and broadcast
+#: has at most this many tables, 128 MB.
+LANGUAGES = 256
 #: Languages that a task counts at once; more are handed on in between.
 HELD = 256
 #: A text fits a language if its mean log-likelihood is no further below that of the
@@ -93,12 +96,9 @@ def fit(rows: DataFrame) -> TextModel:
     """Trigram counts of every declared language over all ``rows`` (text, declared).
 
     Each task sums up its own; what meets is one table of fixed size per language with
-    enough letters to learn from.
+    enough letters to learn from. All tables are merged on Spark; those of the
+    ``LANGUAGES`` tags with the most trigrams, equal ones by name, are the model.
     """
-    declared = rows.where(F.col("declared").isNotNull()).groupBy("declared").count()
-    declared = stored(declared, "declared")
-    of = declared.agg(F.sum("count")).first()[0] or 0
-    often = {r.declared for r in declared.where(F.col("count") >= LEAST_SHARE * of).collect()}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] = {}
@@ -124,28 +124,30 @@ def fit(rows: DataFrame) -> TextModel:
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, total = None, np.zeros(BUCKETS, np.int64)
 
-        def learned() -> bool:
-            return name is not None and (total.sum() >= LEAST_TRIGRAMS or name in often)
+        def learned() -> pa.RecordBatch:
+            one = _counted({name: total} if total.sum() >= LEAST_TRIGRAMS else {})
+            size = pa.array([total.sum()] * one.num_rows, pa.int64())
+            return pa.RecordBatch.from_arrays([*one.columns, size], names=["declared", "part", "trigrams"])
 
         for batch in batches:
             for own, part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if own != name:
-                    if learned():
-                        yield _counted({name: total})
+                    yield learned()
                     name, total = own, np.zeros(BUCKETS, np.int64)
                 total += np.frombuffer(zlib.decompress(part), np.int64)
-        if learned():
-            yield _counted({name: total})
+        yield learned()
 
     parts = rows.where(F.col("declared").isNotNull()).select("text", "declared")
     parts = parts.mapInArrow(count, _SCHEMA).repartition("declared").sortWithinPartitions("declared")
-    found = {r.declared: r.part for r in parts.mapInArrow(merge, _SCHEMA).collect()}
-    # A tag in many rows without a letter is a language, too.
-    languages = sorted(often | found.keys())
+    tables = stored(parts.mapInArrow(merge, f"{_SCHEMA}, trigrams long"), "languages")
+    most = tables.orderBy(F.desc("trigrams"), "declared").select("declared").limit(LANGUAGES)
+    chosen = tables.join(most, "declared").select("declared", "part").collect()
+    discard(tables)
+    found = {r.declared: np.frombuffer(zlib.decompress(bytes(r.part)), np.int64) for r in chosen}
+    languages = sorted(found)
     counts = np.full((len(languages), BUCKETS), SMOOTHING)
     for own, name in zip(counts, languages, strict=True):
-        if name in found:
-            own += np.frombuffer(zlib.decompress(bytes(found[name])), np.int64)
+        own += found[name]
     share = counts / counts.sum(axis=1, keepdims=True)
     log = np.log(share)
     usual = (share * log).sum(axis=1)
@@ -221,7 +223,7 @@ def identify(
     A text without letters, null or empty, has no language and is rejected, as is a
     document of which no language reaches ``keep_from``. A text that does not fit the
     language found, or whose declared one has too few letters in the whole table to be
-    learned, keeps its declared language, without a posterior; with none declared it is
+    learned or is beyond the ``LANGUAGES`` with the most, keeps its declared language, without a posterior; with none declared it is
     undetermined and rejected. Repeated rows get equal results. With no declared language
     in the whole table nothing can be learned and all are rejected. Work is by row and by grouped sums; a host with a third of all
     rows is summed before the shuffle.

@@ -224,6 +224,19 @@ def test_a_rare_language_keeps_its_name(documents, n):
     assert model.languages == (["en", "fi", "fr"] if n == 9 else ["en", "fr"])
 
 
+def test_tags_beyond_the_models_bound_keep_their_name(documents, monkeypatch):
+    """The model has the languages with the most letters; junk tags stay out and stay."""
+    monkeypatch.setattr(language, "LANGUAGES", 2)
+    rows = spoken_rows()
+    junk = [(300 + i, f"{FI} " * 40, f"junk{chr(97 + i)}", "c.example.net") for i in range(6)]
+    docs = documents(rows + junk)
+    model = language.fit(docs.select("text", language.tag(F.col("lang")).alias("declared")))
+    assert model.languages == ["en", "fr"]
+    lang = {r.doc_id: r.lang for r in language.spoken(docs).collect()}
+    assert all(lang[i] == tag for i, _, tag, _ in junk)
+    assert all(lang[r[0]] == ("en" if r[2] == "en" else "fr") for r in rows)
+
+
 def test_language_posterior_equals_bayes_by_hand(documents):
     """One row's fusion, recomputed from the stored text likelihoods."""
     rows = spoken_rows()
